@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, functions as F
 
 from .. import config
-from .text import SPACE, let, strip_space
+from .text import SPACE, constant, let, strip_space
 
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 WEEKDAYS = ["mon", "tue", "wed", "thu", "fri", "sat", "sun"]
@@ -55,13 +55,13 @@ def _number(part: Column) -> Column:
 
 
 def _month(part: Column) -> Column:
-    named = (F.instr(F.lit("".join(MONTHS)), F.lower(part)) + F.lit(2)) / F.lit(3)
-    return F.coalesce(part.try_cast("int"), named.cast("int"))
+    named = constant({name: number for number, name in enumerate(MONTHS, 1)}, "map<string,int>")
+    return F.coalesce(part.try_cast("int"), F.try_element_at(named, F.lower(part)))
 
 
 def _zone(part: Column) -> Column:
     """Offset as +hh:mm, empty when there is none."""
-    names = F.create_map(*[F.lit(x) for pair in {"Z": "+00:00", "-00:00": "+00:00", **ZONES}.items() for x in pair])
+    names = constant({"Z": "+00:00", "-00:00": "+00:00", **ZONES}, "map<string,string>")
     digits = F.regexp_replace(F.regexp_replace(part, r"^([+-]\d{2}):?(\d{2})$", "$1:$2"), r"^([+-]\d{2})$", "$1:00")
     return let(digits, lambda d: F.coalesce(F.try_element_at(names, d), d))
 

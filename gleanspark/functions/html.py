@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 from html.entities import html5
 from html.parser import HTMLParser
@@ -10,7 +9,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-from .text import let, strip_space
+from .text import constant, let, strip_space
 
 BREAK = "\x01"
 # comments, declarations and elements whose text is not page text
@@ -29,7 +28,7 @@ def _entity_table() -> Column:
     """All named entities of HTML 5, and the numbers 128-159 that mean Windows-1252 characters."""
     table = {name[:-1]: value for name, value in html5.items() if name.endswith(";")}
     table.update({f"#{n}": bytes([n]).decode("cp1252", "replace") for n in range(128, 160)})
-    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+    return constant(table, "map<string,string>")
 
 
 def _character(code: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
@@ -39,6 +40,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def constant(value: object, schema: str) -> Column:
+    """A nested literal. It is folded when the plan is optimized."""
+    return F.from_json(F.lit(json.dumps(value)), schema)
+
+
 def strip_space(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACE_CHARS))
 
@@ -169,12 +175,11 @@ def guess_categories(
     every = sorted(set().union(*table.values()))
 
     def implied_by(words: set[str]) -> list[str]:
-        return [t for t in every if any(re.match(rf"{re.escape(w)}\b", t) for w in words)]
+        return [t for t in every if any(t.startswith(w) and re.match(r"\W|$", t[len(w):]) for w in words)]
 
-    rows = F.array(*[
-        F.struct(F.lit(category).alias("category"), F.array(*[F.lit(w) for w in implied_by(words)]).alias("words"))
-        for category, words in table.items()
-    ])
+    rows = constant(
+        [{"category": category, "words": implied_by(words)} for category, words in table.items()],
+        "array<struct<category: string, words: array<string>>>")
     found = F.array_distinct(F.regexp_extract_all(_fold(F.coalesce(text, F.lit(""))), F.lit(_term_pattern(every)), F.lit(1)))
     return let(found, lambda f: F.slice(
         F.transform(F.filter(rows, lambda r: F.arrays_overlap(r["words"], f)), lambda r: r["category"]), 1, limit))

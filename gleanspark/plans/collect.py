@@ -1,8 +1,8 @@
 """Source chains: landed payloads to item records.
 
-Sources of one kind share one plan, with per-source settings as columns, so
-the landed table is read once per kind and not once per source. All chains
-return the record fields and the arrival order (source_rank, seq, pos).
+Sources of one kind share one plan, with per-source settings looked up by
+source, so the landed table is read once per kind and not once per source.
+Chains give raw rows; the record is built once, over all of them.
 """
 
 from __future__ import annotations
@@ -20,14 +20,24 @@ from ..functions.dates import as_instant, epoch_to_iso, is_recent, parse_date
 from ..operators.dedup import distinct_first, distinct_links_per_article
 from ..operators.items import cap_per_source, item_columns
 from ..operators.joins import blocklist_anti, first_author_reply, last_by_slug, lookup_by_slug
-from ..schema import ARRIVAL_ORDER
 from ..sources import payloads as S
 from ..sources.combine import source_fallback, union_sources
 
+FEED_KINDS = ["feed", "product_feed", "launch_feed", "title_feed"]
 # anchors of one article are numbered below the article's place in its feed
 ANCHORS_PER_ENTRY = 1_000_000
 
 
+def _per_source(specs: Sequence[SourceSpec], value, type_name: str = "int") -> Column:
+    """A setting of each row's source, null where the source has none."""
+    settings = {s.name: value(s) for s in specs if value(s) is not None}
+    return F.try_element_at(X.constant(settings, f"map<string,{type_name}>"), F.col("source"))
+
+
+def _has(column: str) -> Column:
+    return F.coalesce(F.col(column), F.lit("")) != ""
+
+
 @dataclass(frozen=True)
 class Run:
     """What a collection run is asked for: sources, its moment, and whether to keep every quirk."""
@@ -37,82 +47,78 @@ class Run:
     sources: tuple[SourceSpec, ...]
     parity: bool = True
 
-    def specs(self, kind: str) -> list[SourceSpec]:
-        return [s for s in self.sources if s.kind == kind]
+    def specs(self, *kinds: str) -> list[SourceSpec]:
+        return [s for s in self.sources if s.kind in kinds]
 
     def landed(self, specs: Sequence[SourceSpec], kind: str, status: str = "ok") -> DataFrame:
         names = [s.name for s in specs]
         return self.landing.where((F.col("kind") == kind) & F.col("source").isin(names) & (F.col("status") == status))
 
-    def recent(self, date_iso: Column) -> Column:
-        return is_recent(date_iso, self.as_of)
+    def recent(self, date_iso: str) -> Column:
+        return is_recent(F.col(date_iso), self.as_of)
 
-    def date(self, text: Column) -> Column:
-        return parse_date(text, self.parity)
+    def date(self, text: str) -> Column:
+        return parse_date(F.col(text), self.parity)
 
     def external(self, url: Column) -> Column:
         return X.is_external(url, parity=self.parity)
 
-    def items(self, rows: DataFrame, name: str, url: str, description: Column, date_iso: str, pricing: Column | None = None) -> DataFrame:
-        """Rows as records with their arrival order."""
-        rank = F.coalesce(*[F.when(F.col("source") == s.name, F.lit(s.rank)) for s in self.sources])
-        return rows.select(
-            *item_columns(F.col(name), F.col(url), description, F.col("source"), F.col(date_iso), self.as_of.isoformat(), pricing),
-            rank.alias("source_rank"), F.col("seq").cast("bigint").alias("seq"), F.col("pos").cast("bigint").alias("pos"))
-
-
-def _per_source(specs: Sequence[SourceSpec], value) -> Column:
-    """A setting of each row's source."""
-    return F.coalesce(*[F.when(F.col("source") == s.name, F.lit(value(s))) for s in specs])
-
-
-def _feed_entries(run: Run, specs: Sequence[SourceSpec], cap=lambda s: s.cap) -> DataFrame:
-    """Feed entries with a title, recent, not a listicle."""
-    entries = S.feed_scan(run.landed(specs, "feed"), _per_source(specs, cap))
-    dated = entries.withColumn("date_iso", run.date(F.col("published")))
-    return dated.where((F.col("title") != "") & run.recent(F.col("date_iso")) & ~X.is_listicle(F.col("title")))
-
-
-def _has(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit("")) != ""
-
-
-def feed_items(run: Run, specs: Sequence[SourceSpec], cap=lambda s: s.cap) -> DataFrame:
-    """Plain feeds, some of them filtered by topic."""
-    rows = _feed_entries(run, specs, cap).where(_has("link")).withColumn("description", H.html_to_text(F.col("summary")))
-    filtered = [s.name for s in specs if s.topic_filter]
-    if filtered:
-        text = F.concat_ws(" ", "title", "description")
-        rows = rows.where(~F.col("source").isin(filtered) | X.topic_filter(text))
-    return run.items(rows, "title", "link", F.col("description"), "date_iso")
-
-
-def product_feed_items(run: Run) -> DataFrame:
-    """Product feed: on topic, and linked to the product's own site where the text has such a link."""
-    rows = _feed_entries(run, run.specs("product_feed"))
-    on_topic = X.topic_filter(F.concat_ws(" ", "title", H.html_to_plain(F.col("summary"))), config.PRODUCT_TOPIC_TERMS)
-    rows = rows.where(on_topic).withColumns({
-        "url": F.coalesce(H.first_external_link(F.col("summary"), run.external, F.col("link")), F.lit("")),
-        "description": X.clean_discussion_tail(H.html_to_text(F.col("summary"))),
-    })
-    return run.items(rows, "title", "url", F.col("description"), "date_iso")
-
-
-def launch_feed_items(run: Run) -> DataFrame:
-    """News feed: entries that announce something in title or text."""
-    rows = _feed_entries(run, run.specs("launch_feed")).withColumn("description", H.html_to_text(F.col("summary")))
-    rows = rows.where(X.launch_filter(F.concat_ws(" ", "title", "description")))
-    return run.items(rows.withColumn("link", F.coalesce("link", F.lit(""))), "title", "link", F.col("description"), "date_iso")
 
-
-def title_feed_items(run: Run) -> DataFrame:
-    """Link feed: entries whose title announces something; no description."""
-    rows = _feed_entries(run, run.specs("title_feed")).where(_has("link"))
-    rows = rows.where(X.launch_filter(F.col("title"), config.LAUNCH_TITLE_TERMS))
-    return run.items(rows, "title", "link", F.lit(""), "date_iso")
-
-
-def show_items(run: Run) -> DataFrame:
+def _raw(rows: DataFrame, name: str, url: str, description: Column, date_iso: str, pricing: Column | None = None) -> DataFrame:
+    """The columns that all chains share."""
+    return rows.select(
+        "source", F.col("seq").cast("bigint").alias("seq"), F.col("pos").cast("bigint").alias("pos"),
+        F.col(name).alias("name"), F.col(url).alias("url"), description.alias("description"), F.col(date_iso).alias("date_iso"),
+        (F.lit(None).cast("string") if pricing is None else pricing).alias("pricing"))
+
+
+def feed_rows(run: Run) -> DataFrame:
+    """All feeds in one pass, and the feeds of directories whose posts could not be fetched.
+
+    Plain feeds may be filtered by topic. The product feed must be on topic and
+    links to the product's own site where its text has such a link. Launch
+    feeds must announce something: in title or text, or in the title alone, in
+    which case they carry no description.
+    """
+    posts, feeds = run.specs("posts"), run.specs(*FEED_KINDS)
+    payloads = run.landed(feeds, "feed")
+    if posts:
+        # decided per payload, so the other directories' feeds are not even parsed
+        payloads = source_fallback(payloads, run.landed(posts, "feed"), run.landed(posts, "posts", "failed"))
+    specs = [*feeds, *posts]
+    kind = _per_source(specs, lambda s: s.kind, "string")
+    cap = _per_source(specs, lambda s: s.fallback_cap if s.kind == "posts" else s.cap)
+    rows = S.feed_scan(payloads, cap).withColumns({"date_iso": run.date("published"), "kind": kind})
+    rows = rows.where((F.col("title") != "") & run.recent("date_iso") & ~X.is_listicle(F.col("title")))
+    is_kind = lambda name: F.col("kind") == name
+    rows = rows.where(_has("link") | F.col("kind").isin("product_feed", "launch_feed"))
+    rows = rows.withColumn("text", H.html_to_text(F.col("summary")))
+
+    titled = F.concat_ws(" ", "title", "text")
+    keep = F.lit(True)
+    topical = [s.name for s in feeds if s.topic_filter]
+    if topical:
+        keep = F.when(F.col("source").isin(topical), X.topic_filter(titled)).otherwise(keep)
+    if run.specs("product_feed"):
+        plain = F.concat_ws(" ", "title", H.html_to_plain(F.col("summary")))
+        keep = F.when(is_kind("product_feed"), X.topic_filter(plain, config.PRODUCT_TOPIC_TERMS)).otherwise(keep)
+    if run.specs("launch_feed"):
+        keep = F.when(is_kind("launch_feed"), X.launch_filter(titled)).otherwise(keep)
+    if run.specs("title_feed"):
+        keep = F.when(is_kind("title_feed"), X.launch_filter(F.col("title"), config.LAUNCH_TITLE_TERMS)).otherwise(keep)
+    rows = rows.where(keep)
+
+    url, text = F.coalesce("link", F.lit("")), F.col("text")
+    if run.specs("product_feed"):
+        own_site = F.coalesce(H.first_external_link(F.col("summary"), run.external, F.col("link")), F.lit(""))
+        url = F.when(is_kind("product_feed"), own_site).otherwise(url)
+        text = F.when(is_kind("product_feed"), X.clean_discussion_tail(text)).otherwise(text)
+    if run.specs("title_feed"):
+        text = F.when(is_kind("title_feed"), "").otherwise(text)
+    return _raw(rows.withColumn("url", url), "title", "url", text, "date_iso")
+
+
+def show_rows(run: Run) -> DataFrame:
     """Search hits that show an item; where one has no text, its author's first reply describes it."""
     specs = run.specs("hits")
     hits = S.search_hits_scan(run.landed(specs, "hits"))
@@ -120,7 +126,7 @@ def show_items(run: Run) -> DataFrame:
     hits = hits.where((F.col("title") != "") & _has("url") & (F.coalesce("created_at_i", F.lit(0)) > oldest))
     hits = hits.where(X.show_filter(F.col("title"), F.col("url")))
     hits = distinct_first(hits, "url", ["pos"], within=S.PAYLOAD_KEY)
-    hits = cap_per_source(hits, specs[0].cap if specs else 0).withColumns({
+    hits = cap_per_source(hits, max(s.cap for s in specs)).withColumns({
         "name": X.truncate_text(X.clean_show_prefix(F.col("title")), config.HIT_NAME_CHARS),
         "description": H.html_to_text(F.coalesce("story_text", F.lit(""))),
         "date_iso": epoch_to_iso(F.col("created_at_i")),
@@ -128,60 +134,54 @@ def show_items(run: Run) -> DataFrame:
     })
     replies = S.replies_scan(run.landed(specs, "replies"))
     hits = first_author_reply(hits, replies, H.html_to_text)
-    return run.items(hits, "name", "url", F.col("description"), "date_iso")
+    return _raw(hits, "name", "url", F.col("description"), "date_iso")
 
 
-def posts_items(run: Run) -> DataFrame:
-    """WordPress directories, and the feeds of those whose posts could not be fetched."""
-    specs = run.specs("posts")
-    posts = S.wp_posts_scan(run.landed(specs, "posts")).withColumns({
+def posts_rows(run: Run) -> DataFrame:
+    """WordPress directories: the first link out of a post, described by its excerpt."""
+    posts = S.wp_posts_scan(run.landed(run.specs("posts"), "posts")).withColumns({
         "name": H.html_to_plain(F.col("title")),
-        "date_iso": run.date(F.col("date")),
+        "date_iso": run.date("date"),
     })
-    posts = posts.where((F.col("name") != "") & run.recent(F.col("date_iso")) & ~X.is_listicle(F.col("name")))
+    posts = posts.where((F.col("name") != "") & run.recent("date_iso") & ~X.is_listicle(F.col("name")))
     posts = posts.withColumn("url", H.first_external_link(F.col("content"), run.external, F.col("link"))).where(_has("url"))
-    posts = posts.withColumn("description", X.excerpt_fallback(H.html_to_text(F.col("excerpt")), H.html_to_text(F.col("content"))))
-    primary = run.items(posts, "name", "url", F.col("description"), "date_iso")
-    secondary = feed_items(run, specs, lambda s: s.fallback_cap)
-    return source_fallback(primary, secondary, run.landed(specs, "posts", "failed"))
+    text = X.excerpt_fallback(H.html_to_text(F.col("excerpt")), H.html_to_text(F.col("content")))
+    return _raw(posts, "name", "url", text, "date_iso")
 
 
-def sitemap_items(run: Run) -> DataFrame:
+def sitemap_rows(run: Run) -> DataFrame:
     """Recently changed pages of a sitemap, described by their own properties."""
     specs = run.specs("sitemap")
     listed = S.sitemap_scan(run.landed(specs, "sitemap"), run.as_of, run.parity)
-    listed = cap_per_source(listed, specs[0].cap if specs else 0)
+    listed = cap_per_source(listed, max(s.cap for s in specs))
     pages = run.landed(specs, "page").select("source", "seq", F.col("url").alias("loc"), "payload")
     rows = S.page_meta_scan(listed.join(pages, ["source", "seq", "loc"]), "loc")
-    rows = rows.where(~X.is_listicle(F.col("title")))
-    return run.items(rows, "title", "loc", F.col("description"), "date_iso")
+    return _raw(rows.where(~X.is_listicle(F.col("title"))), "title", "loc", F.col("description"), "date_iso")
 
 
-def embedded_items(run: Run) -> DataFrame:
+def embedded_rows(run: Run) -> DataFrame:
     """Tools in a page's script data; tiers and dates are looked up by slug."""
     objects = S.embedded_payload_scan(run.landed(run.specs("embedded"), "embedded"))
     key = [*S.PAYLOAD_KEY, "slug"]
     facts = last_by_slug(objects, ["tier", "date"], key)
     tools = objects.where(F.col("name").isNotNull()).drop("tier", "date")
     rows = lookup_by_slug(tools, facts, {"tier": config.UNKNOWN_PRICING, "date": ""}, key)
-    rows = rows.where(run.recent(F.col("date")))
-    return run.items(rows, "name", "website_url", F.col("description"), "date", X.map_pricing_tier(F.col("tier")))
+    return _raw(rows.where(run.recent("date")), "name", "website_url", F.col("description"), "date", X.map_pricing_tier(F.col("tier")))
 
 
-def listing_items(run: Run) -> DataFrame:
+def listing_rows(run: Run) -> DataFrame:
     """Rows of a listing page."""
     rows = S.html_rows_scan(run.landed(run.specs("listing"), "listing")).where(_has("release_ts") & _has("href"))
     rows = rows.withColumn("date_iso", epoch_to_iso(F.col("release_ts").try_cast("bigint")))
-    rows = rows.where(
-        run.recent(F.col("date_iso")) & X.min_length(F.col("name"), config.MIN_NAME_CHARS) & ~X.is_listicle(F.col("name")))
-    return run.items(rows, "name", "href", F.col("tagline"), "date_iso")
+    named = X.min_length(F.col("name"), config.MIN_NAME_CHARS) & ~X.is_listicle(F.col("name"))
+    return _raw(rows.where(run.recent("date_iso") & named), "name", "href", F.col("tagline"), "date_iso")
 
 
-def newsletter_items(run: Run) -> DataFrame:
+def newsletter_rows(run: Run) -> DataFrame:
     """Links of recent newsletter issues, described by the sentence around them."""
     specs = run.specs("newsletter")
-    issues = S.feed_scan(run.landed(specs, "feed"), _per_source(specs, lambda s: s.cap))
-    issues = issues.withColumn("date_iso", run.date(F.col("published"))).where(run.recent(F.col("date_iso")) & _has("link"))
+    issues = S.feed_scan(run.landed(specs, "feed"), _per_source(specs, lambda s: s.cap)).withColumn("date_iso", run.date("published"))
+    issues = issues.where(run.recent("date_iso") & _has("link"))
     issues = issues.select(*S.PAYLOAD_KEY, F.col("pos").alias("issue"), F.col("link").alias("url"), "date_iso")
     pages = run.landed(specs, "page").select("source", "seq", "url", "payload")
     articles = issues.join(pages, ["source", "seq", "url"])
@@ -192,22 +192,24 @@ def newsletter_items(run: Run) -> DataFrame:
     links = links.where(F.col("href").startswith("http") & X.min_length(F.col("text"), config.MIN_ANCHOR_CHARS))
     links = blocklist_anti(links, match="contains" if run.parity else "suffix")
     links = distinct_links_per_article(links, [*S.PAYLOAD_KEY, "issue"])
-    return run.items(links, "text", "href", X.clean_leading_label(F.col("context")), "date_iso")
+    return _raw(links, "text", "href", X.clean_leading_label(F.col("context")), "date_iso")
+
+
+# chain -> the kinds of source it serves
+CHAINS = {
+    feed_rows: [*FEED_KINDS, "posts"], show_rows: ["hits"], posts_rows: ["posts"], embedded_rows: ["embedded"],
+    listing_rows: ["listing"], newsletter_rows: ["newsletter"], sitemap_rows: ["sitemap"],
+}
 
 
 def collect(landing: DataFrame, as_of: datetime, sources: Sequence[SourceSpec] | None = None, parity: bool = True) -> DataFrame:
-    """All items of a run, in the record schema with their arrival order."""
+    """All items of a run: the record fields and the arrival order (source_rank, seq, pos)."""
     run = Run(landing, as_of, tuple(default_sources() if sources is None else sources), parity)
-    chains = {
-        "product_feed": product_feed_items, "hits": show_items, "posts": posts_items, "embedded": embedded_items,
-        "listing": listing_items, "newsletter": newsletter_items, "feed": lambda r: feed_items(r, r.specs("feed")),
-        "launch_feed": launch_feed_items, "title_feed": title_feed_items, "sitemap": sitemap_items,
-    }
-    present = {s.kind for s in run.sources}
-    unknown = present - set(chains)
+    unknown = {s.kind for s in run.sources} - {kind for kinds in CHAINS.values() for kind in kinds}
     if unknown:
         raise ValueError(f"unknown source kinds: {sorted(unknown)}")
-    return union_sources([chain(run) for kind, chain in chains.items() if kind in present])
-
-
-__all__ = ["ARRIVAL_ORDER", "Run", "collect"]
+    rows = union_sources([chain(run) for chain, kinds in CHAINS.items() if run.specs(*kinds)])
+    col = F.col
+    return rows.select(
+        *item_columns(col("name"), col("url"), col("description"), col("source"), col("date_iso"), as_of.isoformat(), col("pricing")),
+        _per_source(run.sources, lambda s: s.rank).alias("source_rank"), "seq", "pos")

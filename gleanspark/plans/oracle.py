@@ -50,7 +50,7 @@ def pricing(text: str, match=any_of) -> str:
 
 def categories(text: str, table: Mapping[str, Sequence[str]] = config.CATEGORY_TERMS) -> str:
     cases = ", ".join(f"CASE WHEN {any_word(f'lower({text})', words)} THEN {lit(c)} END" for c, words in table.items())
-    return f"array_to_string(list_slice(list_filter([{cases}], c -> c IS NOT NULL), 1, 3), ',')"
+    return f"array_to_string(list_slice([c FOR c IN [{cases}] IF c IS NOT NULL], 1, 3), ',')"
 
 
 def norm_url(url: str) -> str:
@@ -128,9 +128,10 @@ def launch_feed(where="true"):
 
 
 def title_feed(where="true"):
-    return _chain(item("title", "tool_url", "''", "source", UTC_ISO),
-                  f"{where} AND pos < 20 AND title <> '' AND {RECENT} AND NOT {listicle('title')} "
-                  f"AND {any_of('lower(title)', config.LAUNCH_TITLE_TERMS)}")
+    title = strip("(name || CASE WHEN lang IN ('fr', 'es') THEN ' library' ELSE '' END)")
+    return _chain(item(title, "tool_url", "''", "source", UTC_ISO),
+                  f"{where} AND pos < 20 AND {title} <> '' AND {RECENT} AND NOT {listicle(title)} "
+                  f"AND {any_of(f'lower({title})', config.LAUNCH_TITLE_TERMS)}")
 
 
 def hits(where="true"):

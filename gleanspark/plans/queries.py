@@ -12,7 +12,9 @@ from ..operators import dedup, items as I, joins as J, triage as T
 from ..sources import payloads as S
 from ..sources.combine import source_fallback, union_sources
 from . import oracle as O, samples
+from ..session import cut_lineage
 from .collect import collect
+from .nightly import merge_run
 from .samples import AS_OF, item_docs, item_pages, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,7 +213,7 @@ def _epoch(spark, sf):
 # --- Pages ---
 
 OG = "starts_with(url, 'https')"
-SLUG = "list_transform(string_split(replace(list_extract(string_split(regexp_replace(url, '/+$', ''), '/'), -1), '-', ' '), ' '), w -> upper(left(w, 1)) || lower(substring(w, 2)))"
+SLUG = "[upper(left(w, 1)) || lower(substring(w, 2)) FOR w IN string_split(replace(list_extract(string_split(regexp_replace(url, '/+$', ''), '/'), -1), '-', ' '), ' ')]"
 
 
 @query("page_meta", f"""WITH {O.PAGES} SELECT page_id, CASE WHEN {OG} THEN {O.strip("replace(pgs.name, '&amp;', '&')")} ELSE array_to_string({SLUG}, ' ') END AS title,
@@ -251,7 +253,7 @@ MARKED = r"""regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>
 DECODED = f"replace(replace(replace({MARKED}, '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&')"
 
 
-@query("html_text", f"""SELECT page_id, array_to_string(list_filter(list_transform(string_split({DECODED}, chr(1)), n -> {O.strip('n')}), n -> n <> ''), ' ') AS text FROM pages""")
+@query("html_text", f"""SELECT page_id, array_to_string([{O.strip('n')} FOR n IN string_split({DECODED}, chr(1)) IF {O.strip('n')} <> ''], ' ') AS text FROM pages""")
 def _html_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", H.html_to_text(F.col("html")).alias("text"))
 
@@ -636,10 +638,8 @@ PREVIOUS = f"""{O.PAGES}, {O.keyed('tp', 'pgs')}, {O.greedy('gp', 'tp')}, pv AS
       AND {O.name_key('name')} NOT IN (SELECT {O.name_key('name')} FROM fr))
     SELECT * FROM merged WHERE length({O.strip('name')}) >= 3""")
 def _nightly(spark, sf):
-    from .nightly import merge_run
-
     landed = samples.land_mixed(table(spark, sf, "documents"))
-    collected = collect(landed, AS_OF, samples.sources())
+    collected = cut_lineage(collect(landed, AS_OF, samples.sources()))
     pages = _pages(spark, sf)
     fields = I.item_columns(F.col("name"), F.col("tool_url"), F.lit(""), F.col("source"), F.lit("2024-01-02"), AS_OF.isoformat())
     order = [F.lit(1000).alias("source_rank"), F.lit(0).cast("bigint").alias("seq"), F.col("rank").alias("pos")]

@@ -100,13 +100,18 @@ def _atom(entries: str) -> Column:
     return F.to_xml(F.struct(items.alias("entry")), {"rowTag": "feed"})
 
 
-def land_feed(docs: DataFrame, atom: bool = False) -> DataFrame:
-    rows = dated(docs)
+def land_feed(docs: DataFrame, atom: bool = False, title: Column | None = None) -> DataFrame:
+    rows = dated(docs).withColumn("title", F.col("name") if title is None else title)
     summary = F.concat(F.lit("<p>"), "text_html", F.lit("</p>"))
-    blocks = _blocks(rows, F.col("name").alias("title"), F.col("tool_url").alias("link"), summary.alias("summary"), F.col("rfc"))
+    blocks = _blocks(rows, F.col("title"), F.col("tool_url").alias("link"), summary.alias("summary"), F.col("rfc"))
     return _land(blocks, "feed", _atom("entries") if atom else _rss("entries"))
 
 
+def land_title_feed(docs: DataFrame) -> DataFrame:
+    """Link feeds in which French and Spanish titles name a library."""
+    return land_feed(docs, title=F.concat("name", F.when(F.col("lang").isin("fr", "es"), " library").otherwise("")))
+
+
 def land_product_feed(docs: DataFrame) -> DataFrame:
     """Each entry has a directory link, then a link of its own, which for German ones is blocked too."""
     rows = dated(docs)
@@ -214,7 +219,7 @@ def land_sitemap(docs: DataFrame) -> DataFrame:
 
 
 LANDERS = {
-    "feed": land_feed, "launch_feed": land_feed, "title_feed": land_feed, "product_feed": land_product_feed, "hits": land_hits,
+    "feed": land_feed, "launch_feed": land_feed, "title_feed": land_title_feed, "product_feed": land_product_feed, "hits": land_hits,
     "posts": land_posts, "embedded": land_embedded, "listing": land_listing, "newsletter": land_newsletter, "sitemap": land_sitemap,
 }
 
