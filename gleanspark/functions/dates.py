@@ -46,17 +46,25 @@ ISO_WEEK = r"^(\d{4})-?W(\d{2})(?:-?([1-7]))?"
 
 def _parts(text: Column, forms: list[tuple[str, str]]) -> Column:
     """The eight date parts of the first form that fits, else null."""
-    fields = F.coalesce(*[F.when(text.rlike(p), F.regexp_replace(text, p, order)) for p, order in forms])
-    return F.split(fields, r"\|", -1)
+    def fields(t: Column) -> Column:
+        return F.coalesce(*[F.when(t.rlike(p), F.regexp_replace(t, p, order)) for p, order in forms])
+
+    return F.split(let(text, fields), r"\|", -1)
+
+
+def _digits(part: Column) -> Column:
+    """A part that is digits or empty, empty as 0. A failed cast would cost far more than this test."""
+    return F.when(part == "", "0").otherwise(part)
 
 
 def _number(part: Column) -> Column:
-    return F.coalesce(part.try_cast("int"), F.lit(0))
+    return _digits(part).cast("int")
 
 
 def _month(part: Column) -> Column:
-    named = constant({name: number for number, name in enumerate(MONTHS, 1)}, "map<string,int>")
-    return F.coalesce(part.try_cast("int"), F.try_element_at(named, F.lower(part)))
+    """Month by its name or number; 0, which is no month, for any other number."""
+    numbers = {form: n for n, name in enumerate(MONTHS, 1) for form in (name, str(n), f"{n:02d}")}
+    return F.coalesce(F.try_element_at(constant(numbers, "map<string,int>"), F.lower(part)), F.lit(0))
 
 
 def _zone(part: Column) -> Column:
@@ -68,13 +76,13 @@ def _zone(part: Column) -> Column:
 
 def _instant(parts: Column) -> Column:
     """Timestamp of the parts; a missing zone means UTC."""
-    zone = F.coalesce(F.nullif(_zone(parts[7]), F.lit("")), F.lit("+00:00"))
-    seconds = F.concat(parts[5], F.lit("."), F.rpad(parts[6], 6, "0"))
+    zone = F.when(parts[7] == "", "+00:00").otherwise(_zone(parts[7]))
+    seconds = F.concat(_digits(parts[5]), F.lit("."), F.rpad(parts[6], 6, "0"))
     return F.when(
         _number(parts[5]) < 60,
         F.try_make_timestamp(
             _number(parts[0]), _month(parts[1]), _number(parts[2]), _number(parts[3]), _number(parts[4]),
-            F.coalesce(seconds.try_cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)")),
+            seconds.cast("decimal(16,6)"),
             zone,
         ),
     )
@@ -95,7 +103,7 @@ def parse_date(text: Column, parity: bool = False) -> Column:
 
 
 def _iso_string(parts: Column) -> Column:
-    fraction = F.when(parts[6].try_cast("int") > 0, F.concat(F.lit("."), F.rpad(parts[6], 6, "0"))).otherwise("")
+    fraction = F.when(~parts[6].rlike("^0*$"), F.concat(F.lit("."), F.rpad(parts[6], 6, "0"))).otherwise("")
     iso = F.concat(
         F.lpad(parts[0], 4, "0"), F.lit("-"), _two(_month(parts[1])), F.lit("-"), _two(parts[2]), F.lit("T"),
         _two(parts[3]), F.lit(":"), _two(parts[4]), F.lit(":"), _two(parts[5]), fraction, _zone(parts[7]),
@@ -105,16 +113,18 @@ def _iso_string(parts: Column) -> Column:
 
 def iso_timestamp(text: Column) -> Column:
     """Instant of an ISO 8601 string, null when it is not one; without a zone it is UTC."""
-    plain = F.when(text.rlike(ISO_WEEK), let(
-        F.split(F.regexp_replace(text, ISO_WEEK + "(.*)$", "$1|$2|$3|$4"), r"\|", -1), _week_date)).otherwise(text)
-    return let(_parts(plain, ISO_FORMS), _instant)
+    def plain(t: Column) -> Column:
+        week = F.split(F.regexp_replace(t, ISO_WEEK + "(.*)$", "$1|$2|$3|$4"), r"\|", -1)
+        return F.when(t.rlike(ISO_WEEK), let(week, _week_date)).otherwise(t)
+
+    return let(_parts(let(text, plain), ISO_FORMS), _instant)
 
 
 def _week_date(week: Column) -> Column:
     """Plain date, and the rest, of an ISO week date; week 1 holds January 4."""
     monday = F.date_trunc("week", F.try_make_timestamp(
         _number(week[0]), F.lit(1), F.lit(4), F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)"))).cast("date")
-    day = F.date_add(monday, (_number(week[1]) - 1) * 7 + F.coalesce(week[2].try_cast("int"), F.lit(1)) - 1)
+    day = F.date_add(monday, (_number(week[1]) - 1) * 7 + F.when(week[2] == "", 1).otherwise(week[2].cast("int")) - 1)
     return F.concat(day.cast("string"), week[3])
 
 

@@ -100,7 +100,7 @@ def contains_any(text: Column, terms: Sequence[str], whole_word: bool = False) -
     if whole_word:
         return text.rlike(f"{WORD_START}(?:{quoted(terms)}){WORD_END}")
     # byte search: about three times as fast as an alternation in a regular expression
-    return reduce(or_, [text.contains(t) for t in shortest_terms(terms)])
+    return let(text, lambda t: reduce(or_, [t.contains(term) for term in shortest_terms(terms)]))
 
 
 def min_length(text: Column, chars: int) -> Column:
@@ -115,12 +115,14 @@ def guess_pricing(
     whole_word: bool = False,
 ) -> Column:
     """Freemium, free or unknown, by words in the text; freemium wins."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    return (
-        F.when(contains_any(low, freemium, whole_word), "freemium")
-        .when(contains_any(low, free, whole_word), "free")
-        .otherwise(UNKNOWN_PRICING)
-    )
+    def guess(low: Column) -> Column:
+        return (
+            F.when(contains_any(low, freemium, whole_word), "freemium")
+            .when(contains_any(low, free, whole_word), "free")
+            .otherwise(UNKNOWN_PRICING)
+        )
+
+    return let(F.lower(F.coalesce(text, F.lit(""))), guess)
 
 
 def map_pricing_tier(tier: Column) -> Column:

@@ -18,8 +18,8 @@ from ..schema import ARRIVAL_ORDER
 from ..session import cut_lineage
 from .skew import HOT_ROWS, hot_keys, salted_join
 
-MIN_ROUNDS = 8
-TAIL_ROWS = 200_000
+MIN_ROUNDS = 3
+TAIL_ROWS = 50_000
 
 
 def with_keys(items: DataFrame) -> DataFrame:
@@ -57,11 +57,12 @@ def greedy_winners(edges: DataFrame, hot_rows: int = HOT_ROWS, min_rounds: int =
     its counted size is at most `tail_rows`; until then the rounds go on.
     """
     edges = cut_lineage(edges)
-    hot_u, hot_n = hot_keys(edges, ["u"], hot_rows), hot_keys(edges, ["n"], hot_rows)
+    left = edges.count()
+    hot_u, hot_n = (hot_keys(edges, [k], hot_rows) if left > hot_rows else [] for k in ("u", "n"))
     kept = []
     rounds = 0
-    while not edges.isEmpty():
-        if rounds >= min_rounds and edges.count() <= tail_rows:
+    while left:
+        if rounds >= min_rounds and left <= tail_rows:
             ordered = edges.repartition(1).sortWithinPartitions("rank")
             kept.append(cut_lineage(ordered.mapInPandas(_sequential_tail, edges.schema)))
             break
@@ -71,8 +72,9 @@ def greedy_winners(edges: DataFrame, hot_rows: int = HOT_ROWS, min_rounds: int =
         kept.append(wins)
         edges = salted_join(edges, wins.select("u"), ["u"], "left_anti", hot_u)
         edges = cut_lineage(salted_join(edges, wins.select("n"), ["n"], "left_anti", hot_n))
+        left = edges.count()
         rounds += 1
-    return reduce(DataFrame.unionByName, kept, edges).select("rank")
+    return reduce(DataFrame.unionByName, kept, edges.limit(0)).select("rank")
 
 
 def greedy_dedup(

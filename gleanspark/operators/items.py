@@ -44,14 +44,19 @@ def iso_moment(moment: datetime) -> str:
     return moment.isoformat()
 
 
-def cap_per_source(rows: DataFrame, cap: int | Column, keys: Sequence[str] = ("source", "seq"), order: Sequence[str] = ("pos",)) -> DataFrame:
-    """L2: the first `cap` rows per source by position.
+def cap_per_source(
+    rows: DataFrame, cap: int, keys: Sequence[str] = ("source", "seq"), order: Sequence[str] = ("pos",), own_cap: Column | None = None,
+) -> DataFrame:
+    """L2: the first `cap` rows per source by position; `own_cap` may be lower for some sources.
 
-    With a plain number Spark cuts each task's rows before the shuffle, so a
-    source with a third of all rows sends no more than `cap` rows per task.
+    The number lets Spark cut each task's rows before the shuffle, so a source
+    with a third of all rows sends no more than `cap` rows per task.
     """
     numbered = rows.withColumn("row_in_source", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return numbered.where(F.col("row_in_source") <= cap).drop("row_in_source")
+    capped = numbered.where(F.col("row_in_source") <= cap)
+    if own_cap is not None:
+        capped = capped.where(F.col("row_in_source") <= own_cap)
+    return capped.drop("row_in_source")
 
 
 def newest_first(items: DataFrame, order: Sequence[str] = ARRIVAL_ORDER, chronological: bool = False) -> DataFrame:

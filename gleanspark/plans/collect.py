@@ -72,6 +72,11 @@ def _raw(rows: DataFrame, name: str, url: str, description: Column, date_iso: st
         (F.lit(None).cast("string") if pricing is None else pricing).alias("pricing"))
 
 
+def _capped(rows: DataFrame, specs: Sequence[SourceSpec]) -> DataFrame:
+    """Each payload's first rows, as many as its source's cap."""
+    return cap_per_source(rows, max(s.cap for s in specs), own_cap=_per_source(specs, lambda s: s.cap))
+
+
 def feed_rows(run: Run) -> DataFrame:
     """All feeds in one pass, and the feeds of directories whose posts could not be fetched.
 
@@ -126,7 +131,7 @@ def show_rows(run: Run) -> DataFrame:
     hits = hits.where((F.col("title") != "") & _has("url") & (F.coalesce("created_at_i", F.lit(0)) > oldest))
     hits = hits.where(X.show_filter(F.col("title"), F.col("url")))
     hits = distinct_first(hits, "url", ["pos"], within=S.PAYLOAD_KEY)
-    hits = cap_per_source(hits, max(s.cap for s in specs)).withColumns({
+    hits = _capped(hits, specs).withColumns({
         "name": X.truncate_text(X.clean_show_prefix(F.col("title")), config.HIT_NAME_CHARS),
         "description": H.html_to_text(F.coalesce("story_text", F.lit(""))),
         "date_iso": epoch_to_iso(F.col("created_at_i")),
@@ -153,7 +158,7 @@ def sitemap_rows(run: Run) -> DataFrame:
     """Recently changed pages of a sitemap, described by their own properties."""
     specs = run.specs("sitemap")
     listed = S.sitemap_scan(run.landed(specs, "sitemap"), run.as_of, run.parity)
-    listed = cap_per_source(listed, max(s.cap for s in specs))
+    listed = _capped(listed, specs)
     pages = run.landed(specs, "page").select("source", "seq", F.col("url").alias("loc"), "payload")
     rows = S.page_meta_scan(listed.join(pages, ["source", "seq", "loc"]), "loc")
     return _raw(rows.where(~X.is_listicle(F.col("title"))), "title", "loc", F.col("description"), "date_iso")

@@ -622,7 +622,7 @@ def _html_rows(spark, sf):
 for _kind in O.CHAINS:
     @query(f"collect_{_kind}", O.chain_query(_kind))
     def _run_chain(spark, sf, kind=_kind):
-        landed = samples.LANDERS[kind](table(spark, sf, "documents"))
+        landed = cut_lineage(samples.LANDERS[kind](table(spark, sf, "documents")))
         return _flat(collect(landed, AS_OF, samples.sources(kind), parity=kind not in ("posts", "newsletter")))
 
 
@@ -638,7 +638,7 @@ PREVIOUS = f"""{O.PAGES}, {O.keyed('tp', 'pgs')}, {O.greedy('gp', 'tp')}, pv AS
       AND {O.name_key('name')} NOT IN (SELECT {O.name_key('name')} FROM fr))
     SELECT * FROM merged WHERE length({O.strip('name')}) >= 3""")
 def _nightly(spark, sf):
-    landed = samples.land_mixed(table(spark, sf, "documents"))
+    landed = cut_lineage(samples.land_mixed(table(spark, sf, "documents")))
     collected = cut_lineage(collect(landed, AS_OF, samples.sources()))
     pages = _pages(spark, sf)
     fields = I.item_columns(F.col("name"), F.col("tool_url"), F.lit(""), F.col("source"), F.lit("2024-01-02"), AS_OF.isoformat())

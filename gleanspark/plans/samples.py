@@ -10,6 +10,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import spread_small
 from ..config import ARTICLE_CONTAINER_CLASS, SCRIPT_CHUNK_PREFIX, SourceSpec
 
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
@@ -22,7 +23,7 @@ KINDS = ["product_feed", "hits", "posts", "embedded", "listing", "newsletter", "
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_small(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def item_docs(docs: DataFrame) -> DataFrame:

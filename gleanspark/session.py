@@ -27,6 +27,15 @@ def session(app: str = "gleanspark", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread input that has fewer partitions than there are cores, such as one file with one row group.
+
+    Large inputs have more partitions than cores and come back as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` to the checkpoint folder and go on from there.
 
