@@ -141,8 +141,9 @@ def as_instant(moment: datetime | str | Column) -> Column:
 
 def is_recent(date_iso: Column, as_of: datetime | str | Column, hours: int = config.RECENT_HOURS) -> Column:
     """At most `hours` old, ends included. A missing or unreadable date counts as recent."""
-    oldest = as_instant(as_of) - F.make_dt_interval(hours=F.lit(hours))
-    return F.coalesce(iso_timestamp(date_iso) >= oldest, F.lit(True))
+    # in microseconds: a timestamp less an interval would follow the session zone's clock changes
+    oldest = F.unix_micros(as_instant(as_of)) - hours * 3_600_000_000
+    return F.coalesce(F.unix_micros(iso_timestamp(date_iso)) >= oldest, F.lit(True))
 
 
 def epoch_to_iso(seconds: Column) -> Column:

@@ -15,8 +15,12 @@ BREAK = "\x01"
 # comments, declarations and elements whose text is not page text
 HIDDEN = r"(?is)<!--.*?-->|<(script|style|template|rt|rp)\b[^>]*>.*?</\1\s*>|<[!?][^>]*>"
 TAG = r"""</?[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|</?[A-Za-z][^>]*>"""
-HREF = r"""(?is)<a(?=[\s"'/])(?:[^>"']++|"[^"]*+"|'[^']*+')*?[\s"'/]href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-ANCHOR = r"(?is)<a[\s/][^>]*>.*?</a\s*>"
+# tags are read attribute by attribute, so each takes few steps and quoted values may hold anything
+GAP = r"""[\s/"'=]*+"""
+ATTRIBUTE = r"""[^\s=>"'/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']++))?"""
+HREF = rf"""(?is)<a(?=[\s/])(?:{GAP}(?!href[\s=]){ATTRIBUTE})*+{GAP}href\s*+=\s*+("[^"]*"|'[^']*'|[^\s>"']+)"""
+# an anchor that is not closed ends where the next one starts
+ANCHOR = rf"""(?is)<a(?=[\s/])(?:{GAP}{ATTRIBUTE})*+{GAP}>.*?(?:</a\s*>|(?=<a[\s/>])|$)"""
 META = r"""(?is)<meta(?=[\s"'/])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
