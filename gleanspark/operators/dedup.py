@@ -6,17 +6,17 @@ nor its name key belongs to a kept row, exactly as if the rows came one by one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .. import config
 from ..functions.text import min_length, name_key, url_key
 from ..schema import ARRIVAL_ORDER
 from ..session import cut_lineage
-from .skew import HOT_ROWS, hot_keys, salted_join
+from .skew import HOT_ROWS, hot_keys, is_small, salted_join
 
 MIN_ROUNDS = 3
 TAIL_ROWS = 50_000
@@ -58,6 +58,7 @@ def greedy_winners(edges: DataFrame, hot_rows: int = HOT_ROWS, min_rounds: int =
     """
     edges = cut_lineage(edges)
     left = edges.count()
+    edges, unpack = _packed(edges)
     hot_u, hot_n = (hot_keys(edges, [k], hot_rows) if left > hot_rows else [] for k in ("u", "n"))
     kept = []
     rounds = 0
@@ -74,7 +75,34 @@ def greedy_winners(edges: DataFrame, hot_rows: int = HOT_ROWS, min_rounds: int =
         edges = cut_lineage(salted_join(edges, wins.select("n"), ["n"], "left_anti", hot_n))
         left = edges.count()
         rounds += 1
-    return reduce(DataFrame.unionByName, kept, edges.limit(0)).select("rank")
+    return reduce(DataFrame.unionByName, kept, edges.limit(0)).select(unpack(F.col("rank")).alias("rank"))
+
+
+def _packed(edges: DataFrame) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """Edges with a rank of several whole numbers packed into one bigint, in the same order, and how to unpack it.
+
+    The smallest bigint per key is found by hash aggregation, the smallest
+    struct only by sorting. Ranks that need more than 63 bits stay as they are.
+    """
+    parts = edges.schema["rank"].dataType
+    if not isinstance(parts, T.StructType) or not all(isinstance(f.dataType, T.IntegralType) for f in parts):
+        return edges, lambda rank: rank
+    names = parts.names
+    limits = edges.agg(*[f(f"rank.{c}").alias(f"{f.__name__}_{c}") for c in names for f in (F.min, F.max)]).first()
+    bits = [(limits[f"max_{c}"] or 0).bit_length() for c in names]
+    if sum(bits) > 63 or any((limits[f"min_{c}"] or 0) < 0 for c in names):
+        return edges, lambda rank: rank
+    shifts = [sum(bits[i + 1:]) for i in range(len(names))]
+    packed = F.lit(0).cast("bigint")
+    for name, shift in zip(names, shifts):
+        packed = packed.bitwiseOR(F.shiftleft(F.col(f"rank.{name}").cast("bigint"), shift))
+
+    def unpack(rank: Column) -> Column:
+        return F.struct(*[
+            F.shiftright(rank, shift).bitwiseAND(F.lit((1 << width) - 1)).cast(part.dataType).alias(part.name)
+            for part, shift, width in zip(parts, shifts, bits)])
+
+    return edges.withColumn("rank", packed), unpack
 
 
 def greedy_dedup(
@@ -122,12 +150,18 @@ def cumulative_merge(fresh: DataFrame, previous: DataFrame, assume_clean: bool =
 
     With `assume_clean` both sides are results of the greedy rule, so keys are
     unique on each side, no key can be hot, and two anti joins are exact.
-    Otherwise the greedy rule runs over both, fresh rows first.
+    The keys of one run's rows are sent to every executor when they are proven
+    small, so that the snapshot is read but not shuffled; larger ones are
+    shuffled. Without `assume_clean` the greedy rule runs over both, fresh rows
+    first.
     """
     if not assume_clean:
         both = fresh.withColumn("run_age", F.lit(0)).unionByName(previous.withColumn("run_age", F.lit(1)))
         return greedy_dedup(both, ["run_age", *order]).drop("run_age")
-    old = previous.join(fresh.select("url_key"), "url_key", "left_anti").join(fresh.select("name_key"), "name_key", "left_anti")
+    old = previous
+    for key in ("url_key", "name_key"):
+        taken = fresh.select(key)
+        old = old.join(F.broadcast(taken) if is_small(taken) else taken, key, "left_anti")
     return fresh.unionByName(old)
 
 

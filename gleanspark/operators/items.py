@@ -11,6 +11,7 @@ from .. import config
 from ..functions import text as X
 from ..functions.dates import iso_timestamp
 from ..schema import ARRIVAL_ORDER
+from .skew import is_small
 
 
 def item_columns(
@@ -77,14 +78,21 @@ def count_by_pricing(items: DataFrame) -> DataFrame:
 
 
 def never_seen(fresh: DataFrame, previous: DataFrame) -> DataFrame:
-    """Fresh rows whose url key (the name does not matter) is not in the previous snapshot."""
-    return fresh.join(previous.select("url_key"), "url_key", "left_anti")
+    """Fresh rows whose url key (the name does not matter) is not in the previous snapshot.
+
+    When the fresh keys are proven small, the snapshot's keys are matched where
+    they lie and only the known ones move; otherwise both sides are shuffled.
+    """
+    known = previous.select("url_key")
+    keys = fresh.select("url_key").distinct()
+    if is_small(keys):
+        known = known.join(F.broadcast(keys), "url_key", "left_semi")
+    return fresh.join(known, "url_key", "left_anti")
 
 
 def new_count(fresh: DataFrame, previous: DataFrame) -> DataFrame:
     """J2 as a count, one row. Fresh rows are counted per url key before the join, so no key is hot."""
-    per_key = fresh.groupBy("url_key").agg(F.count("*").alias("rows"))
-    unseen = per_key.join(previous.select("url_key"), "url_key", "left_anti")
+    unseen = never_seen(fresh.groupBy("url_key").agg(F.count("*").alias("rows")), previous)
     return unseen.agg(F.coalesce(F.sum("rows"), F.lit(0).cast("bigint")).alias("new_today"))
 
 

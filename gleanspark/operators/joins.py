@@ -12,7 +12,8 @@ from .skew import HOT_ROWS, balanced_join
 
 
 def first_author_reply(
-    items: DataFrame, replies: DataFrame, as_text: Callable[[Column], Column] = lambda reply: reply, hot_rows: int = HOT_ROWS,
+    items: DataFrame, replies: DataFrame, as_text: Callable[[Column], Column] = lambda reply: reply,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Items (story_id, author, description) without a description get their author's first reply.
 
@@ -35,7 +36,8 @@ def last_by_slug(pairs: DataFrame, values: Sequence[str], slug: Sequence[str] =
 
 
 def lookup_by_slug(
-    tools: DataFrame, lookup: DataFrame, defaults: dict[str, object], slug: Sequence[str] = ("slug",), hot_rows: int = HOT_ROWS,
+    tools: DataFrame, lookup: DataFrame, defaults: dict[str, object], slug: Sequence[str] = ("slug",),
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Values of a lookup that is unique on `slug`, with a default where it has none."""
     joined = balanced_join(tools, lookup, slug, "left", hot_rows)

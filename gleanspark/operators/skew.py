@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 HOT_ROWS = 200_000
 MAX_HOT_KEYS = 256
 SALTS = 64
+BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_OVERHEAD = 64
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
@@ -44,6 +46,16 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return left.join(right, [*keys, "salt"], how).drop("salt")
 
 
-def balanced_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """`salted_join` with the hot keys counted on the left first."""
-    return salted_join(left, right, keys, how, hot_keys(left, keys, hot_rows))
+def balanced_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """`salted_join` with the hot keys counted on the left first.
+
+    Counting reads the left keys once more. Give None where the caller knows
+    that no key can be hot, such as keys inside one payload.
+    """
+    return salted_join(left, right, keys, how, [] if hot_rows is None else hot_keys(left, keys, hot_rows))
+
+
+def is_small(keys: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a one-column DataFrame of strings is proven small enough to send to every executor."""
+    size = F.sum(F.octet_length(keys.columns[0]) + F.lit(ROW_OVERHEAD))
+    return (keys.agg(size).first()[0] or 0) <= max_bytes

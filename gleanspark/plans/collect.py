@@ -2,7 +2,8 @@
 
 Sources of one kind share one plan, with per-source settings looked up by
 source, so the landed table is read once per kind and not once per source.
-Chains give raw rows; the record is built once, over all of them.
+Chains give raw rows; the record is built once, over all of them. Join keys in
+the chains lie inside one payload, so none of them can be hot.
 """
 
 from __future__ import annotations
@@ -89,7 +90,7 @@ def feed_rows(run: Run) -> DataFrame:
     payloads = run.landed(feeds, "feed")
     if posts:
         # decided per payload, so the other directories' feeds are not even parsed
-        payloads = source_fallback(payloads, run.landed(posts, "feed"), run.landed(posts, "posts", "failed"))
+        payloads = source_fallback(payloads, run.landed(posts, "feed"), run.landed(posts, "posts", "failed"), hot_rows=None)
     specs = [*feeds, *posts]
     kind = _per_source(specs, lambda s: s.kind, "string")
     cap = _per_source(specs, lambda s: s.fallback_cap if s.kind == "posts" else s.cap)
@@ -138,7 +139,7 @@ def show_rows(run: Run) -> DataFrame:
         "author": F.coalesce("author", F.lit("")),
     })
     replies = S.replies_scan(run.landed(specs, "replies"))
-    hits = first_author_reply(hits, replies, H.html_to_text)
+    hits = first_author_reply(hits, replies, H.html_to_text, hot_rows=None)
     return _raw(hits, "name", "url", F.col("description"), "date_iso")
 
 
@@ -170,7 +171,7 @@ def embedded_rows(run: Run) -> DataFrame:
     key = [*S.PAYLOAD_KEY, "slug"]
     facts = last_by_slug(objects, ["tier", "date"], key)
     tools = objects.where(F.col("name").isNotNull()).drop("tier", "date")
-    rows = lookup_by_slug(tools, facts, {"tier": config.UNKNOWN_PRICING, "date": ""}, key)
+    rows = lookup_by_slug(tools, facts, {"tier": config.UNKNOWN_PRICING, "date": ""}, key, hot_rows=None)
     return _raw(rows.where(run.recent("date")), "name", "website_url", F.col("description"), "date", X.map_pricing_tier(F.col("tier")))
 
 

@@ -27,7 +27,7 @@ class RunResult:
 
 def merge_run(collected: DataFrame, previous: DataFrame, as_of: datetime) -> RunResult:
     """Items of a run merged into the previous snapshot (an earlier result, with keys)."""
-    fresh = greedy_dedup(with_keys(collected))
+    fresh = cut_lineage(greedy_dedup(with_keys(collected)))
     snapshot = finalize_snapshot(cumulative_merge(fresh, previous))
     return RunResult(snapshot, fresh, run_stats(snapshot, fresh, previous, as_of.isoformat()))
 

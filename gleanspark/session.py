@@ -14,6 +14,7 @@ SETTINGS = {
     # an extra shuffle costs less than one task holding a hot key
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
     # recording the Python line of every expression makes large plans several times slower to build
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

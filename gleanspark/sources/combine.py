@@ -11,7 +11,7 @@ from ..operators.skew import HOT_ROWS, balanced_join
 
 
 def source_fallback(primary: DataFrame, secondary: DataFrame, failed: DataFrame,
-                    keys: Sequence[str] = ("source", "seq"), hot_rows: int = HOT_ROWS) -> DataFrame:
+                    keys: Sequence[str] = ("source", "seq"), hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """The primary rows, and the secondary rows of sources whose primary failed.
 
     `failed` holds the keys of failed fetches. A primary that answered with no

@@ -1,6 +1,6 @@
 """Snapshot store: one folder per run, and a one-row record that makes the run visible.
 
-    <path>/items/run_id=<n>/     the snapshot after run n, newest first
+    <path>/items/run_id=<n>/     the snapshot after run n
     <path>/runs/run_id=<n>/      generated_at, count, new_today
 
 A run is written items first, record last, each to a folder of its own, so
@@ -48,8 +48,13 @@ def snapshot_scan(spark: SparkSession, path: str, before: int | None = None) ->
 
 
 def write_snapshot(snapshot: DataFrame, path: str, run_id: int, order: list[str] = ARRIVAL_ORDER) -> DataFrame:
-    """K1: the whole snapshot, newest first. Returns it as written."""
-    rows = newest_first(snapshot.select(*ITEM_FIELDS, *order), order)
+    """K1: the whole snapshot. Returns it as written.
+
+    Rows are newest first within each file and keep their order columns. The
+    order over all files is made by `newest_first` where it is asked for, so
+    that a run does not shuffle the whole snapshot.
+    """
+    rows = snapshot.select(*ITEM_FIELDS, *order).sortWithinPartitions(F.desc("date_iso"), *order)
     rows.write.mode("overwrite").parquet(f"{path}/items/run_id={run_id}")
     return snapshot.sparkSession.read.parquet(f"{path}/items/run_id={run_id}")
 
@@ -59,6 +64,6 @@ def write_run_stats(stats: DataFrame, path: str, run_id: int) -> None:
     stats.write.mode("overwrite").parquet(f"{path}/runs/run_id={run_id}")
 
 
-def export_json(snapshot: DataFrame, path: str) -> None:
-    """K1 as JSON lines in UTF-8, newest first."""
-    snapshot.select(*ITEM_FIELDS).write.mode("errorifexists").json(path)
+def export_json(snapshot: DataFrame, path: str, order: list[str] = ARRIVAL_ORDER) -> None:
+    """K1 as JSON lines in UTF-8, newest first over the files in name order."""
+    newest_first(snapshot, order).select(*ITEM_FIELDS).write.mode("errorifexists").json(path)

@@ -76,7 +76,19 @@ def _keyed(spark, rows):
         {"source_rank": F.lit(0), "seq": F.lit(0).cast("bigint")})
 
 
-def test_merge_equals_dedup_of_both(spark):
+@pytest.mark.parametrize("big", [1, 1 << 40, 1 << 62])
+def test_ranks_of_several_numbers(spark, big):
+    rng = random.Random(big)
+    rows = [((rng.randrange(3), rng.randrange(4) * big // 4, i * (1 << 20 if big > 1 else 1)), rng.randrange(30), rng.randrange(30)) for i in range(300)]
+    df = spark.createDataFrame([(*r, f"u{u}", f"n{n}") for r, u, n in rows], "source_rank int, seq bigint, pos bigint, url_key string, name_key string")
+    kept = sorted((r["source_rank"], r["seq"], r["pos"]) for r in dedup.greedy_dedup(df).collect())
+    assert kept == one_by_one(rows)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_merge_equals_dedup_of_both(spark, small, monkeypatch):
+    monkeypatch.setattr(dedup, "is_small", lambda keys: small)
+    monkeypatch.setattr(I, "is_small", lambda keys: small)
     rng = random.Random(11)
 
     def clean():
@@ -89,6 +101,9 @@ def test_merge_equals_dedup_of_both(spark):
     slow = dedup.cumulative_merge(_keyed(spark, fresh), _keyed(spark, previous), assume_clean=False)
     rows = lambda df: sorted(tuple(r) for r in df.select("url_key", "name_key", "pos").collect())
     assert rows(merged) == rows(slow)
+    old_urls = {u for _, u, _, _ in previous}
+    assert sorted(r["url_key"] for r in I.never_seen(_keyed(spark, fresh), _keyed(spark, previous)).collect()) == sorted(
+        u for _, u, _, _ in fresh if u not in old_urls)
     assert {(u, n) for _, u, n, _ in fresh} <= {r[:2] for r in rows(merged)}
 
 
