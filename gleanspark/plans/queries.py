@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,7 +13,9 @@ from ..operators import dedup, items as I, joins as J, triage as T
 from ..sources import payloads as S
 from ..sources.combine import source_fallback, union_sources
 from . import oracle as O, samples
-from ..session import cut_lineage
+from ..session import cut_lineage, shared_folder
+from ..sources.snapshot import snapshot_scan, write_run_stats, write_snapshot
+from ..streaming.increment import collect_increment, read_landing
 from .collect import collect
 from .nightly import merge_run
 from .samples import AS_OF, item_docs, item_pages, table
@@ -316,7 +319,7 @@ def _blocklist_table(spark, sf):
 
 @query("make_item", f"WITH {O.PAGES} SELECT rank, {O.item('name', 'tool_url', 'html', 'source', O.lit(O.AS_OF_ISO))} FROM pgs")
 def _make_item(spark, sf):
-    pages = _pages(spark, sf).join(table(spark, sf, "pages").select(F.col("page_id").alias("rank"), "html"), "rank")
+    pages = _pages(spark, sf)
     fields = I.item_columns(F.col("name"), F.col("tool_url"), F.col("html"), F.col("source"), F.lit(None).cast("string"), AS_OF.isoformat())
     return pages.select("rank", *fields).withColumn("categories", _line())
 
@@ -419,8 +422,7 @@ def _by_pricing(spark, sf):
     SELECT source, {O.pricing("name || ' ' || html")} AS pricing FROM k JOIN g ON r = rank) GROUP BY source, pricing""")
 def catalog_by_source(spark, sf):
     """Pages as items, without listicles, deduplicated, counted by source and pricing."""
-    pages = table(spark, sf, "pages")
-    rows = item_pages(pages).join(pages.select(F.col("page_id").alias("rank"), "html"), "rank").where(~X.is_listicle(F.col("name")))
+    rows = _pages(spark, sf).where(~X.is_listicle(F.col("name")))
     fields = I.item_columns(F.col("name"), F.col("tool_url"), F.col("html"), F.col("source"), F.lit(None).cast("string"), AS_OF.isoformat())
     kept = dedup.greedy_dedup(dedup.with_keys(rows.select("rank", *fields)), RANK)
     return kept.groupBy("source", "pricing").agg(F.count("*").alias("items"))
@@ -469,7 +471,7 @@ def _union(spark, sf):
     turns = table(spark, sf, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("rank"), F.col("role").alias("name"), F.lit("conversations").alias("source"))
     docs = _docs(spark, sf).select("rank", "name", "tool_url", "source", "lang")
-    return union_sources([docs, _pages(spark, sf), turns])
+    return union_sources([docs, _pages(spark, sf).drop("html"), turns])
 
 
 # --- Triage: users' events are decisions on the document of the same number. ---
@@ -626,6 +628,48 @@ for _kind in O.CHAINS:
         return _flat(collect(landed, AS_OF, samples.sources(kind), parity=kind not in ("posts", "newsletter")))
 
 
+def _new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{uuid.uuid4()}"
+
+
+@query("snapshot_roundtrip", f"WITH {O.DOCS} SELECT rank AS pos, {O.item('name', 'tool_url', 'description', 'source', O.lit('2024-01-02'))} FROM docs")
+def _roundtrip(spark, sf):
+    """A snapshot written as run 0 and read back as the latest one."""
+    path = _new_folder(spark)
+    fields = I.item_columns(F.col("name"), F.col("tool_url"), F.col("description"), F.col("source"), F.lit("2024-01-02"), AS_OF.isoformat())
+    rows = _docs(spark, sf).select(*fields, F.lit(0).alias("source_rank"), F.lit(0).cast("bigint").alias("seq"), F.col("rank").alias("pos"))
+    written = dedup.with_keys(write_snapshot(rows, path, 0))
+    write_run_stats(I.run_stats(written, written, written.where("false"), AS_OF.isoformat()), path, 0)
+    return _flat(snapshot_scan(spark, path)).drop("source_rank", "seq")
+
+
+def _found(number: int) -> str:
+    """Items of one batch of landed feeds, numbered in arrival order."""
+    chain = O.feed().replace(" FROM d ", f" FROM d{number} ")
+    return f"i{number} AS (SELECT *, row_number() OVER (ORDER BY source_rank, seq, pos) AS rank FROM ({chain}))"
+
+
+def _batch(number: int, where: str) -> str:
+    dated = O.DATED.replace("d AS (", f"d{number} AS (", 1).replace("FROM docs)", f"FROM docs WHERE {where})")
+    return f"{dated}, {_found(number)}, {O.keyed(f't{number}', f'i{number}')}, {O.greedy(f'g{number}', f't{number}')}"
+
+
+@query("increment_stream", f"""WITH RECURSIVE {O.DOCS}, {_batch(1, "lang <> 'en'")}, {_batch(2, "lang = 'en'")},
+    fr AS (SELECT i2.* EXCLUDE (rank) FROM i2 JOIN g2 ON r = rank), pv AS (SELECT i1.* EXCLUDE (rank) FROM i1 JOIN g1 ON r = rank WHERE length({O.strip('name')}) >= 3),
+    merged AS (SELECT * FROM fr UNION ALL SELECT * FROM pv WHERE {O.url_key('tool_url')} NOT IN (SELECT {O.url_key('tool_url')} FROM fr)
+      AND {O.name_key('name')} NOT IN (SELECT {O.name_key('name')} FROM fr))
+    SELECT * FROM merged WHERE length({O.strip('name')}) >= 3""")
+def _increment(spark, sf):
+    """Two landings, each taken up by the stream as one run: first all but the English documents, then the English ones."""
+    path = _new_folder(spark)
+    docs = table(spark, sf, "documents")
+    for part in (docs.where("lang <> 'en'"), docs.where("lang = 'en'")):
+        samples.land_feed(part).write.mode("append").parquet(f"{path}/landing")
+        landing = read_landing(spark, f"{path}/landing")
+        collect_increment(landing, f"{path}/snapshot", f"{path}/stream", lambda _: AS_OF, samples.sources("feed")).awaitTermination()
+    return _flat(snapshot_scan(spark, f"{path}/snapshot"))
+
+
 PREVIOUS = f"""{O.PAGES}, {O.keyed('tp', 'pgs')}, {O.greedy('gp', 'tp')}, pv AS (SELECT CAST(1000 AS BIGINT) AS source_rank, CAST(0 AS BIGINT) AS seq, rank AS pos,
     {O.item('name', 'tool_url', "''", 'source', O.lit('2024-01-02'))} FROM pgs JOIN gp ON r = rank)"""
 

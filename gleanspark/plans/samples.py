@@ -42,7 +42,7 @@ def item_pages(pages: DataFrame) -> DataFrame:
         F.col("page_id").alias("rank"),
         F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1).alias("name"),
         F.col("url").alias("tool_url"),
-        F.lower(F.regexp_extract("url", "^[a-z]+://([^/?#:]+)", 1)).alias("source"))
+        F.lower(F.regexp_extract("url", "^[a-z]+://([^/?#:]+)", 1)).alias("source"), "html")
 
 
 def sources(kind: str | None = None, cap: int = 20) -> list[SourceSpec]:

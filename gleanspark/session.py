@@ -37,19 +37,24 @@ def spread_small(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder: the one the cluster names in spark.checkpoint.dir.
 
-    The cluster names a shared folder in spark.checkpoint.dir, so the data
-    survives the loss of an executor. Only a local-mode session may fall back
-    to a temporary folder.
+    All executors can reach it, so what is written there survives the loss of
+    any of them. Only a local-mode session may fall back to a temporary folder.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
             shared = tempfile.mkdtemp(prefix="gleanspark-checkpoint-")
         context.setCheckpointDir(shared)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write `df` to the checkpoint folder and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
