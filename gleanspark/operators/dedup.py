@@ -119,10 +119,11 @@ def greedy_dedup(
     Only (rank, url, name) goes through the rounds. A later row with the same
     pair of keys can never be kept, so pairs are combined before the first
     shuffle. The wide rows are read once more at the end, to pick the kept ones.
+    A null key counts as the empty one.
     """
     rank = _rank(order)
-    key = lambda c: F.coalesce(F.col(c), F.lit(""))
-    edges = items.groupBy(key(url).alias("u"), key(name).alias("n")).agg(F.min(rank).alias("rank"))
+    u, n = (F.coalesce(F.col(c), F.lit("")) for c in (url, name))
+    edges = items.groupBy(u.alias("u"), n.alias("n")).agg(F.min(rank).alias("rank"))
     winners = greedy_winners(edges.select("rank", "u", "n"), hot_rows, min_rounds, tail_rows)
     if len(order) == 1:
         return items.join(winners.withColumnRenamed("rank", order[0]), order[0], "left_semi")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -40,11 +39,6 @@ def item_columns(
     ]
 
 
-def iso_moment(moment: datetime) -> str:
-    """A moment as the ISO string that records carry."""
-    return moment.isoformat()
-
-
 def cap_per_source(
     rows: DataFrame, cap: int, keys: Sequence[str] = ("source", "seq"), order: Sequence[str] = ("pos",), own_cap: Column | None = None,
 ) -> DataFrame:
