@@ -21,8 +21,10 @@ Null texts count as empty; an empty text has no tokens.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,10 @@ _SPACE = "\\t-\\r\\x1c-\\x1f \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}
 # a space beside other white space, and the mark that the fast path uses itself
 _ODD = f"[{_SPACE}] | [{_SPACE}]|\\x00"
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+# two more places, which make pieces repeat more often: between a letter and a stop or comma, and around one line
+# break between a stop or comma and a letter; letters up to U+00FF, on which all Unicode versions agree
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_MORE_CUTS = ((f"([{_LETTER}])([.,])", "\\1\x00\\2"), (f"([.,])\n([{_LETTER}])", "\\1\x00\n\x00\\2"))
 
 
 def byte_alphabet() -> list[str]:
@@ -60,6 +66,9 @@ class Encoder:
         import regex
         from tokenizers import Tokenizer
 
+        # Spark has a task for each core already
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -167,17 +176,18 @@ class Encoder:
 
     # batches
 
-    def _distinct(self, pieces: list[str]) -> list[list[int]]:
+    def _distinct(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, lengths) of the pieces, one after the other."""
+        lists: list = [None] * len(pieces)
         short = [i for i, p in enumerate(pieces) if len(p) <= LEAF_BYTES]
-        out: list = [None] * len(pieces)
         for at in range(0, len(short), 20_000):
             some = short[at:at + 20_000]
             for i, e in zip(some, self.tokenizer.encode_batch_fast([pieces[i] for i in some], add_special_tokens=False), strict=True):
-                out[i] = np.array(e.ids, dtype=np.uint32)
-        for i, p in enumerate(pieces):
-            if out[i] is None:
-                out[i] = np.array(self.encode_long(p), dtype=np.uint32)
-        return out
+                lists[i] = e.ids
+        if len(short) < len(pieces):
+            lists = [self.encode_long(p) if ids is None else ids for p, ids in zip(pieces, lists, strict=True)]
+        length = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+        return np.fromiter(chain.from_iterable(lists), dtype=np.uint32, count=int(length.sum())), length
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, offsets) for runs of `texts` in order; document i of a run has ids[offsets[i]:offsets[i + 1]]."""
@@ -187,14 +197,18 @@ class Encoder:
             # the same pieces, cut by Python's pattern
             lists = pa.array([_CUT.split(t) for t in texts.to_pylist()], pa.large_list(pa.large_string()))
         else:
-            lists = pc.split_pattern(pc.replace_substring(texts, " ", "\x00 "), "\x00").cast(pa.large_list(pa.large_string()))
+            marked = pc.replace_substring(texts, " ", "\x00 ")
+            for pattern, cut in _MORE_CUTS:
+                marked = pc.replace_substring_regex(marked, pattern, cut)
+            lists = pc.split_pattern(marked, "\x00").cast(pa.large_list(pa.large_string()))
+            del marked
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         coded = lists.flatten().dictionary_encode()
-        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        each = self._distinct(coded.dictionary.to_pylist())
-        length = np.array([len(e) for e in each], dtype=np.int64)
-        start = np.concatenate([[0], np.cumsum(length)[:-1]]) if len(length) else length
-        flat = np.concatenate(each) if each else np.zeros(0, np.uint32)
+        del lists
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        flat, length = self._distinct(coded.dictionary.to_pylist())
+        start = np.cumsum(length) - length
+        del coded
         doc = 0
         while doc < len(texts):
             end = max(doc + 1, int(np.searchsorted(bounds, bounds[doc] + PIECES_AT_ONCE, side="right")) - 1)

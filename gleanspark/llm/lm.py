@@ -19,6 +19,7 @@ and are scored as held out.
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 
 from gleanspark.llm.common import SPACE, table, written
 
-#: Tokens of a block, and tokens (of distinct words and pairs) that one counting group aims at.
-BLOCK_TOKENS, GROUP_KEYS = 1_500_000, 1_000_000
+#: About how many tokens a block has, and how many tokens of the corpus there are for each counting group.
+BLOCK_TOKENS, GROUP_TOKENS = 3_500_000, 1_000_000
 FOLDS, HELD_OUT, EM_FOLD = 10, 0, 1
 #: Context frequencies up to 2^0, 2^1, ... fall into buckets 1, 2, ...; contexts without a count into 0.
 BUCKETS = 24
@@ -54,9 +55,25 @@ def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(31)
 
 
+def packed(a: np.ndarray, ordered: bool = False) -> bytes:
+    """Integers as bytes, all first bytes first, compressed; ordered ones as differences."""
+    import zstandard
+
+    a = np.diff(a, prepend=a.dtype.type(0)) if ordered else a
+    return zstandard.compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes(), 1)
+
+
+def unpacked(data: bytes, dtype: str, ordered: bool = False) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8)
+    a = np.ascontiguousarray(planes.reshape(np.dtype(dtype).itemsize, -1).T).reshape(-1).view(dtype)
+    return np.cumsum(a, dtype=dtype) if ordered else a
+
+
 @dataclass
 class Block:
-    """Texts as numbers: doc i has tokens[bounds[i]:bounds[i + 1]], the last one its end; words[tokens] are word hashes."""
+    """Texts as numbers: doc i has tokens[bounds[i]:bounds[i + 1]], the last one its end; words[tokens] are word hashes, in order."""
 
     tokens: np.ndarray
     bounds: np.ndarray
@@ -73,70 +90,79 @@ class Block:
 
 
 def numbered(texts: pa.Array) -> Block:
-    """Words of all texts, hashed and numbered; equal words share a number, the end is number 0."""
+    """Words of all texts, hashed and numbered; equal words share a number."""
     from xxhash import xxh64_intdigest
 
     lower = pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string()))
     lists = pc.split_pattern_regex(lower, f"[{SPACE}]+").cast(pa.large_list(pa.large_string()))
     flat = lists.flatten().dictionary_encode()
     bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-    index = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    index = flat.indices.to_numpy(zero_copy_only=False)
     names = flat.dictionary.to_pylist()
-    hashes = np.array([0, *[xxh64_intdigest(w) for w in names]], dtype=np.uint64)
-    hashes[0] = END
     # white space at either end of a text leaves empty strings
     real = np.array([bool(w) for w in names], dtype=bool)[index] if len(names) else np.zeros(0, dtype=bool)
     doc = np.repeat(np.arange(len(texts)), np.diff(bounds))[real]
-    lengths = np.bincount(doc, minlength=len(texts)) + 1
-    ends = np.cumsum(lengths)
-    tokens = np.zeros(int(ends[-1]) if len(ends) else 0, dtype=np.int32)
+    ends = np.cumsum(np.bincount(doc, minlength=len(texts)) + 1)
+    words, place = np.unique(np.array([END, *[xxh64_intdigest(w) for w in names]], dtype=np.uint64), return_inverse=True)
+    tokens = np.full(int(ends[-1]) if len(ends) else 0, place[0], dtype=np.int32)
     filled = np.ones(len(tokens), dtype=bool)
     filled[ends - 1] = False
-    tokens[filled] = index[real] + 1
-    return Block(tokens, np.concatenate([[0], ends]), hashes)
+    tokens[filled] = place[1:][index[real]]
+    return Block(tokens, np.concatenate([[0], ends]), words)
 
 
-BLOCKS = "block string, doc_ids array<long>, folds binary, bounds binary, tokens binary, words binary"
+BLOCKS = "block string, em boolean, n long, n_learned long, n_em long, doc_ids array<long>, folds binary, lengths binary, tokens binary, words binary"
 RUNS = "block string, kind int, slot int, keys binary, counts binary, held binary"
-TOTALS = "block string, kind int, slot int, counts binary, held binary"
+TOTALS = "block string, kind int, slot int, counts binary, held binary, new long"
 
 
 def read_blocks(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Texts in blocks of about BLOCK_TOKENS, numbered. A block's name tells the task and its place in it."""
+    """Texts in blocks of about BLOCK_TOKENS, numbered. Texts of the EM fold have blocks of their own.
+
+    A block's name tells the task and its place in it.
+    """
 
     def run(batches):
-        task, n, ids, texts, held = TaskContext.get().partitionId(), 0, [], [], 0
+        task, made = TaskContext.get().partitionId(), 0
+        waiting: dict = defaultdict(lambda: [[], [], [], 0])
 
-        def block():
+        def block(em):
+            nonlocal made
+            ids, folds, texts, _ = waiting.pop(em)
             b = numbered(pa.concat_arrays(texts))
-            all_ids = [i for part in ids for i in part.to_pylist()]
-            folds = np.array([HELD_OUT if i is None else fold_of(i) for i in all_ids], dtype=np.uint8)
+            fold, lengths = np.concatenate(folds), np.diff(b.bounds)
+            made += 1
             return pa.RecordBatch.from_arrays([
-                pa.array([f"{task}-{n}"]), pa.array([all_ids], pa.list_(pa.int64())), pa.array([folds.tobytes()], pa.binary()),
-                pa.array([b.bounds.astype("<i8").tobytes()], pa.binary()), pa.array([b.tokens.astype("<i4").tobytes()], pa.binary()), pa.array([b.words.astype("<u8").tobytes()], pa.binary()),
-            ], names=["block", "doc_ids", "folds", "bounds", "tokens", "words"])
+                pa.array([f"{task}-{made}"]), pa.array([em]), pa.array([len(b.tokens)], pa.int64()), pa.array([int(lengths[fold != HELD_OUT].sum())], pa.int64()),
+                pa.array([int(lengths[fold == EM_FOLD].sum())], pa.int64()), pa.array([[i for part in ids for i in part.to_pylist()]], pa.list_(pa.int64())),
+                *[pa.array([x], pa.binary()) for x in (packed(fold), packed(lengths.astype("<i4")), packed(b.tokens), packed(b.words, True))],
+            ], names=["block", "em", "n", "n_learned", "n_em", "doc_ids", "folds", "lengths", "tokens", "words"])
 
         for batch in batches:
-            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // 6 if batch.num_rows else []
-            at = 0
-            while at < batch.num_rows:
-                taken = size[at - 1] if at else 0
-                to = min(batch.num_rows, max(at + 1, int(np.searchsorted(size, taken + BLOCK_TOKENS - held, side="right"))))
-                ids.append(batch.column(0).slice(at, to - at))
-                texts.append(batch.column(1).slice(at, to - at))
-                held += int(size[to - 1] - taken)
-                at = to
-                if held >= BLOCK_TOKENS or to < batch.num_rows:
-                    yield block()
-                    n, ids, texts, held = n + 1, [], [], 0
-        if texts:
-            yield block()
+            ids, texts = batch.columns
+            fold = np.array([HELD_OUT if i is None else fold_of(i) for i in ids.to_pylist()], dtype=np.uint8)
+            size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) // 6 + 1
+            for em in (False, True):
+                rows = np.flatnonzero((fold == EM_FOLD) == em)
+                while len(rows):
+                    here = waiting[em]
+                    n = max(1, int(np.searchsorted(np.cumsum(size[rows]), BLOCK_TOKENS - here[3], side="right")))
+                    some, rows = rows[:n], rows[n:]
+                    here[0].append(ids.take(pa.array(some)))
+                    here[1].append(fold[some])
+                    here[2].append(texts.take(pa.array(some)))
+                    here[3] += int(size[some].sum())
+                    if here[3] >= BLOCK_TOKENS or len(rows):
+                        yield block(em)
+        for em in list(waiting):
+            yield block(em)
 
     return docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")).mapInArrow(run, BLOCKS)
 
 
 def as_block(row) -> tuple[Block, np.ndarray]:
-    return (Block(np.frombuffer(row["tokens"], "<i4"), np.frombuffer(row["bounds"], "<i8"), np.frombuffer(row["words"], "<u8")), np.frombuffer(row["folds"], np.uint8))
+    bounds = np.concatenate([[0], np.cumsum(unpacked(row["lengths"], "<i4"), dtype=np.int64)])
+    return Block(unpacked(row["tokens"], "<i4"), bounds, unpacked(row["words"], "<u8", True)), unpacked(row["folds"], "u1")
 
 
 def _slot(keys: np.ndarray, slots: int) -> np.ndarray:
@@ -153,44 +179,31 @@ def runs_of(blocks: DataFrame, slots: int) -> DataFrame:
                 block, folds = as_block(row)
                 fold = np.repeat(folds, np.diff(block.bounds))
                 learns, tries = (fold != HELD_OUT), (fold == EM_FOLD)
-                words, word_index = np.unique(block.words, return_inverse=True)
-                out = []
-                for kind, (keys, index) in enumerate([(words, word_index[block.tokens]), block.pairs()]):
+                for kind, (keys, index) in enumerate([(block.words, block.tokens), block.pairs()]):
                     count, tried = (np.bincount(index[m], minlength=len(keys)).astype("<u4") for m in (learns, tries))
-                    cut = np.searchsorted(_slot(keys, slots), np.arange(slots + 1))
-                    out += [(row["block"], kind, s, keys[a:b].astype("<u8").tobytes(), count[a:b].tobytes(), tried[a:b].tobytes())
-                            for s, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
-                yield pd.DataFrame(out, columns=["block", "kind", "slot", "keys", "counts", "held"])
+                    slot, first = np.unique(_slot(keys, slots), return_index=True)
+                    cut = [*first, len(keys)]
+                    yield pd.DataFrame([(row["block"], kind, s, packed(keys[a:b], True), packed(count[a:b]), packed(tried[a:b])) for s, a, b in zip(slot, cut[:-1], cut[1:], strict=True)],
+                                       columns=["block", "kind", "slot", "keys", "counts", "held"])
 
-    return blocks.mapInPandas(run, RUNS)
+    return blocks.select("block", "folds", "lengths", "tokens", "words").mapInPandas(run, RUNS)
 
 
 def totals_of(runs: DataFrame) -> DataFrame:
-    """For each run, the totals over all blocks of its keys, in its order."""
+    """For each run, the totals over all blocks of its keys, in its order; new: how many learned keys no run before it in the group has."""
 
     def total(pdf):
-        keys = [np.frombuffer(k, "<u8") for k in pdf["keys"]]
-        _, index = np.unique(np.concatenate(keys), return_inverse=True)
-        cut = np.cumsum([len(k) for k in keys])[:-1]
-        sums = [np.bincount(index, np.concatenate([np.frombuffer(c, "<u4") for c in pdf[column]]).astype(np.float64))[index].astype("<i8") for column in ("counts", "held")]
-        parts = [np.split(s, cut) for s in sums]
-        return pd.DataFrame({"block": pdf["block"], "kind": pdf["kind"], "slot": pdf["slot"], "counts": [p.tobytes() for p in parts[0]], "held": [p.tobytes() for p in parts[1]]})
+        keys = [unpacked(k, "<u8", True) for k in pdf["keys"]]
+        _, first, index = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        ends = np.cumsum([len(k) for k in keys])
+        sums = [np.bincount(index, np.concatenate([unpacked(c, "<u4") for c in pdf[column]]).astype(np.float64)) for column in ("counts", "held")]
+        new = np.bincount(np.searchsorted(ends, first[sums[0] > 0], side="right"), minlength=len(keys))
+        parts = [[packed(p) for p in np.split(s.astype("<i8")[index], ends[:-1])] for s in sums]
+        return pd.DataFrame({"block": pdf["block"], "kind": pdf["kind"], "slot": pdf["slot"], "counts": parts[0], "held": parts[1], "new": new})
 
     return runs.groupBy("kind", "slot").applyInPandas(total, TOTALS)
 
 
-def vocabulary(runs: DataFrame) -> tuple[int, int, int]:
-    """(N, N of the EM fold, V) over learning texts; a slot holds all blocks' runs of its words."""
-
-    def total(pdf):
-        keys = np.concatenate([np.frombuffer(k, "<u8") for k in pdf["keys"]])
-        count, held = (np.concatenate([np.frombuffer(c, "<u4") for c in pdf[column]]).astype(np.int64) for column in ("counts", "held"))
-        return pd.DataFrame({"n": [int(count.sum())], "held": [int(held.sum())], "v": [len(np.unique(keys[count > 0]))]})
-
-    got = runs.filter("kind = 0").groupBy("slot").applyInPandas(total, "n long, held long, v long").agg(F.sum("n"), F.sum("held"), F.sum("v")).collect()[0]
-    return tuple(int(x or 0) for x in got)
-
-
 def _bucket(count: np.ndarray) -> np.ndarray:
     """0 for none, then 1 + the binary logarithm, up to the last bucket."""
     return np.where(count > 0, np.minimum(1 + np.log2(np.maximum(count, 1)).astype(np.int64), BUCKETS - 1), 0)
@@ -199,16 +212,11 @@ def _bucket(count: np.ndarray) -> np.ndarray:
 def _looked_up(row, totals: pd.DataFrame):
     """(block, folds, per token: c(w), c(h, w), c(h); the same in the EM fold)."""
     block, folds = as_block(row)
-    words, word_index = np.unique(block.words, return_inverse=True)
-    keys, pair_index = block.pairs()
+    _, pair_index = block.pairs()
     both = []
     for column in ("counts", "held"):
-        count = []
-        for kind in (0, 1):
-            own = totals[totals["kind"] == kind].sort_values("slot")
-            count.append(np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(b, "<i8") for b in own[column]]]))
-        by_number = count[0][word_index]
-        own = by_number[block.tokens]
+        count = [np.concatenate([np.zeros(0, np.int64), *[unpacked(b, "<i8") for b in totals[totals["kind"] == kind].sort_values("slot")[column]]]) for kind in (0, 1)]
+        own = count[0][block.tokens]
         # a text's first word follows an end: as many contexts as ends
         context = np.empty_like(own)
         context[1:] = own[:-1]
@@ -223,7 +231,8 @@ def with_totals(blocks: DataFrame, totals: DataFrame, use, schema: str) -> DataF
     def run(_, own, totals):
         return pd.concat([use(row, totals) for _, row in own.iterrows()]) if len(own) else pd.DataFrame()
 
-    return blocks.groupBy("block").cogroup(totals.groupBy("block")).applyInPandas(run, schema)
+    own = blocks.select("block", "doc_ids", "folds", "lengths", "tokens", "words")
+    return own.groupBy("block").cogroup(totals.drop("new").groupBy("block")).applyInPandas(run, schema)
 
 
 def ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -237,11 +246,13 @@ def learned_weights(blocks: DataFrame, totals: DataFrame, n: int, n_held: int, v
     def events(row, own):
         block, folds, every, held = _looked_up(row, own)
         use = np.repeat(folds, np.diff(block.bounds)) == EM_FOLD
+        # counts without the fold itself
         w, hw, h = ((a - b)[use] for a, b in zip(every, held, strict=True))
         out = pd.DataFrame({"bucket": _bucket(h), "p2": ratio(hw, h), "p1": w / max(1, n - n_held)})
         return out.groupby(["bucket", "p2", "p1"], as_index=False).size().rename(columns={"size": "times"})
 
-    held = written(with_totals(blocks, totals, events, "bucket int, p2 double, p1 double, times long"), "em")
+    tries = blocks.filter("em")
+    held = written(with_totals(tries, totals.join(tries.select("block"), "block", "left_semi"), events, "bucket int, p2 double, p1 double, times long"), "em")
     weights = np.tile([0.5, 0.4, 0.1], (BUCKETS, 1))
     weights[0] = [0, 0.9, 0.1]
     for _ in range(rounds):
@@ -261,11 +272,10 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     """id_column, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     spark = docs.sparkSession
     blocks = written(read_blocks(docs, id_column, text_column), "lm-blocks")
-    size = blocks.agg(F.sum(F.octet_length("tokens"))).collect()[0][0] or 0
-    slots = max(1, -(-size // 4 // GROUP_KEYS))
-    runs = written(runs_of(blocks, slots), "lm-runs")
-    n, n_held, v = vocabulary(runs)
-    totals = written(totals_of(runs), "lm-totals")
+    size = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "n_learned", "n_em")]).collect()[0]
+    n, n_held = size["n_learned"], size["n_em"]
+    totals = written(totals_of(runs_of(blocks, max(1, -(-size["n"] // GROUP_TOKENS)))), "lm-totals")
+    v = totals.filter("kind = 0").agg(F.coalesce(F.sum("new"), F.lit(0)).alias("v")).collect()[0]["v"]
     weights = spark.sparkContext.broadcast(learned_weights(blocks, totals, n, n_held, v, rounds))
 
     def scored(row, own):
