@@ -40,6 +40,8 @@ SEGMENT_CHARS = 32_768
 LEAF_BYTES = 1_024
 #: Pieces whose ids are put together at once, which bounds the memory of a step.
 PIECES_AT_ONCE = 200_000
+#: Distinct pieces that are encoded as one text.
+JOINED_PIECES = 500
 
 # Unicode white space and the separators U+001C-U+001F, which Python counts too
 _SPACE = "\\t-\\r\\x1c-\\x1f \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
@@ -176,18 +178,34 @@ class Encoder:
 
     # batches
 
-    def _distinct(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, lengths) of the pieces, one after the other."""
-        lists: list = [None] * len(pieces)
-        short = [i for i, p in enumerate(pieces) if len(p) <= LEAF_BYTES]
-        for at in range(0, len(short), 20_000):
-            some = short[at:at + 20_000]
-            for i, e in zip(some, self.tokenizer.encode_batch_fast([pieces[i] for i in some], add_special_tokens=False), strict=True):
-                lists[i] = e.ids
-        if len(short) < len(pieces):
-            lists = [self.encode_long(p) if ids is None else ids for p, ids in zip(pieces, lists, strict=True)]
-        length = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-        return np.fromiter(chain.from_iterable(lists), dtype=np.uint32, count=int(length.sum())), length
+    def _distinct(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, lengths): piece i has ids[starts[i]:starts[i] + lengths[i]].
+
+        Pieces that may stand beside any other are encoded as one text by the
+        hundred; the ids of each are told by how many bytes they stand for.
+        """
+        starts, lengths = np.zeros(len(pieces), dtype=np.int64), np.zeros(len(pieces), dtype=np.int64)
+        free, lone = [], []
+        for i, p in enumerate(pieces):
+            (free if len(p) > 1 and p[0] == " " and len(p) <= LEAF_BYTES and not p[1].isspace() and not p[-1].isspace() else lone).append(i)
+        parts, at = [], 0
+        for first in range(0, len(free), JOINED_PIECES):
+            some = free[first:first + JOINED_PIECES]
+            own = [pieces[i] for i in some]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(own)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            ends = np.searchsorted(np.cumsum(self.token_length[ids]), np.cumsum([len(p.encode()) for p in own])) + 1
+            lengths[some] = np.diff(ends, prepend=0)
+            starts[some] = at + ends - lengths[some]
+            parts.append(ids)
+            at += len(ids)
+        short = [i for i in lone if len(pieces[i]) <= LEAF_BYTES]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([pieces[i] for i in short], add_special_tokens=False)]
+        long = [i for i in lone if len(pieces[i]) > LEAF_BYTES]
+        for i, ids in chain(zip(short, found, strict=True), ((i, self.encode_long(pieces[i])) for i in long)):
+            parts.append(np.array(ids, dtype=np.uint32))
+            starts[i], lengths[i] = at, len(ids)
+            at += len(ids)
+        return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32), starts, lengths
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, offsets) for runs of `texts` in order; document i of a run has ids[offsets[i]:offsets[i + 1]]."""
@@ -206,8 +224,7 @@ class Encoder:
         coded = lists.flatten().dictionary_encode()
         del lists
         index = coded.indices.to_numpy(zero_copy_only=False)
-        flat, length = self._distinct(coded.dictionary.to_pylist())
-        start = np.cumsum(length) - length
+        flat, start, length = self._distinct(coded.dictionary.to_pylist())
         del coded
         doc = 0
         while doc < len(texts):

@@ -48,7 +48,8 @@ def write_tokens(docs: DataFrame, out: str, path: str, pattern: str | None = Non
                 ], names=["part", "doc_id", "local_start", "n_tokens", "ids"])
                 first, at = first + n, at + int(bounds[-1])
 
-    files = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # fewer, larger ranges than the session's partitions: the more text a task has, the more of its pieces are repeats
+    files = files or max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 2)
     (docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
      .repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
      .mapInArrow(encode, SCHEMA)
