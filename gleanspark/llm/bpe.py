@@ -303,8 +303,12 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, finish, fields: str,
             ids = [np.array(encoder.encode_segment(t, r), "<u4").tobytes() for t, r in zip(batch.column(4).to_pylist(), runs, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(ids, pa.binary())], names=["id", "key", "no", "run", "ids"])
 
+    # one encoder for all groups of a task
+    ready: list = []
+
     def together(pdf):
-        encoder = Encoder(path, pattern)
+        encoder = ready[0] if ready else Encoder(path, pattern)
+        ready[:] = [encoder]
         copies = int((pdf["no"] == 0).sum())
         one = pdf.drop_duplicates("no").sort_values("no")
         ids = encoder.joined([(np.frombuffer(b, "<u4").tolist(), int(r)) for b, r in zip(one["ids"], one["run"], strict=True)])

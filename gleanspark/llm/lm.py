@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from gleanspark.llm.common import SPACE, table, written
 
 #: About how many tokens a block has, and how many tokens of the corpus there are for each counting group.
-BLOCK_TOKENS, GROUP_TOKENS = 2_000_000, 1_000_000
+BLOCK_TOKENS, GROUP_TOKENS = 1_500_000, 750_000
 FOLDS, HELD_OUT, EM_FOLD = 10, 0, 1
 #: Context frequencies up to 2^0, 2^1, ... fall into buckets 1, 2, ...; contexts without a count into 0.
 BUCKETS = 24

@@ -14,6 +14,9 @@ in at most two bits exactly if such neighbourhoods meet, so the same components
 come out, from 65 rows per member whatever the group's size. Pairs are thus never
 more than PAIRED times the fingerprints.
 
+near_dedup(), for texts that are less alike than two bits of 64 can tell, uses
+longer fingerprints of wider shingles and a search of its own; see there.
+
 Components come from rounds of smallest labels along links and over the label's
 own label. Copies share a fingerprint and never meet as pairs.
 """
@@ -22,8 +25,10 @@ from __future__ import annotations
 
 from functools import reduce
 from itertools import accumulate
+from math import acos, log, pi, sqrt
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -173,35 +178,94 @@ def near_duplicates(prints: DataFrame, max_rounds: int = 60) -> DataFrame:
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def near_dedup(docs: DataFrame, width: int = 5, views: int = 6, id_column: str = "doc_id", text_column: str = "text", max_rounds: int = 60) -> DataFrame:
-    """`docs` with one document of each group of near copies, the one with the smallest id (null ids last).
+def differing_share(similarity: float) -> float:
+    """Share of SimHash bits in which texts differ whose shingle sets have this Jaccard similarity: the angle over pi."""
+    return acos(2 * similarity / (1 + similarity)) / pi
+
+
+def banded_links(prints: DataFrame, rows: int, radius: int, share: float, found: float = 0.95, paired: int = PAIRED) -> DataFrame:
+    """(a, b): links between texts whose long fingerprints differ in at most `radius` bits. prints: (id, fps), distinct in both.
 
-    Two documents link if any of `views` fingerprints, each over other hashes of
-    the same shingles, are within two bits of each other: a copy with few changed
-    words has fingerprints a few bits away, and one of several is close enough far
-    more often than a single one. Documents without words have no shingles and
-    all stay. Rows that share an id go or stay together.
+    Texts meet on keys of some nibbles of the fingerprint. A key has two bits more
+    than it takes to count the rows, so that a random text seldom meets another,
+    and there are as many keys as it takes for texts that differ in `share` of
+    the bits to meet with probability `found`; nearer ones meet more surely.
+
+    A key's first text is its pivot. In keys with many members each is compared
+    with the pivot only, and linked or not. By the triangle inequality a linked
+    text can't be within the radius of one that is further than two radii and so
+    on from the pivot; just what is left after that is compared in one task, from
+    what is linked outwards, so that near copies leave the comparison at once.
+    """
+    spark = prints.sparkSession
+    views = len(prints.select("fps").limit(1).collect()[0]["fps"]) if rows else 1
+    nibbles = max(1, min(10, -(-(max(1, rows).bit_length() + 2) // 4)))
+    keys = -(-log(1 - found) // log(1 - (1 - share) ** (4 * nibbles)))
+    rng = np.random.default_rng(5)
+    chosen = [sorted(rng.choice(views * 16, nibbles, replace=False).tolist()) for _ in range(int(keys))]
+
+    def key(number: int, places: list[int]) -> Column:
+        bits = [F.shiftrightunsigned(F.col("fps")[i // 16], 4 * (i % 16)).bitwiseAND(F.lit(15).cast("long")) for i in places]
+        return reduce(lambda a, b: F.shiftleft(a, 4).bitwiseOR(b), bits, F.lit(number).cast("long"))
+
+    def differing(x: str, y: str) -> Column:
+        return sum(F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(views))
+
+    keyed = prints.select("id", F.explode(F.array(*[key(i, c) for i, c in enumerate(chosen)])).alias("key"))
+    sizes = written(keyed.groupBy("key").agg(F.count("*").alias("members"), F.min("id").alias("pivot")).filter("members > 1"), "bands")
+    shared = written(keyed.join(sizes, "key").join(prints, "id"), "band-members")
+    few = shared.filter(F.col("members") <= paired).select("key", "id", "fps")
+    pairs = (few.alias("a").join(few.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")))
+             .filter(differing("a.fps", "b.fps") <= radius).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
+    many = shared.filter(F.col("members") > paired)
+    pivots_ = many.filter("id = pivot").select("key", F.col("fps").alias("pivot_fps"))
+    told = written(many.join(pivots_, "key").withColumn("far", differing("fps", "pivot_fps")), "told")
+    stars = told.filter((F.col("far") <= radius) & (F.col("id") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("id").alias("b"))
+    rest = told.groupBy("key").agg(F.max(F.when(F.col("far") > radius, F.lit(1)).otherwise(0)).alias("open"), F.min(F.when(F.col("far") > radius, F.col("far"))).alias("nearest"))
+    left = told.join(rest.filter("open = 1"), "key").filter((F.col("far") > radius) | (F.col("far") >= F.col("nearest") - radius)).select("key", "id", "far", "fps")
+
+    def outwards(pdf):
+        fps = np.array(pdf["fps"].tolist(), dtype=np.int64).view(np.uint64)
+        ids, links_ = pdf["id"].to_numpy(), []
+        # what is linked to the pivot is one component already; the others are taken up from there, and then from each other
+        todo, open_ = np.flatnonzero(pdf["far"].to_numpy() <= radius).tolist(), np.flatnonzero(pdf["far"].to_numpy() > radius)
+        while len(open_):
+            if not todo:
+                todo, open_ = [int(open_[0])], open_[1:]
+            at = todo.pop()
+            near = np.bitwise_count(fps[open_] ^ fps[at]).sum(axis=1) <= radius
+            links_ += [(ids[at], ids[i]) for i in open_[near]]
+            todo += open_[near].tolist()
+            open_ = open_[~near]
+        return pd.DataFrame(links_, columns=["a", "b"], dtype="int64")
+
+    others = left.groupBy("key").applyInPandas(outwards, "a long, b long")
+    return pairs.unionByName(stars).unionByName(others).distinct() if rows else spark.createDataFrame([], "a long, b long")
+
+
+def near_dedup(docs: DataFrame, similarity: float = 0.8, width: int = 5, views: int = 8, id_column: str = "doc_id", text_column: str = "text",
+               max_rounds: int = 60) -> DataFrame:
+    """`docs` with one document of each group of near copies, the one with the smallest id.
+
+    Texts whose sets of `width`-word shingles have about `similarity` in common
+    link: their fingerprints of 64 `views` bits differ in at most the share of
+    bits that goes with it, and one standard deviation. Documents without words
+    have no shingles, and rows without an id no place in an order: they all stay.
+    Rows that share an id go or stay together.
     """
-    prints = written(fingerprints(docs, width, views, id_column, text_column), "fingerprints")
-    prints = prints.withColumnRenamed(id_column, "doc_id")
-    filled = prints.filter(F.exists("fps", lambda f: f != 0))
-    by_view = filled.select("doc_id", F.posexplode("fps").alias("view", "fp"))
-    edges = None
-    for view in range(views):
-        own = by_view.filter(F.col("view") == view).select("doc_id", "fp")
-        nodes = written(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-        # documents of one fingerprint link to the first of them; fingerprints link by their first documents
-        copies = own.join(nodes, "fp").filter("doc_id != least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
-        pairs = links(nodes.select("fp"))
-        x, y = (nodes.select(F.col("fp").alias(c), F.col("least").alias(f"{c}_id")) for c in ("a", "b"))
-        near = pairs.join(x, "a").join(y, "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
-        some = copies.unionByName(near)
-        edges = some if edges is None else edges.unionByName(some)
-    edges = edges.filter("a is not null and b is not null and a != b").distinct()
-    linked = components(filled.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("least")).distinct(), edges, max_rounds)
-    gone = linked.filter("node != smallest").select(F.col("node").alias("gone_id"))
+    bits, share = BITS * views, differing_share(similarity)
+    radius = int(bits * share + sqrt(bits * share * (1 - share)))
+    prints = fingerprints(docs, width, views, id_column, text_column).withColumnRenamed(id_column, "id").filter("id is not null")
+    prints = written(prints.filter(F.exists("fps", lambda f: f != 0)), "fingerprints")
+    distinct = written(prints.groupBy("fps").agg(F.min("id").alias("first")), "distinct-fingerprints")
+    # an id may stand for several texts, so texts are numbered by their own hash
+    named = written(distinct.select(F.xxhash64("fps").alias("id"), "fps", "first"), "named-fingerprints")
+    links_ = banded_links(named.select("id", "fps"), named.count(), radius, share)
+    found = components(named.select(F.col("id").alias("node"), F.col("first").alias("least")), links_, max_rounds)
+    linked = named.join(found, named["id"] == found["node"], "left").select("fps", F.coalesce("smallest", "first").alias("smallest"))
+    gone = prints.join(linked, "fps").filter(F.col("id") != F.col("smallest")).select("id").distinct()
     marker = free_name(docs, "gone_id")
-    return docs.join(gone.withColumnRenamed("gone_id", marker), docs[id_column] == F.col(marker), "left_anti").select(*quoted(docs.columns))
+    return docs.join(gone.withColumnRenamed("id", marker), docs[id_column] == F.col(marker), "left_anti").select(*quoted(docs.columns))
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
