@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 from gleanspark.llm.common import table, written
 
 PROJECTED = 16
-CONFIDENCE = 0.97
+CONFIDENCE = 0.92
 #: Vectors that the top-level tree is fitted on, vectors it aims at per cell, and most vectors in one block.
-SAMPLE_ROWS, CELL_ROWS, BLOCK_ROWS = 20_000, 4_096, 8_192
+SAMPLE_ROWS, CELL_ROWS, BLOCK_ROWS = 20_000, 8_192, 16_384
 LEAF_ROWS = 32
 #: Queries that meet a block in one task.
 QUERY_ROWS = 1_024
