@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 from gleanspark.llm.common import table, written
 
 PROJECTED = 16
-CONFIDENCE = 0.92
+CONFIDENCE = 0.9
 #: Vectors that the top-level tree is fitted on, vectors it aims at per cell, and most vectors in one block.
 SAMPLE_ROWS, CELL_ROWS, BLOCK_ROWS = 20_000, 8_192, 16_384
-LEAF_ROWS = 32
+LEAF_ROWS = 64
 #: Queries that meet a block in one task.
 QUERY_ROWS = 1_024
 
@@ -61,9 +61,9 @@ def chi_square_quantile(p: float, k: int) -> float:
     return high
 
 
-def scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Inner products in double precision; each row's sum is made the same way wherever the row stands, so equal vectors tie."""
-    return (vectors * query).sum(axis=1)
+def scores(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Inner products of rows in double precision; each row's sum is made the same way wherever the row stands, so equal vectors tie."""
+    return (vectors * queries).sum(axis=1)
 
 
 def build(points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -83,51 +83,68 @@ def build(points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> tuple[np.ndarray, n
     return order, starts, np.minimum.reduceat(sorted_points, starts, axis=0), np.maximum.reduceat(sorted_points, starts, axis=0)
 
 
-def box_distance(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Squared distances from q to boxes."""
-    gap = np.maximum(np.maximum(low - q, q - high), 0)
-    return np.einsum("ij,ij->i", gap, gap)
+def box_distances(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distance of each row of q from each box."""
+    out = np.zeros((len(q), len(low)))
+    for d in range(q.shape[1]):
+        x = q[:, d, None]
+        gap = np.maximum(np.maximum(low[:, d] - x, x - high[:, d]), 0)
+        out += gap * gap
+    return out
+
 
+def best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k highest scores of each query, ties to the smaller id, query by query."""
+    order = np.lexsort((ids, -score, query))
+    own = query[order]
+    first = np.searchsorted(own, own)
+    return order[np.arange(len(order)) - first < k]
 
-def search_block(ids, vectors, points, q_ids, q_vectors, q_points, bounds, k: int, stop: float, norm2: float) -> list[tuple]:
+
+def search_block(ids, vectors, points, q_ids, q_vectors, q_points, bounds, k: int, stop: float, norm2: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, vec_id, score) of the best k in a block for each query.
 
     bounds: inner product known to be reached by k candidates elsewhere, -inf if none.
+    All queries go through their leaves in order of projected distance, some more
+    leaves each step; those at one leaf are verified together.
     """
     order, starts, lows, highs = build(points)
-    ids, vectors, points = ids[order], vectors[order], points[order]
+    ids, vectors = ids[order], vectors[order]
     ends = np.append(starts[1:], len(ids))
-    out = []
-    for q_id, q, p, bound in zip(q_ids, q_vectors, q_points, bounds, strict=True):
-        to_leaf = box_distance(p, lows, highs)
-        best_s, best_i = np.zeros(0), np.zeros(0, dtype=np.int64)
-        length2 = float(q @ q)
-        kth = bound
-        by_distance = np.argsort(to_leaf, kind="stable")
-        at, step = 0, 4
-        while at < len(by_distance):
-            # squared distance of the k-th: norm2 + |q|^2 - 2 (inner product)
-            limit = np.inf if kth == -np.inf else stop * max(0.0, norm2 + length2 - 2 * kth) + 1e-9
-            some = by_distance[at:at + step]
-            some = some[to_leaf[some] <= limit]
-            if not len(some):
-                break
-            rows = np.concatenate([np.arange(starts[i], ends[i]) for i in some])
-            if limit < np.inf:
-                gap = points[rows] - p
-                rows = rows[np.einsum("ij,ij->i", gap, gap) <= limit]
-            rows = rows[ids[rows] != q_id]
-            s = scores(vectors[rows], q)
-            best_s, best_i = np.concatenate([best_s, s]), np.concatenate([best_i, ids[rows]])
-            if len(best_s) > k:
-                top = np.lexsort((best_i, -best_s))[:k]
-                best_s, best_i = best_s[top], best_i[top]
-            if len(best_s) >= k:
-                kth = max(kth, best_s.min())
-            at += step
-            step = min(step * 2, 64)
-        out += [(q_id, i, s) for i, s in zip(best_i, best_s, strict=True)]
-    return out
+    to_leaf = box_distances(q_points, lows, highs)
+    by_distance = np.argsort(to_leaf, axis=1, kind="stable")
+    length2, kth = (q_vectors * q_vectors).sum(axis=1), bounds.copy()
+    found = [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)]
+    at, step = 0, 2
+    while at < len(starts):
+        # squared distance of the k-th: norm2 + |q|^2 - 2 (inner product)
+        limit = np.where(np.isinf(kth), np.inf, stop * np.maximum(0.0, norm2 + length2 - 2 * np.where(np.isinf(kth), 0, kth)) + 1e-9)
+        leaves = by_distance[:, at:at + step]
+        query, place = np.nonzero(np.take_along_axis(to_leaf, leaves, axis=1) <= limit[:, None])
+        if not len(query):
+            break
+        leaf = leaves[query, place]
+        by_leaf = np.argsort(leaf, kind="stable")
+        cut = np.searchsorted(leaf[by_leaf], np.arange(len(starts) + 1))
+        new_q, new_row = [], []
+        for i in np.flatnonzero(np.diff(cut)):
+            asked = query[by_leaf[cut[i]:cut[i + 1]]]
+            near = q_vectors[asked] @ vectors[starts[i]:ends[i]].T >= kth[asked, None] - 1e-9
+            a, b = np.nonzero(near)
+            new_q.append(asked[a])
+            new_row.append(starts[i] + b)
+        new_q, new_row = np.concatenate(new_q), np.concatenate(new_row)
+        other = ids[new_row] != q_ids[new_q]
+        new_q, new_row = new_q[other], new_row[other]
+        exact = np.concatenate([np.zeros(0), *[scores(vectors[new_row[i:i + 100_000]], q_vectors[new_q[i:i + 100_000]]) for i in range(0, len(new_q), 100_000)]])
+        found = [np.concatenate(x) for x in zip(found, (new_q, ids[new_row], exact), strict=True)]
+        keep = best(*found, k)
+        found = [x[keep] for x in found]
+        full = np.flatnonzero(np.bincount(found[0], minlength=len(q_ids)) == k)
+        last = np.searchsorted(found[0], full, side="right") - 1
+        kth[full] = np.maximum(kth[full], found[2][last])
+        at, step = at + step, step * 2
+    return q_ids[found[0]], found[1], found[2]
 
 
 def usable(vector: Column, dimensions: int) -> Column:
@@ -245,7 +262,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
         x, q = (np.frombuffer(b"".join(d["v"]), dtype=np.float64).reshape(len(d), -1) for d in (own, asked))
         found = search_block(own["id"].to_numpy(), x, plan.value.project(x), asked["id"].to_numpy(), q, plan.value.project(q, lifted=False),
                              asked["bound"].to_numpy(dtype=np.float64), k, plan.value.stop, plan.value.norm2)
-        return pd.DataFrame(found, columns=["query_id", "vec", "score"])
+        return pd.DataFrame(dict(zip(["query_id", "vec", "score"], found, strict=True)))
 
     def searched(asked: DataFrame) -> DataFrame:
         """asked: (id, v, bound, cell). Each query meets all blocks of its cells; many queries of a cell are dealt over tasks."""
