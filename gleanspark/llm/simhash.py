@@ -30,7 +30,7 @@ from math import acos, log, pi, sqrt
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanspark.llm.common import free_name, quoted, table, written
@@ -42,6 +42,8 @@ PARTS = ((0, 22), (22, 43), (43, 64))
 PIVOTS = 12
 #: A key shared by more fingerprints than this goes by neighbourhoods.
 PAIRED = 32
+#: Bits of a band's key beyond those that count the rows.
+KEY_BITS = 5
 #: Shingles whose bits are summed at once.
 AT_ONCE = 100_000
 
@@ -183,10 +185,10 @@ def differing_share(similarity: float) -> float:
     return acos(2 * similarity / (1 + similarity)) / pi
 
 
-def banded_links(prints: DataFrame, rows: int, radius: int, share: float, found: float = 0.95, paired: int = PAIRED) -> DataFrame:
+def banded_links(prints: DataFrame, rows: int, radius: int, share: float, found: float = 0.95, paired: int = 8) -> DataFrame:
     """(a, b): links between texts whose long fingerprints differ in at most `radius` bits. prints: (id, fps), distinct in both.
 
-    Texts meet on keys of some nibbles of the fingerprint. A key has two bits more
+    Texts meet on keys of some bits of the fingerprint. A key has KEY_BITS more
     than it takes to count the rows, so that a random text seldom meets another,
     and there are as many keys as it takes for texts that differ in `share` of
     the bits to meet with probability `found`; nearer ones meet more surely.
@@ -199,19 +201,23 @@ def banded_links(prints: DataFrame, rows: int, radius: int, share: float, found:
     """
     spark = prints.sparkSession
     views = len(prints.select("fps").limit(1).collect()[0]["fps"]) if rows else 1
-    nibbles = max(1, min(10, -(-(max(1, rows).bit_length() + 2) // 4)))
-    keys = -(-log(1 - found) // log(1 - (1 - share) ** (4 * nibbles)))
+    size = min(40, max(1, rows).bit_length() + KEY_BITS)
+    keys = -(-log(1 - found) // log(1 - (1 - share) ** size))
     rng = np.random.default_rng(5)
-    chosen = [sorted(rng.choice(views * 16, nibbles, replace=False).tolist()) for _ in range(int(keys))]
+    # whole nibbles, and part of one more
+    chosen = [rng.choice(views * 16, -(-size // 4), replace=False).tolist() for _ in range(int(keys))]
 
     def key(number: int, places: list[int]) -> Column:
-        bits = [F.shiftrightunsigned(F.col("fps")[i // 16], 4 * (i % 16)).bitwiseAND(F.lit(15).cast("long")) for i in places]
+        masks = [15] * (size // 4) + [(1 << size % 4) - 1] * (size % 4 > 0)
+        bits = [F.shiftrightunsigned(F.col("fps")[i // 16], 4 * (i % 16)).bitwiseAND(F.lit(m).cast("long")) for i, m in zip(places, masks, strict=True)]
         return reduce(lambda a, b: F.shiftleft(a, 4).bitwiseOR(b), bits, F.lit(number).cast("long"))
 
     def differing(x: str, y: str) -> Column:
         return sum(F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(views))
 
-    keyed = prints.select("id", F.explode(F.array(*[key(i, c) for i, c in enumerate(chosen)])).alias("key"))
+    # many keys come from a small table: dealt anew, so that no task counts too many
+    spread = prints.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
+    keyed = spread.select("id", F.explode(F.array(*[key(i, c) for i, c in enumerate(chosen)])).alias("key"))
     sizes = written(keyed.groupBy("key").agg(F.count("*").alias("members"), F.min("id").alias("pivot")).filter("members > 1"), "bands")
     shared = written(keyed.join(sizes, "key").join(prints, "id"), "band-members")
     few = shared.filter(F.col("members") <= paired).select("key", "id", "fps")
@@ -220,7 +226,10 @@ def banded_links(prints: DataFrame, rows: int, radius: int, share: float, found:
     many = shared.filter(F.col("members") > paired)
     pivots_ = many.filter("id = pivot").select("key", F.col("fps").alias("pivot_fps"))
     told = written(many.join(pivots_, "key").withColumn("far", differing("fps", "pivot_fps")), "told")
-    stars = told.filter((F.col("far") <= radius) & (F.col("id") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("id").alias("b"))
+    # a text that several pivots link to keeps one of them, and the pivots link to each other: far fewer links, the same components
+    linked = (told.filter((F.col("far") <= radius) & (F.col("id") != F.col("pivot"))).select("id", "pivot")
+              .withColumn("least", F.min("pivot").over(Window.partitionBy("id"))))
+    stars = linked.select(F.col("least").alias("a"), F.when(F.col("pivot") == F.col("least"), F.col("id")).otherwise(F.col("pivot")).alias("b")).distinct()
     rest = told.groupBy("key").agg(F.max(F.when(F.col("far") > radius, F.lit(1)).otherwise(0)).alias("open"), F.min(F.when(F.col("far") > radius, F.col("far"))).alias("nearest"))
     left = told.join(rest.filter("open = 1"), "key").filter((F.col("far") > radius) | (F.col("far") >= F.col("nearest") - radius)).select("key", "id", "far", "fps")
 
