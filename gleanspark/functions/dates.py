@@ -75,16 +75,19 @@ def _zone(part: Column) -> Column:
 
 
 def _instant(parts: Column) -> Column:
-    """Timestamp of the parts; a missing zone means UTC."""
+    """Timestamp of the parts; a missing zone means UTC, and an offset of a day or more none at all."""
     zone = F.when(parts[7] == "", "+00:00").otherwise(_zone(parts[7]))
+    # Spark's own zones end at 18 hours and fail beyond, so the offset is taken off by arithmetic
+    hours, minutes = (F.regexp_extract(zone, r"^[+-](\d{2}):(\d{2})", i).try_cast("int") for i in (1, 2))
+    offset = F.when((hours < 24) & (minutes < 60), (hours * 60 + minutes) * F.when(zone.startswith("-"), -1).otherwise(1))
     seconds = F.concat(_digits(parts[5]), F.lit("."), F.rpad(parts[6], 6, "0"))
     return F.when(
         _number(parts[5]) < 60,
-        F.try_make_timestamp(
+        F.timestamp_micros(F.unix_micros(F.try_make_timestamp(
             _number(parts[0]), _month(parts[1]), _number(parts[2]), _number(parts[3]), _number(parts[4]),
             seconds.cast("decimal(16,6)"),
-            zone,
-        ),
+            F.lit("+00:00"),
+        )) - offset * F.lit(60_000_000).cast("bigint")),
     )
 
 
@@ -147,11 +150,11 @@ def is_recent(date_iso: Column, as_of: datetime | str | Column, hours: int = con
 
 
 def epoch_to_iso(seconds: Column) -> Column:
-    """Epoch seconds as ISO 8601 in UTC; null counts as 0."""
+    """Epoch seconds as ISO 8601 in UTC; null counts as 0, and what is not in the years 1 to 9999 is null."""
     s = F.coalesce(seconds.cast("bigint"), F.lit(0).cast("bigint"))
     day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(s / 86400).cast("int"))
     rest = F.pmod(s, F.lit(86400))
-    return F.concat(
+    return F.when(s.between(-62_135_596_800, 253_402_300_799), F.concat(
         day.cast("string"), F.lit("T"), _two(F.floor(rest / 3600)), F.lit(":"), _two(F.floor(rest / 60) % 60),
         F.lit(":"), _two(rest % 60), F.lit("+00:00"),
-    )
+    ))

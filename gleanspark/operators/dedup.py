@@ -75,7 +75,7 @@ def greedy_winners(edges: DataFrame, hot_rows: int = HOT_ROWS, min_rounds: int =
         edges = cut_lineage(salted_join(edges, wins.select("n"), ["n"], "left_anti", hot_n))
         left = edges.count()
         rounds += 1
-    return reduce(DataFrame.unionByName, kept, edges.limit(0)).select(unpack(F.col("rank")).alias("rank"))
+    return reduce(DataFrame.unionByName, kept, edges.limit(0)).select(unpack(F.col("rank")).alias("rank"), "u", "n")
 
 
 def _packed(edges: DataFrame) -> tuple[DataFrame, Callable[[Column], Column]]:
@@ -114,7 +114,7 @@ def greedy_dedup(
     min_rounds: int = MIN_ROUNDS,
     tail_rows: int = TAIL_ROWS,
 ) -> DataFrame:
-    """Rows kept by the greedy rule; `order` is unique per row.
+    """Rows kept by the greedy rule; `order` is unique per row, but for rows that landed more than once.
 
     Only (rank, url, name) goes through the rounds. A later row with the same
     pair of keys can never be kept, so pairs are combined before the first
@@ -125,9 +125,13 @@ def greedy_dedup(
     u, n = (F.coalesce(F.col(c), F.lit("")) for c in (url, name))
     edges = items.groupBy(u.alias("u"), n.alias("n")).agg(F.min(rank).alias("rank"))
     winners = greedy_winners(edges.select("rank", "u", "n"), hot_rows, min_rounds, tail_rows)
-    if len(order) == 1:
-        return items.join(winners.withColumnRenamed("rank", order[0]), order[0], "left_semi")
-    return items.join(winners.select(*[F.col(f"rank.{c}").alias(c) for c in order]), list(order), "left_semi")
+    ranks = [F.col("rank").alias(order[0])] if len(order) == 1 else [F.col(f"rank.{c}").alias(c) for c in order]
+    keyed = items.withColumns({"winner_u": u, "winner_n": n})
+    by = [*order, "winner_u", "winner_n"]
+    kept = keyed.join(winners.select(*ranks, F.col("u").alias("winner_u"), F.col("n").alias("winner_n")), by, "left_semi")
+    # a payload that landed twice brings a winner twice: one row of it stays, the same in each run
+    row = F.xxhash64(*[F.col(c) for c in items.columns])
+    return first_per_key(kept.withColumn("winner_row", row), by, ["winner_row"]).drop("winner_u", "winner_n", "winner_row")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

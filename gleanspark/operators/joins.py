@@ -17,13 +17,14 @@ def first_author_reply(
 ) -> DataFrame:
     """Items (story_id, author, description) without a description get their author's first reply.
 
-    Replies are (story_id, pos, author, text), and `as_text` makes the picked
+    Replies are (story_id, pos, author, text), with seq if a story may have been
+    fetched more than once; first is the smallest (seq, pos, text). And `as_text` makes the picked
     one a description. The first reply per story and
     author is combined before the shuffle, so a story with very many replies
     sends one row per task.
     """
     said = replies.where(F.coalesce(F.col("text"), F.lit("")) != "")
-    first = said.groupBy("story_id", "author").agg(F.min_by("text", "pos").alias("reply"))
+    first = said.groupBy("story_id", "author").agg(F.min_by("text", F.struct(*[c for c in ("seq", "pos", "text") if c in said.columns])).alias("reply"))
     joined = balanced_join(items, first, ["story_id", "author"], "left", hot_rows)
     filled = F.when(F.coalesce("description", F.lit("")) == "", F.coalesce(as_text(F.col("reply")), F.lit(""))).otherwise(F.col("description"))
     return joined.withColumn("description", filled).drop("reply")

@@ -57,5 +57,5 @@ def balanced_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: s
 
 def is_small(keys: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether a one-column DataFrame of strings is proven small enough to send to every executor."""
-    size = F.sum(F.octet_length(keys.columns[0]) + F.lit(ROW_OVERHEAD))
+    size = F.sum(F.coalesce(F.octet_length(keys.columns[0]), F.lit(0)) + F.lit(ROW_OVERHEAD))
     return (keys.agg(size).first()[0] or 0) <= max_bytes

@@ -60,9 +60,9 @@ def search_hits_scan(payloads: DataFrame, cap: int | None = config.HITS_PER_PAGE
 
 
 def replies_scan(payloads: DataFrame) -> DataFrame:
-    """Reply trees (url = story id) to story_id, pos, author, text."""
-    tree = payloads.select(F.col("url").alias("story_id"), F.from_json("payload", REPLIES_SCHEMA, JSON_OPTIONS).alias("tree"))
-    return tree.select("story_id", F.posexplode("tree.children").alias("pos", "reply")).select("story_id", "pos", "reply.*")
+    """Reply trees (url = story id) to story_id, seq, pos, author, text; seq tells the payloads of one story apart."""
+    tree = payloads.select(F.col("url").alias("story_id"), "seq", F.from_json("payload", REPLIES_SCHEMA, JSON_OPTIONS).alias("tree"))
+    return tree.select("story_id", "seq", F.posexplode("tree.children").alias("pos", "reply")).select("story_id", "seq", "pos", "reply.*")
 
 
 def wp_posts_scan(payloads: DataFrame, cap: int | None = config.POSTS_PER_PAGE) -> DataFrame:

@@ -22,7 +22,9 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """Records of all finished runs; none when nothing has been written yet."""
     try:
         return spark.read.schema(RUN_STATS_SCHEMA).parquet(f"{path}/runs")
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], RUN_STATS_SCHEMA)
 
 
