@@ -27,6 +27,7 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -313,7 +314,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, finish, fields: str,
         one = pdf.drop_duplicates("no").sort_values("no")
         ids = encoder.joined([(np.frombuffer(b, "<u4").tolist(), int(r)) for b, r in zip(one["ids"], one["run"], strict=True)])
         result = finish(encoder, np.array(ids, dtype=np.uint32))
-        return __import__("pandas").DataFrame([[pdf["id"].iloc[0], *result]] * copies, columns=["id", *names])
+        return pd.DataFrame([[pdf["id"].iloc[0], *result]] * copies, columns=["id", *names])
 
     id_type = out_schema.split(", ")[0]
     short = rows.filter(F.length("text") <= segment_chars).mapInArrow(whole, out_schema)
@@ -338,7 +339,7 @@ def decode_ids(ids: Column, path: str, pattern: str | None = None) -> Column:
     pattern = pattern or public_pattern()
 
     @F.pandas_udf("string")
-    def text(batches: Iterator) -> Iterator:  # noqa: ANN401
+    def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(path, pattern)
         for s in batches:
             yield s.map(lambda v: None if v is None else encoder.decode(np.asarray(v, dtype=np.int64)))

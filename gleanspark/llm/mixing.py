@@ -91,8 +91,8 @@ def mix(docs: DataFrame, seed: int = 7, id_column: str = "doc_id", source_column
     taken = copies(sized.select(F.col(id_column).cast("string").alias("doc_id"), F.col(source_column).alias("source"), F.col(size).alias("size")), seed)
     # rows that share id, source and size are told apart by number
     key = lambda i, s, n: F.struct(F.coalesce(F.concat(F.lit("s"), i), F.lit("")), F.coalesce(F.concat(F.lit("s"), s), F.lit("")), n)
-    wanted = taken.filter("copies > 0").groupBy(key(F.col("doc_id"), F.col("source"), F.col("size")).alias("k")).agg(
-        F.sort_array(F.collect_list("copies"), asc=False).alias("each"), F.count("*").alias("rows"))
+    wanted = taken.groupBy(key(F.col("doc_id"), F.col("source"), F.col("size")).alias("k")).agg(
+        F.sort_array(F.collect_list("copies"), asc=False).alias("each"), F.count("*").alias("rows")).filter("each[0] > 0")
     left = docs.select(F.struct(*quoted(docs.columns)).alias(row), key(F.col(id_column).cast("string"), F.col(source_column), word_count(F.col(text_column))).alias(again))
     joined = left.join(wanted, F.col(again) == F.col("k"))
     single = joined.filter("rows = 1").withColumn("n", F.col("each")[0])
