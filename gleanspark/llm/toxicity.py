@@ -28,6 +28,10 @@ from pyspark.sql import functions as F
 from gleanspark.llm.common import free_name, quoted, table, written
 
 MAX_ROWS, MAX_WORDS, MIN_ROWS_OF_WORD, MAX_WORD_BYTES = 16_000, 30_000, 5, 40
+#: Tasks that read the training rows.
+TRAINING_PARTS = 12
+#: Texts whose words are listed at once.
+SLICE_ROWS = 1_000
 #: Strength of the pull of weights towards zero, per row.
 RIDGE = 2e-4
 #: Least expected severity of a rejected text.
@@ -50,6 +54,13 @@ class Model:
         return np.diff(np.concatenate([np.zeros((len(score), 1)), upto, np.ones((len(score), 1))], axis=1), axis=1)
 
 
+def sliced(batches):
+    """Record batches of at most SLICE_ROWS rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
     """(row, word) for each word of each text: ASCII lower case, cut at white space and punctuation."""
     lower = pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string()))
@@ -143,11 +154,11 @@ def severity_labels(row: np.ndarray, col: np.ndarray, toxic: np.ndarray, n_words
 
 def fit(labelled: DataFrame, from_binary: bool = True, max_rows: int = MAX_ROWS, max_words: int = MAX_WORDS) -> Model:
     """Fit on (id, text, grade); from_binary turns grades of 0 and 1 into 0, 1 and 2 first."""
-    sample = written(labelled.filter("grade is not null").orderBy(F.xxhash64("id"), "id", "grade").limit(max_rows), "labelled")
+    sample = written(labelled.filter("grade is not null").orderBy(F.xxhash64("id"), "id", "grade").limit(max_rows).repartition(TRAINING_PARTS, "id"), "labelled")
     spark = sample.sparkSession
 
     def distinct(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             row, flat = words_of(batch.column(0))
             pair = np.unique(row * max(1, len(flat.dictionary)) + flat.indices.to_numpy(zero_copy_only=False)) if len(row) else row
             count = np.bincount(pair % max(1, len(flat.dictionary)), minlength=len(flat.dictionary))
@@ -159,7 +170,7 @@ def fit(labelled: DataFrame, from_binary: bool = True, max_rows: int = MAX_ROWS,
     known = pa.array(words, pa.string())
 
     def features(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             row, col = present(batch.column(0), known)
             bounds = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.ListArray.from_arrays(pa.array(bounds), pa.array(col, pa.int32()))], names=["grade", "cols"])
@@ -190,7 +201,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     def run(batches):
         words, weights, thresholds = sent.value
         known, m = pa.array(words, pa.string()), Model(words, weights, thresholds)
-        for batch in batches:
+        for batch in sliced(batches):
             row, col = present(batch.column(1), known)
             p = m.grades(np.bincount(row, weights[col], minlength=batch.num_rows) if len(row) else np.zeros(batch.num_rows))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p @ np.arange(p.shape[1])), pa.array(p.argmax(axis=1).astype(np.int32))], names=["id", "severity", "grade"])
@@ -226,9 +237,13 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     @F.pandas_udf("double")
     def expected(batches: pd.Series) -> pd.Series:
         words, weights, thresholds = sent.value
-        row, col = present(pa.array(batches, pa.string(), from_pandas=True), pa.array(words, pa.string()))
-        p = Model(words, weights, thresholds).grades(np.bincount(row, weights[col], minlength=len(batches)) if len(row) else np.zeros(len(batches)))
-        return pd.Series(p @ np.arange(p.shape[1]))
+        known, model_, out = pa.array(words, pa.string()), Model(words, weights, thresholds), [np.zeros(0)]
+        for at in range(0, len(batches), SLICE_ROWS):
+            texts = pa.array(batches.iloc[at:at + SLICE_ROWS], pa.string(), from_pandas=True)
+            row, col = present(texts, known)
+            p = model_.grades(np.bincount(row, weights[col], minlength=len(texts)) if len(row) else np.zeros(len(texts)))
+            out.append(p @ np.arange(p.shape[1]))
+        return pd.Series(np.concatenate(out))
 
     return docs.withColumn(severity, expected(F.col("text"))).filter(F.col(severity) < REJECT_FROM).select(*quoted(docs.columns))
 
