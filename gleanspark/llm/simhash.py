@@ -207,17 +207,27 @@ def banded_links(prints: DataFrame, rows: int, radius: int, share: float, found:
     # whole nibbles, and part of one more
     chosen = [rng.choice(views * 16, -(-size // 4), replace=False).tolist() for _ in range(int(keys))]
 
-    def key(number: int, places: list[int]) -> Column:
-        masks = [15] * (size // 4) + [(1 << size % 4) - 1] * (size % 4 > 0)
-        bits = [F.shiftrightunsigned(F.col("fps")[i // 16], 4 * (i % 16)).bitwiseAND(F.lit(m).cast("long")) for i, m in zip(places, masks, strict=True)]
-        return reduce(lambda a, b: F.shiftleft(a, 4).bitwiseOR(b), bits, F.lit(number).cast("long"))
+    masks = [15] * (size // 4) + [(1 << size % 4) - 1] * (size % 4 > 0)
+
+    def band_keys(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1_000):
+                ids, fps = (c.slice(at, 1_000) for c in batch.columns)
+                fps = np.array(fps.to_pylist(), dtype=np.int64).view(np.uint64)
+                out = np.empty((len(fps), len(chosen)), dtype=np.uint64)
+                for number, places in enumerate(chosen):
+                    own = np.full(len(fps), number, dtype=np.uint64)
+                    for i, mask in zip(places, masks, strict=True):
+                        own = own << np.uint64(4) | fps[:, i // 16] >> np.uint64(4 * (i % 16)) & np.uint64(mask)
+                    out[:, number] = own
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.repeat(np.arange(len(fps)), len(chosen)))), pa.array(out.view(np.int64).ravel())], names=["id", "key"])
 
     def differing(x: str, y: str) -> Column:
         return sum(F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(views))
 
     # many keys come from a small table: dealt anew, so that no task counts too many
     spread = prints.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
-    keyed = spread.select("id", F.explode(F.array(*[key(i, c) for i, c in enumerate(chosen)])).alias("key"))
+    keyed = spread.select("id", "fps").mapInArrow(band_keys, "id long, key long")
     sizes = written(keyed.groupBy("key").agg(F.count("*").alias("members"), F.min("id").alias("pivot")).filter("members > 1"), "bands")
     shared = written(keyed.join(sizes, "key").join(prints, "id"), "band-members")
     few = shared.filter(F.col("members") <= paired).select("key", "id", "fps")
