@@ -41,6 +41,8 @@ SEGMENT_CHARS = 32_768
 LEAF_BYTES = 1_024
 #: Pieces whose ids are put together at once, which bounds the memory of a step.
 PIECES_AT_ONCE = 200_000
+#: Rows of a batch whose pieces are told apart at once.
+ROWS_AT_ONCE = 3_000
 #: Distinct pieces that are encoded as one text.
 JOINED_PIECES = 500
 
@@ -280,7 +282,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, finish, fields: str,
 
     def whole(batches):
         encoder = Encoder(path, pattern)
-        for batch in batches:
+        for batch in (b.take(pa.array(range(i, min(i + ROWS_AT_ONCE, b.num_rows)))) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
             at = 0
             for ids, bounds in encoder.encode(batch.column(1)):
                 n = len(bounds) - 1
