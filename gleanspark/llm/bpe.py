@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanspark.llm.common import table
+from gleanspark.llm.common import sliced, table, tidy
 
 #: Characters in a row of its own in the plan; a longer document is dealt over rows.
 SEGMENT_CHARS = 32_768
@@ -282,7 +282,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, finish, fields: str,
 
     def whole(batches):
         encoder = Encoder(path, pattern)
-        for batch in (b.take(pa.array(range(i, min(i + ROWS_AT_ONCE, b.num_rows)))) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
+        for batch in sliced(batches, 1, ROWS_AT_ONCE):
             at = 0
             for ids, bounds in encoder.encode(batch.column(1)):
                 n = len(bounds) - 1
@@ -319,10 +319,10 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, finish, fields: str,
         return pd.DataFrame([[pdf["id"].iloc[0], *result]] * copies, columns=["id", *names])
 
     id_type = out_schema.split(", ")[0]
-    short = rows.filter(F.length("text") <= segment_chars).mapInArrow(whole, out_schema)
+    short = rows.filter(F.length("text") <= segment_chars).mapInArrow(tidy(whole), out_schema)
     pieces = (rows.filter(F.length("text") > segment_chars).select("id", F.sha2("text", 256).alias("key"), "text")
-              .mapInArrow(cut, f"{id_type}, key string, no int, run int, text string")
-              .repartition("key", "no").mapInArrow(encode, f"{id_type}, key string, no int, run int, ids binary"))
+              .mapInArrow(tidy(cut), f"{id_type}, key string, no int, run int, text string")
+              .repartition("key", "no").mapInArrow(tidy(encode), f"{id_type}, key string, no int, run int, ids binary"))
     return short.unionByName(pieces.groupBy("id", "key").applyInPandas(together, out_schema)).withColumnRenamed("id", id_column)
 
 

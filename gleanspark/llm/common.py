@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +16,8 @@ from gleanspark.session import shared_folder
 
 #: White space that separates words, as a Java and RE2 class body.
 SPACE = r"\x20\x09-\x0D"
+#: Bytes of text that a task takes apart at once; a longer text makes a slice of its own.
+SLICE_BYTES = 4 << 20
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -48,3 +54,36 @@ def free_name(df: DataFrame, name: str) -> str:
 def quoted(names: Sequence[str]) -> list[Column]:
     """Columns by name, whatever characters the names hold."""
     return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
+def sliced(batches: Iterator[pa.RecordBatch], column: int, rows: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `rows` rows and about `size` bytes in `column`.
+
+    Copied: Arrow's ascii_lower misreads large strings in a view that starts past the first row.
+    """
+    for batch in batches:
+        total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            fits = int(np.searchsorted(total, (total[at - 1] if at else 0) + size, side="right"))
+            end = min(at + rows, max(at + 1, fits), batch.num_rows)
+            yield batch.take(pa.array(range(at, end)))
+            at = end
+
+
+def give_back() -> None:
+    """Hand the memory that a task no longer needs back to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`task`, a function from batches to batches, that gives memory back when it ends."""
+
+    def run(batches):
+        yield from task(batches)
+        give_back()
+
+    return run

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanspark.llm.common import free_name, quoted, table, written
+from gleanspark.llm.common import free_name, quoted, table, tidy, written
 
 BITS = 64
 #: Bits of the three parts.
@@ -105,7 +105,7 @@ def fingerprints(docs: DataFrame, width: int = 3, views: int = 1, id_column: str
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.list_(pa.int64()))], names=["id", "fps"])
 
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, fps array<long>").withColumnRenamed("id", id_column)
+    return rows.mapInArrow(tidy(run), f"id {dict(rows.dtypes)['id']}, fps array<long>").withColumnRenamed("id", id_column)
 
 
 def _distances(fp: Column) -> list[list[Column]]:
@@ -227,7 +227,7 @@ def banded_links(prints: DataFrame, rows: int, radius: int, share: float, found:
 
     # many keys come from a small table: dealt anew, so that no task counts too many
     spread = prints.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
-    keyed = spread.select("id", "fps").mapInArrow(band_keys, "id long, key long")
+    keyed = spread.select("id", "fps").mapInArrow(tidy(band_keys), "id long, key long")
     sizes = written(keyed.groupBy("key").agg(F.count("*").alias("members"), F.min("id").alias("pivot")).filter("members > 1"), "bands")
     shared = written(keyed.join(sizes, "key").join(prints, "id"), "band-members")
     few = shared.filter(F.col("members") <= paired).select("key", "id", "fps")

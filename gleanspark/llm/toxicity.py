@@ -16,6 +16,7 @@ of one grade, that grade is the severity of all.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanspark.llm.common import free_name, quoted, table, written
+from gleanspark.llm.common import free_name, give_back, quoted, sliced, table, tidy, written
 
 MAX_ROWS, MAX_WORDS, MIN_ROWS_OF_WORD, MAX_WORD_BYTES = 16_000, 30_000, 5, 40
 #: Tasks that read the training rows.
@@ -54,13 +55,6 @@ class Model:
         return np.diff(np.concatenate([np.zeros((len(score), 1)), upto, np.ones((len(score), 1))], axis=1), axis=1)
 
 
-def sliced(batches):
-    """Record batches of at most SLICE_ROWS rows, copied: Arrow's ascii_lower misreads large strings in a view that starts past the first row."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, SLICE_ROWS):
-            yield batch.take(pa.array(range(at, min(at + SLICE_ROWS, batch.num_rows))))
-
-
 def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
     """(row, word) for each word of each text: ASCII lower case, cut at white space and punctuation."""
     lower = pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string()))
@@ -158,19 +152,19 @@ def fit(labelled: DataFrame, from_binary: bool = True, max_rows: int = MAX_ROWS,
     spark = sample.sparkSession
 
     def distinct(batches):
-        for batch in sliced(batches):
+        for batch in sliced(batches, 0, SLICE_ROWS):
             row, flat = words_of(batch.column(0))
             pair = np.unique(row * max(1, len(flat.dictionary)) + flat.indices.to_numpy(zero_copy_only=False)) if len(row) else row
             count = np.bincount(pair % max(1, len(flat.dictionary)), minlength=len(flat.dictionary))
             yield pa.RecordBatch.from_arrays([flat.dictionary.cast(pa.string()), pa.array(count, pa.int64())], names=["word", "n"])
 
-    counted = (sample.select("text").mapInArrow(distinct, "word string, n long").filter(f"word != '' and octet_length(word) <= {MAX_WORD_BYTES}")
+    counted = (sample.select("text").mapInArrow(tidy(distinct), "word string, n long").filter(f"word != '' and octet_length(word) <= {MAX_WORD_BYTES}")
                .groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_ROWS_OF_WORD))
     words = sorted((r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(max_words).collect()), key=str.encode)
     known = pa.array(words, pa.string())
 
     def features(batches):
-        for batch in sliced(batches):
+        for batch in sliced(batches, 0, SLICE_ROWS):
             row, col = present(batch.column(0), known)
             bounds = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.ListArray.from_arrays(pa.array(bounds), pa.array(col, pa.int32()))], names=["grade", "cols"])
@@ -187,7 +181,7 @@ def fit(labelled: DataFrame, from_binary: bool = True, max_rows: int = MAX_ROWS,
             w, t = fit_ordinal(row, col, grade, len(words))
         return pd.DataFrame({"w": [w.astype("<f8").tobytes()], "t": [t.astype("<f8").tobytes()]})
 
-    found = (sample.select("text", F.col("grade").cast("int").alias("grade")).mapInArrow(features, "grade int, cols array<int>")
+    found = (sample.select("text", F.col("grade").cast("int").alias("grade")).mapInArrow(tidy(features), "grade int, cols array<int>")
              .groupBy().applyInPandas(train, "w binary, t binary").collect())
     if not found:
         return Model([], np.zeros(0), np.array([50.0]))
@@ -201,13 +195,13 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     def run(batches):
         words, weights, thresholds = sent.value
         known, m = pa.array(words, pa.string()), Model(words, weights, thresholds)
-        for batch in sliced(batches):
+        for batch in sliced(batches, 1, SLICE_ROWS):
             row, col = present(batch.column(1), known)
             p = m.grades(np.bincount(row, weights[col], minlength=batch.num_rows) if len(row) else np.zeros(batch.num_rows))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p @ np.arange(p.shape[1])), pa.array(p.argmax(axis=1).astype(np.int32))], names=["id", "severity", "grade"])
 
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, severity double, grade int").withColumnRenamed("id", id_column)
+    return rows.mapInArrow(tidy(run), f"id {dict(rows.dtypes)['id']}, severity double, grade int").withColumnRenamed("id", id_column)
 
 
 def labelled_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -234,16 +228,18 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     severity = free_name(docs, "severity")
     sent = docs.sparkSession.sparkContext.broadcast((model.words, model.weights, model.thresholds))
 
-    @F.pandas_udf("double")
-    def expected(batches: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def expected(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words, weights, thresholds = sent.value
-        known, model_, out = pa.array(words, pa.string()), Model(words, weights, thresholds), [np.zeros(0)]
-        for at in range(0, len(batches), SLICE_ROWS):
-            texts = pa.array(batches.iloc[at:at + SLICE_ROWS], pa.string(), from_pandas=True)
-            row, col = present(texts, known)
-            p = model_.grades(np.bincount(row, weights[col], minlength=len(texts)) if len(row) else np.zeros(len(texts)))
-            out.append(p @ np.arange(p.shape[1]))
-        return pd.Series(np.concatenate(out))
+        known, model_ = pa.array(words, pa.string()), Model(words, weights, thresholds)
+        for texts in batches:
+            out = [np.zeros(0)]
+            for batch in sliced([pa.RecordBatch.from_arrays([texts], names=["text"])], 0, SLICE_ROWS):
+                row, col = present(batch.column(0), known)
+                p = model_.grades(np.bincount(row, weights[col], minlength=batch.num_rows) if len(row) else np.zeros(batch.num_rows))
+                out.append(p @ np.arange(p.shape[1]))
+            yield pa.array(np.concatenate(out))
+        give_back()
 
     return docs.withColumn(severity, expected(F.col("text"))).filter(F.col(severity) < REJECT_FROM).select(*quoted(docs.columns))
 
