@@ -185,7 +185,7 @@ def differing_share(similarity: float) -> float:
     return acos(2 * similarity / (1 + similarity)) / pi
 
 
-def banded_links(prints: DataFrame, rows: int, radius: int, share: float, found: float = 0.95, paired: int = 8) -> DataFrame:
+def banded_links(prints: DataFrame, rows: int, radius: int, share: float, found: float = 0.95) -> DataFrame:
     """(a, b): links between texts whose long fingerprints differ in at most `radius` bits. prints: (id, fps), distinct in both.
 
     Texts meet on keys of some bits of the fingerprint. A key has KEY_BITS more
@@ -193,8 +193,8 @@ def banded_links(prints: DataFrame, rows: int, radius: int, share: float, found:
     and there are as many keys as it takes for texts that differ in `share` of
     the bits to meet with probability `found`; nearer ones meet more surely.
 
-    A key's first text is its pivot. In keys with many members each is compared
-    with the pivot only, and linked or not. By the triangle inequality a linked
+    A key's first text is its pivot. Each other member is compared with the
+    pivot only, and linked or not. By the triangle inequality a linked
     text can't be within the radius of one that is further than two radii and so
     on from the pivot; just what is left after that is compared in one task, from
     what is linked outwards, so that near copies leave the comparison at once.
@@ -230,17 +230,14 @@ def banded_links(prints: DataFrame, rows: int, radius: int, share: float, found:
     keyed = spread.select("id", "fps").mapInArrow(tidy(band_keys), "id long, key long")
     sizes = written(keyed.groupBy("key").agg(F.count("*").alias("members"), F.min("id").alias("pivot")).filter("members > 1"), "bands")
     shared = written(keyed.join(sizes, "key").join(prints, "id"), "band-members")
-    few = shared.filter(F.col("members") <= paired).select("key", "id", "fps")
-    pairs = (few.alias("a").join(few.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")))
-             .filter(differing("a.fps", "b.fps") <= radius).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
-    many = shared.filter(F.col("members") > paired)
-    pivots_ = many.filter("id = pivot").select("key", F.col("fps").alias("pivot_fps"))
-    told = written(many.join(pivots_, "key").withColumn("far", differing("fps", "pivot_fps")), "told")
+    pivots_ = shared.filter("id = pivot").select("key", F.col("fps").alias("pivot_fps"))
+    told = written(shared.join(pivots_, "key").withColumn("far", differing("fps", "pivot_fps")), "told")
     # a text that several pivots link to keeps one of them, and the pivots link to each other: far fewer links, the same components
     linked = (told.filter((F.col("far") <= radius) & (F.col("id") != F.col("pivot"))).select("id", "pivot")
               .withColumn("least", F.min("pivot").over(Window.partitionBy("id"))))
     stars = linked.select(F.col("least").alias("a"), F.when(F.col("pivot") == F.col("least"), F.col("id")).otherwise(F.col("pivot")).alias("b")).distinct()
-    rest = told.groupBy("key").agg(F.max(F.when(F.col("far") > radius, F.lit(1)).otherwise(0)).alias("open"), F.min(F.when(F.col("far") > radius, F.col("far"))).alias("nearest"))
+    # two members have nothing left to compare
+    rest = told.filter("members > 2").groupBy("key").agg(F.max(F.when(F.col("far") > radius, F.lit(1)).otherwise(0)).alias("open"), F.min(F.when(F.col("far") > radius, F.col("far"))).alias("nearest"))
     left = told.join(rest.filter("open = 1"), "key").filter((F.col("far") > radius) | (F.col("far") >= F.col("nearest") - radius)).select("key", "id", "far", "fps")
 
     def outwards(pdf):
@@ -259,7 +256,7 @@ def banded_links(prints: DataFrame, rows: int, radius: int, share: float, found:
         return pd.DataFrame(links_, columns=["a", "b"], dtype="int64")
 
     others = left.groupBy("key").applyInPandas(outwards, "a long, b long")
-    return pairs.unionByName(stars).unionByName(others).distinct() if rows else spark.createDataFrame([], "a long, b long")
+    return stars.unionByName(others).distinct() if rows else spark.createDataFrame([], "a long, b long")
 
 
 def near_dedup(docs: DataFrame, similarity: float = 0.8, width: int = 5, views: int = 8, id_column: str = "doc_id", text_column: str = "text",
