@@ -232,10 +232,13 @@ def banded_links(prints: DataFrame, rows: int, radius: int, share: float, found:
     shared = written(keyed.join(sizes, "key").join(prints, "id"), "band-members")
     pivots_ = shared.filter("id = pivot").select("key", F.col("fps").alias("pivot_fps"))
     told = written(shared.join(pivots_, "key").withColumn("far", differing("fps", "pivot_fps")), "told")
-    # a text that several pivots link to keeps one of them, and the pivots link to each other: far fewer links, the same components
-    linked = (told.filter((F.col("far") <= radius) & (F.col("id") != F.col("pivot"))).select("id", "pivot")
-              .withColumn("least", F.min("pivot").over(Window.partitionBy("id"))))
-    stars = linked.select(F.col("least").alias("a"), F.when(F.col("pivot") == F.col("least"), F.col("id")).otherwise(F.col("pivot")).alias("b")).distinct()
+    # a text keeps the smallest of the pivots that it links to; its other links become links between such smallest pivots,
+    # of which a group of near copies has few: far fewer links, the same components
+    linked = written(told.filter((F.col("far") <= radius) & (F.col("id") != F.col("pivot"))).select("id", "pivot")
+                     .withColumn("least", F.min("pivot").over(Window.partitionBy("id"))), "linked")
+    own = linked.select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    over = linked.select("least", "pivot").distinct().join(own.select(F.col("b").alias("pivot"), F.col("a").alias("top")), "pivot", "left")
+    stars = own.unionByName(over.select(F.col("least").alias("a"), F.coalesce("top", "pivot").alias("b")).filter("a != b"))
     # two members have nothing left to compare
     rest = told.filter("members > 2").groupBy("key").agg(F.max(F.when(F.col("far") > radius, F.lit(1)).otherwise(0)).alias("open"), F.min(F.when(F.col("far") > radius, F.col("far"))).alias("nearest"))
     left = told.join(rest.filter("open = 1"), "key").filter((F.col("far") > radius) | (F.col("far") >= F.col("nearest") - radius)).select("key", "id", "far", "fps")
