@@ -75,5 +75,6 @@ def blocklist_anti_table(links: DataFrame, blocklist: DataFrame, href: str = "hr
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     by_suffix = located.select("host").distinct().select("host", F.explode(suffixes).alias("domain"))
     listed = blocklist.select(F.lower("domain").alias("domain")).distinct()
-    blocked = by_suffix.join(listed, "domain", "left_semi").select("host").distinct()
+    # a top level such as "com" is a suffix of very many hosts
+    blocked = balanced_join(by_suffix, listed, ["domain"], "left_semi", hot_rows).select("host").distinct()
     return balanced_join(located, blocked, ["host"], "left_anti", hot_rows).drop("host")

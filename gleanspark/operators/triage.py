@@ -12,9 +12,19 @@ from .skew import HOT_ROWS, balanced_join
 
 PENDING = config.TRIAGE_STATES[0]
 FREE_OF_CHARGE = ["free", "freemium"]
+#: Newest first by the date string, then as the rows came. " desc" after a name turns its order; nulls then come last.
+SNAPSHOT_ORDER = ("date_iso desc", *ARRIVAL_ORDER)
 ITEM_SEPARATOR = f"\n\n{config.EXPORT_RULE}\n\n"
 
 
+def _names(order: Sequence[str]) -> list[str]:
+    return [c.removesuffix(" desc") for c in order]
+
+
+def _sorting(order: Sequence[str]) -> list[Column]:
+    return [F.col(n).asc() if n == c else F.col(n).desc() for n, c in zip(_names(order), order, strict=True)]
+
+
 def latest_triage_state(changes: DataFrame, key: str = "tool_url", order: Sequence[str] = ("ts", "seq")) -> DataFrame:
     """The last state per item, from changes (key, state, ts, seq). Combined before the shuffle."""
     last = F.max_by(F.struct("state", "ts"), F.struct(*order)).alias("last")
@@ -73,16 +83,16 @@ def pricing_rank(pricing: Column, parity: bool = False) -> Column:
     return F.coalesce(known, F.lit(2))
 
 
-def triage_order(triaged: DataFrame, order: Sequence[str] = ARRIVAL_ORDER, parity: bool = False) -> DataFrame:
+def triage_order(triaged: DataFrame, order: Sequence[str] = SNAPSHOT_ORDER, parity: bool = False) -> DataFrame:
     """L3, for the view of all items: pending ones first by pricing, the others after them.
 
-    When there are only pending items, or none, arrival order stays as it is.
+    Ties keep snapshot order. When there are only pending items, or none, it stays as it is.
     """
     pending = F.col("state") == PENDING
     mixed = triaged.agg(F.bool_or(pending) & F.bool_or(~pending)).scalar()
     rank = F.when(mixed & pending, pricing_rank(F.col("pricing"), parity)).otherwise(0)
     part = F.when(mixed & ~pending, 1).otherwise(0)
-    return triaged.withColumns({"part": part, "pricing_rank": rank}).orderBy("part", "pricing_rank", *order)
+    return triaged.withColumns({"part": part, "pricing_rank": rank}).orderBy("part", "pricing_rank", *_sorting(order))
 
 
 def selection_list(triaged: DataFrame) -> DataFrame:
@@ -95,14 +105,15 @@ def _or_default(value: Column, default: str) -> Column:
     return F.coalesce(F.nullif(value, F.lit("")), F.lit(default))
 
 
-def export_block(triaged: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
+def export_block(triaged: DataFrame, order: Sequence[str] = SNAPSHOT_ORDER) -> DataFrame:
     """K3: one text block per item to publish, as (order columns, block) in snapshot order.
 
     Every block but the first starts with the separating rule, so the blocks
     read one after the other are the whole export, however many there are.
     """
     picked = triaged.where(F.col("state") == "pub")
-    first = picked.agg(F.min(F.struct(*order))).scalar()
+    place = F.struct(*_names(order))
+    first = picked.orderBy(*_sorting(order)).limit(1).select(place).scalar()
     labels = config.EXPORT_LABELS
     none = config.EXPORT_NO_VALUE
     block = F.concat(
@@ -112,11 +123,11 @@ def export_block(triaged: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> Da
         F.lit(labels["source"]), _or_default(F.col("source"), none), F.lit("\n"),
         F.lit(labels["pricing"]), _or_default(F.col("pricing"), none),
     )
-    rule = F.when(F.struct(*order) == first, "").otherwise(ITEM_SEPARATOR)
-    return picked.select(*order, F.concat(rule, block).alias("block")).orderBy(*order)
+    rule = F.when(place.eqNullSafe(first), "").otherwise(ITEM_SEPARATOR)
+    return picked.select(*_names(order), F.concat(rule, block).alias("block")).orderBy(*_sorting(order))
 
 
-def write_export(triaged: DataFrame, path: str, order: Sequence[str] = ARRIVAL_ORDER) -> None:
+def write_export(triaged: DataFrame, path: str, order: Sequence[str] = SNAPSHOT_ORDER) -> None:
     """Export as text files whose names sort in snapshot order.
 
     The line break that ends each row stands for the first one of the next

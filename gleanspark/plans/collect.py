@@ -145,7 +145,8 @@ def show_rows(run: Run) -> DataFrame:
 
 def posts_rows(run: Run) -> DataFrame:
     """WordPress directories: the first link out of a post, described by its excerpt."""
-    posts = S.wp_posts_scan(run.landed(run.specs("posts"), "posts")).withColumns({
+    specs = run.specs("posts")
+    posts = S.wp_posts_scan(run.landed(specs, "posts"), _per_source(specs, lambda s: s.cap)).withColumns({
         "name": H.html_to_plain(F.col("title")),
         "date_iso": run.date("date"),
     })

@@ -569,6 +569,14 @@ def _export(spark, sf):
     return T.export_block(_triaged(spark, sf), RANK)
 
 
+@query("export_descending", f"""WITH {TRIAGED}, picked AS (SELECT *, row_number() OVER (ORDER BY n_chars DESC, rank) AS place FROM triaged WHERE state = 'pub')
+    SELECT n_chars, rank, CASE WHEN place = 1 THEN '' ELSE chr(10) || chr(10) || '────────' || chr(10) || chr(10) END
+      || name || chr(10) || tool_url || chr(10) || chr(10) || CASE WHEN description = '' THEN '(sans description)' ELSE description END || chr(10) || chr(10)
+      || 'Catégories : ' || array_to_string(categories, ', ') || chr(10) || 'Source : ' || source || chr(10) || 'Pricing : ' || pricing AS block FROM picked""")
+def _export_descending(spark, sf):
+    return T.export_block(_triaged(spark, sf), ["n_chars desc", *RANK])
+
+
 # --- Payload scans over documents laid out as payloads ---
 
 ENTRY = f"WITH {O.DOCS}, {O.DATED}"
@@ -590,14 +598,14 @@ for _format in ("rss", "atom"):
 def _hits(spark, sf):
     landed = samples.land_hits(table(spark, sf, "documents")).where("kind = 'hits'")
     text = H.html_to_text(F.coalesce("story_text", F.lit("")))
-    return S.search_hits_scan(landed).select("source", "seq", "pos", "title", "created_at_i", "story_id", "author", text.alias("text"))
+    return S.search_hits_scan(landed, config.HITS_PER_PAGE).select("source", "seq", "pos", "title", "created_at_i", "story_id", "author", text.alias("text"))
 
 
 @query("wp_posts", _scan_sql("title, tool_url AS link, iso AS date, 'Code ' || body || CASE WHEN lang = 'en' THEN ' Go' ELSE '' END AS text",
                              "pos < 20 AND (seq + source_rank) % 5 <> 0"))
 def _posts(spark, sf):
     landed = samples.land_posts(table(spark, sf, "documents")).where("kind = 'posts' AND status = 'ok'")
-    return S.wp_posts_scan(landed).select(
+    return S.wp_posts_scan(landed, config.POSTS_PER_PAGE).select(
         "source", "seq", "pos", H.html_to_plain(F.col("title")).alias("title"), "link", "date", H.html_to_text(F.col("content")).alias("text"))
 
 

@@ -51,8 +51,8 @@ def feed_scan(payloads: DataFrame, cap: int | Column | None = config.DEFAULT_FEE
     return _entries(feed, F.coalesce(rss, rdf, atom), cap).select(*PAYLOAD_KEY, "pos", "entry.*")
 
 
-def search_hits_scan(payloads: DataFrame, cap: int | None = config.HITS_PER_PAGE) -> DataFrame:
-    """Hits of a search API answer."""
+def search_hits_scan(payloads: DataFrame, cap: int | Column | None = None) -> DataFrame:
+    """Hits of a search API answer: all, or the first `cap` of each."""
     parsed = payloads.withColumn("answer", F.from_json("payload", HITS_SCHEMA, JSON_OPTIONS))
     return _entries(parsed, F.col("answer.hits"), cap).select(
         *PAYLOAD_KEY, "pos", strip_space(F.coalesce("entry.title", F.lit(""))).alias("title"), "entry.url",
@@ -65,8 +65,8 @@ def replies_scan(payloads: DataFrame) -> DataFrame:
     return tree.select("story_id", "seq", F.posexplode("tree.children").alias("pos", "reply")).select("story_id", "seq", "pos", "reply.*")
 
 
-def wp_posts_scan(payloads: DataFrame, cap: int | None = config.POSTS_PER_PAGE) -> DataFrame:
-    """S3: posts of a WordPress answer: title, link, content, excerpt, date."""
+def wp_posts_scan(payloads: DataFrame, cap: int | Column | None = None) -> DataFrame:
+    """S3: posts of a WordPress answer: title, link, content, excerpt, date; all, or the first `cap` of each."""
     parsed = payloads.withColumn("posts", F.from_json("payload", POSTS_SCHEMA, JSON_OPTIONS))
     text = lambda field: F.coalesce(F.col(f"entry.{field}.rendered"), F.lit("")).alias(field)
     return _entries(parsed, F.col("posts"), cap).select(

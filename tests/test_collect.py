@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from gleanspark import config
 from gleanspark.config import default_sources
 from gleanspark.plans.collect import collect
 from gleanspark.plans.nightly import run_once
@@ -208,3 +209,14 @@ def test_stream_of_landings_equals_batch_runs(spark, landing, tmp_path):
             third.coalesce(1).write.mode("append").parquet(str(folder))
     assert _rows(spark, stream) == _rows(spark, batch)
     assert latest_run(spark, stream) == 1
+
+
+def test_answers_are_cut_by_their_source_only(spark):
+    posts = [{"title": {"rendered": f"Item number {i}"}, "link": f"https://dir.example/{i}", "date": "2026-04-22T10:00:00",
+              "content": {"rendered": f'<a href="https://item{i}.example/">x</a> a text that is long enough'}, "excerpt": {"rendered": ""}} for i in range(60)]
+    hits = {"hits": [{"title": f"t{i}", "url": "u", "objectID": str(i)} for i in range(60)]}
+    landing = spark.createDataFrame([("dir", "posts", 0, "", "ok", json.dumps(posts)), ("h", "hits", 0, "", "ok", json.dumps(hits))], LANDING_SCHEMA)
+    assert S.wp_posts_scan(landing.where("kind = 'posts'")).count() == 60
+    assert S.search_hits_scan(landing.where("kind = 'hits'")).count() == 60
+    for cap in (3, 45):
+        assert collect(landing.where("kind = 'posts'"), AS_OF, [config.SourceSpec("dir", 0, "posts", cap)]).count() == cap

@@ -59,6 +59,21 @@ def test_order(spark, items):
     assert order(T.triage_order(only_pending, ORDER)) == [0, 1, 2, 3, 4, 5]
 
 
+def test_newest_first_by_default(spark, items):
+    dated = items.withColumns({
+        "date_iso": F.when(F.col("pos") != 2, F.concat(F.lit("2026-04-2"), (F.col("pos") % 3).cast("string"))),
+        "source_rank": F.lit(0), "seq": F.lit(0)})
+    all_pub = T.with_triage_state(dated, _states(spark, [(f"u{i}", "pub") for i in range(6)]))
+    blocks = T.export_block(all_pub).collect()
+    # dates end in 0 1 - 0 1 2 by pos; the one without comes last
+    assert [r["pos"] for r in blocks] == [5, 1, 4, 0, 3, 2]
+    assert [r["block"].startswith("n") for r in blocks] == [True] + [False] * 5
+    assert T.export_block(all_pub.where("false")).count() == 0
+    assert [r["pos"] for r in T.triage_order(all_pub).collect()] == [5, 1, 4, 0, 3, 2]
+    lone = T.export_block(all_pub.where("pos = 2")).collect()
+    assert len(lone) == 1 and lone[0]["block"].startswith("n2")
+
+
 def test_export_files_are_the_block(spark, items, tmp_path):
     triaged = T.with_triage_state(items, _states(spark, [("u1", "pub"), ("u4", "pub")])).repartition(4)
     blocks = T.export_block(triaged, ORDER).collect()
