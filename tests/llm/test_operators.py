@@ -299,6 +299,53 @@ def test_near_dedup(spark, docs, none):
     assert simhash.near_dedup(none).count() == 0
 
 
+def near_kept(spark, texts):
+    rows = [(i, t, "s", None, None, None) for i, t in enumerate(texts)]
+    return {r["doc_id"] for r in simhash.near_dedup(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()}
+
+
+def test_near_dedup_counts_a_shingle_once(spark):
+    own = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    base, passage = own("a", 300), own("p", 60)
+    line = own("l", 20)
+    texts = [f"{base} {passage}", f"{base} {' '.join([passage] * 5)}"]  # a copy with a passage repeated
+    texts += [f"{own(x, 300)} {' '.join([line] * 30)}" for x in "bc"]  # strangers with a line repeated
+    ten = own("t", 10)
+    texts += [ten, ten.rsplit(" ", 1)[0] + " other"]  # 5 of 7 shingles
+    assert near_kept(spark, texts) == {0, 2, 3, 4, 5}
+
+
+def jaccard_pairs(rng, wanted, words=304):
+    """Text pairs whose 5-word sets of 300 have the first Jaccard similarity at or over each of `wanted`; words never repeat."""
+    pairs, fresh = [], itertools.count()
+    for j in wanted:
+        n = words - 4
+        common = -(-round(2 * n * j * 1e9) // round((1 + j) * 1e9))
+        base = [f"u{next(fresh)}" for _ in range(words)]
+        other = base[:common + 4] + [f"u{next(fresh)}" for _ in range(n - common)]
+        sets = [{tuple(w[i:i + 5]) for i in range(n)} for w in (base, other)]
+        pairs.append((" ".join(base), " ".join(other), len(sets[0] & sets[1]) / len(sets[0] | sets[1])))
+    return pairs
+
+
+def test_near_dedup_drops_nothing_under_the_limit(spark):
+    pairs = jaccard_pairs(random.Random(2), [0.7 + 0.0009 * i for i in range(105)])
+    assert max(j for *_, j in pairs) < 0.8
+    texts = [t for a, b, _ in pairs for t in (a, b)]
+    assert len(near_kept(spark, texts)) == len(texts)
+
+
+def test_near_dedup_links_past_the_pivot(spark):
+    """Neighbours in a row are alike, the first and the last are not: all go with the first."""
+    row = [[f"x{i}" for i in range(304)]]
+    for k in range(1, 12):
+        row.append(row[-1][:304 - 25 * k] + [f"x{k}_{i}" for i in range(25)] + row[-1][304 - 25 * (k - 1):])
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in row]
+    alike = lambda a, b: len(a & b) / len(a | b)
+    assert all(alike(a, b) >= 0.8 for a, b in itertools.pairwise(sets)) and alike(sets[0], sets[-1]) < 0.8
+    assert near_kept(spark, [" ".join(w) for w in row]) == {0}
+
+
 # 7
 
 def test_exact_dedup(docs, none):
