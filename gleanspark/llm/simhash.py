@@ -46,7 +46,7 @@ PAIRED = 32
 #: Bits of a band's key beyond those that count the rows.
 KEY_BITS = 5
 #: Probability that two texts just as alike as near_dedup() asks for meet on a key.
-FOUND = 0.95
+FOUND = 0.99
 #: Shingles whose bits are summed at once.
 AT_ONCE = 100_000
 
@@ -188,6 +188,11 @@ def differing_share(similarity: float) -> float:
     return acos(2 * similarity / (1 + similarity)) / pi
 
 
+def three_deviations(similarity: float, bits: int) -> int:
+    """Bits in which all but about one in a thousand pairs of this similarity differ at most."""
+    return int(bits * differing_share(similarity) + 3 * sqrt(bits * differing_share(similarity) * (1 - differing_share(similarity))))
+
+
 def keys_needed(bits: int, share: float, size: int, found: float) -> int:
     """Keys of `size` bits after which texts meet with probability `found`, averaged over the number of bits in which
     pairs with this share differ."""
@@ -352,7 +357,7 @@ def near_dedup(docs: DataFrame, similarity: float = 0.8, width: int = 5, views:
     prints = written(prints.select(F.xxhash64("shingles").alias("node"), "id", "fps", "shingles"), "fingerprints")
     distinct = prints.groupBy("node").agg(F.min("id").alias("first"), F.first("fps").alias("fps"), F.first("shingles").alias("shingles"))
     named = written(distinct.select(F.col("node").alias("id"), "first", "fps", "shingles"), "distinct-sets")
-    links_ = banded_links(named.select("id", "fps", "shingles"), named.count(), int(bits * share + sqrt(bits * share * (1 - share))), share, similarity, max_rounds=max_rounds)
+    links_ = banded_links(named.select("id", "fps", "shingles"), named.count(), three_deviations(similarity, bits), share, similarity, max_rounds=max_rounds)
     found = components(named.select(F.col("id").alias("node"), F.col("first").alias("least")), links_, max_rounds)
     linked = named.join(found, named["id"] == found["node"], "left").select(named["id"].alias("node"), F.coalesce("smallest", "first").alias("smallest"))
     gone = prints.select("node", "id").join(linked, "node").filter(F.col("id") != F.col("smallest")).select("id").distinct()

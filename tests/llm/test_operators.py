@@ -346,6 +346,14 @@ def test_near_dedup_links_past_the_pivot(spark):
     assert near_kept(spark, [" ".join(w) for w in row]) == {0}
 
 
+def test_near_dedup_finds_pairs_at_the_limit(spark):
+    pairs = jaccard_pairs(random.Random(3), [0.8 + 0.0002 * (i % 100) for i in range(300)])
+    assert min(j for *_, j in pairs) >= 0.8
+    texts = [t for a, b, _ in pairs for t in (a, b)]
+    kept = near_kept(spark, texts)
+    assert {2 * i for i in range(300)} <= kept and len(kept) <= 300 + 6
+
+
 # 7
 
 def test_exact_dedup(docs, none):
