@@ -220,3 +220,33 @@ def test_answers_are_cut_by_their_source_only(spark):
     assert S.search_hits_scan(landing.where("kind = 'hits'")).count() == 60
     for cap in (3, 45):
         assert collect(landing.where("kind = 'posts'"), AS_OF, [config.SourceSpec("dir", 0, "posts", cap)]).count() == cap
+
+
+def test_partners_meet_whichever_batch_they_land_in(spark, tmp_path):
+    page = '<head><meta property="og:title" content="Late Page"><meta property="og:description" content="text"></head>'
+    sitemap = "<urlset><url><loc>https://s.io/tool/a</loc><lastmod>2026-04-28T10:00:00Z</lastmod></url></urlset>"
+    rows = {
+        "feed": [("n", "feed", 0, None, "ok", rss(("Issue", "https://n.io/1", "", NEW)))],
+        "article": [("n", "page", 0, "https://n.io/1", "ok", ARTICLE)],
+        "sitemap": [("s", "sitemap", 0, None, "ok", sitemap)],
+        "page": [("s", "page", 0, "https://s.io/tool/a", "ok", page)],
+        "hits": [("h", "hits", 0, None, "ok", json.dumps({"hits": [hit("Show HN: An AI thing", "https://thing.io", id="7")]}))],
+        "replies": [("h", "replies", 1, "7", "ok", json.dumps({"children": [{"author": "me", "text": "It does things"}]}))],
+        "fallback": [("p", "feed", 0, None, "ok", rss(("Fallen Back", "https://p.io/x", "text", NEW)))],
+        "failed": [("p", "posts", 0, None, "failed", None)],
+    }
+    specs = [config.SourceSpec("n", 0, "newsletter", 5), config.SourceSpec("s", 1, "sitemap", 5), config.SourceSpec("h", 2, "hits", 5),
+             config.SourceSpec("p", 3, "posts", 5, fallback_cap=5)]
+    everything = spark.createDataFrame([r for part in rows.values() for r in part], LANDING_SCHEMA)
+    run_once(everything, str(tmp_path / "whole"), 0, AS_OF, specs)
+    items = lambda path: sorted(map(tuple, snapshot_scan(spark, path).select("name", "tool_url", "description").collect()))
+    want = items(str(tmp_path / "whole"))
+    assert {"Late Page", "An AI thing", "Fallen Back", "MatrAIx"} <= {r[0] for r in want} and "It does things" in {r[2] for r in want}
+    for name, order in (("forth", list(rows)), ("back", list(rows)[::-1])):
+        landing, snapshot = str(tmp_path / f"{name}-in"), str(tmp_path / f"{name}-out")
+        for part in (order[::2], order[1::2]):
+            spark.createDataFrame([r for k in part for r in rows[k]], LANDING_SCHEMA).coalesce(1).write.mode("append").parquet(landing)
+            query = collect_increment(read_landing(spark, landing), snapshot, str(tmp_path / f"{name}-check"), lambda _: AS_OF, specs)
+            query.awaitTermination(300)
+            assert query.exception() is None
+        assert items(snapshot) == want
