@@ -609,6 +609,23 @@ def _posts(spark, sf):
         "source", "seq", "pos", H.html_to_plain(F.col("title")).alias("title"), "link", "date", H.html_to_text(F.col("content")).alias("text"))
 
 
+@query("search_hits_whole", _scan_sql(O.strip("'Show HN: ' || name") + " AS title, CAST(epoch(day) AS BIGINT) + 36000 AS created_at_i, CAST(doc_id AS VARCHAR) AS story_id, 'user_' || source AS author, "
+                                      "CASE WHEN lang <> 'fr' THEN body ELSE '' END AS text"))
+def _hits_whole(spark, sf):
+    """Every hit of every answer."""
+    landed = samples.land_hits(table(spark, sf, "documents")).where("kind = 'hits'")
+    text = H.html_to_text(F.coalesce("story_text", F.lit("")))
+    return S.search_hits_scan(landed).select("source", "seq", "pos", "title", "created_at_i", "story_id", "author", text.alias("text"))
+
+
+@query("wp_posts_whole", _scan_sql("title, tool_url AS link, iso AS date, 'Code ' || body || CASE WHEN lang = 'en' THEN ' Go' ELSE '' END AS text"))
+def _posts_whole(spark, sf):
+    """Every post of every answer."""
+    landed = samples.land_posts(table(spark, sf, "documents"), failing=False).where("kind = 'posts'")
+    return S.wp_posts_scan(landed).select(
+        "source", "seq", "pos", H.html_to_plain(F.col("title")).alias("title"), "link", "date", H.html_to_text(F.col("content")).alias("text"))
+
+
 @query("sitemap_scan", _scan_sql("'https://' || source || '.example.com/tool/my-tool-' || doc_id AS loc, iso || '+00:00' AS date_iso", O.RECENT))
 def _sitemap(spark, sf):
     landed = samples.land_sitemap(table(spark, sf, "documents")).where("kind = 'sitemap'")

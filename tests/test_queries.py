@@ -28,3 +28,8 @@ def test_contract(spark):
 def test_query_equals_sql(spark, connection, name):
     same, note = compare(spark, connection, name, SF)
     assert same, note
+
+
+@pytest.mark.parametrize("name", ["search_hits_whole", "wp_posts_whole"])
+def test_whole_answers_hold_every_document(spark, name):
+    assert entry.queries()[name](spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
