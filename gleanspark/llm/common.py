@@ -18,6 +18,8 @@ from gleanspark.session import shared_folder
 SPACE = r"\x20\x09-\x0D"
 #: Bytes of text that a task takes apart at once; a longer text makes a slice of its own.
 SLICE_BYTES = 4 << 20
+#: Bytes that may be sent to every task.
+BROADCAST_BYTES = 64 << 20
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -56,13 +58,36 @@ def quoted(names: Sequence[str]) -> list[Column]:
     return [F.col("`" + n.replace("`", "``") + "`") for n in names]
 
 
+def small(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows of a written `df`, of about `row_bytes` each, are proven few enough to send to every task."""
+    return df.count() * row_bytes <= max_bytes
+
+
+def one_of_each(docs: DataFrame, name: Column, members: DataFrame, member: str) -> DataFrame:
+    """The rows of `docs` whose `name` stays, one of each name.
+
+    members: `member` (a name), stays, rows. Only names that go or have several rows
+    are looked up. They are sent to the tasks if they are proven few, so that
+    texts don't move; else texts are shuffled once.
+    """
+    marks = written(members.filter("not stays or rows > 1").select(member, "stays"), "marks")
+    if small(marks, 128):
+        marks = F.broadcast(marks)
+    stays = free_name(docs, "stays")
+    marked = docs.withColumn(member, name).join(marks.withColumnRenamed("stays", stays), member, "left")
+    single = marked.filter(F.col(stays).isNull())
+    repeated = marked.filter(F.col(stays)).dropDuplicates([member])
+    return single.unionByName(repeated).select(*quoted(docs.columns))
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: int, rows: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most `rows` rows and about `size` bytes in `column`.
+    """The same rows in batches of at most `rows` rows and about `size` bytes (or values of its lists) in `column`.
 
     Copied: Arrow's ascii_lower misreads large strings in a view that starts past the first row.
     """
     for batch in batches:
-        total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        length = pc.list_value_length if pa.types.is_list(batch.schema.field(column).type) else pc.binary_length
+        total = np.cumsum(pc.fill_null(length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
         while at < batch.num_rows:
             fits = int(np.searchsorted(total, (total[at - 1] if at else 0) + size, side="right"))

@@ -8,7 +8,8 @@ digests are shuffled as usual: none of them is in more than about 1/counters of
 the rows.
 
 The row with the smallest doc_id of a group stays; null ids come last. Of rows
-that also share the doc_id, one stays.
+that also share the doc_id, one stays. Very long texts are hashed whole. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanspark.llm.common import SPACE, free_name, quoted, table, written
+from gleanspark.llm.common import SPACE, free_name, one_of_each, quoted, table, written
 
 #: Counters of a summary: a digest in more than 1/COUNTERS of the rows is certain to be named, and no more than COUNTERS are.
 COUNTERS = 1_000
@@ -61,42 +62,53 @@ def heavy_hitters(keys: DataFrame, column: str, counters: int = COUNTERS) -> Dat
     return found.select(F.col("k").alias(column), F.col("n").alias("at_least"))
 
 
-def group_members(keys: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """From (doc_id, digest): one row per row, with keep_id, group_size and kept."""
-    keys = keys.groupBy("doc_id", "digest").agg(F.count("*").alias("copies"))
+def group_members(keys: DataFrame, counters: int = COUNTERS) -> tuple[DataFrame, DataFrame]:
+    """From written (row, doc_id, digest), `row` unique: (members, winners).
+
+    members: one row per row, with keep_id, group_size and kept. winners: those of
+    the frequent digests, at most `counters` rows: digest, keep_id, keep_row,
+    group_size. Counting combines in each task, so that of frequent digests only
+    sums are shuffled.
+    """
     frequent = written(heavy_hitters(keys, "digest", counters), "frequent")
-    total = [F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")]
-    winners = written(keys.join(F.broadcast(frequent), "digest", "left_semi").groupBy("digest").agg(*total), "winners")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    total = [first, F.count("*").alias("group_size")]
+    named = ["digest", F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("keep_row"), "group_size"]
+    winners = written(keys.join(F.broadcast(frequent), "digest", "left_semi").groupBy("digest").agg(*total).select(*named), "winners")
     large = keys.join(F.broadcast(winners), "digest")
     rest = keys.join(F.broadcast(frequent), "digest", "left_anti")
-    small = rest.join(rest.groupBy("digest").agg(*total), "digest")
-    both = large.unionByName(small)
-    copy = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return both.withColumn("copy", copy).select(
-        "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"), "digest")
+    small = rest.join(rest.groupBy("digest").agg(*total).select(*named), "digest")
+    members = large.unionByName(small).select("row", "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "digest")
+    return members, winners
 
 
 def document_digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    return written(docs.select(F.col(id_column).alias("doc_id"), text_digest(F.col(text_column)).alias("digest")), "digests")
+    """(row, doc_id, digest) of every row, written: `row` numbers them once and for all."""
+    id_, text = quoted([id_column, text_column])
+    return written(docs.select(F.monotonically_increasing_id().alias("row"), id_.alias("doc_id"), text_digest(text).alias("digest")), "digests")
 
 
 def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", counters: int = COUNTERS) -> DataFrame:
-    """`docs` with one row of each group of equal texts."""
-    digest, member = free_name(docs, "digest"), free_name(docs, "member")
-    losers = group_members(document_digests(docs, id_column, text_column), counters).filter("not kept")
-    # most rows stay: only the few that go are looked up, by id and digest
-    gone = losers.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.struct("doc_id", "digest").alias(member)).distinct()
-    again = losers.filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.struct("doc_id", "digest").alias(member)).distinct()
-    marked = docs.withColumn(digest, text_digest(F.col(text_column))).withColumn(member, F.struct(F.col(id_column).alias("doc_id"), F.col(digest).alias("digest")))
-    kept = marked.join(gone, member, "left_anti")
-    # rows that share id and text with the winner: one of them stays
-    single = kept.join(again, member, "left_anti")
-    repeated = kept.join(again, member, "left_semi").dropDuplicates([member])
-    return single.unionByName(repeated).select(*quoted(docs.columns))
+    """`docs` with one row of each group of equal texts.
+
+    Rows of frequent texts go where they are read, told by the broadcast winners.
+    """
+    digest, member, keep = (free_name(docs, n) for n in ("digest", "member", "keep_id"))
+    id_, text = quoted([id_column, text_column])
+    members, winners = group_members(document_digests(docs, id_column, text_column), counters)
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    rare = members.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
+    losers = rare.filter(~stays).groupBy("doc_id", "digest").agg(F.lit(False).alias("stays"), F.count("*").alias("rows"))
+    winning = members.filter(stays).groupBy("doc_id", "digest").agg(F.lit(True).alias("stays"), F.count("*").alias("rows"))
+    marks = losers.unionByName(winning).select(F.struct("doc_id", "digest").alias(member), "stays", "rows")
+    hot = F.broadcast(winners.select(F.col("digest").alias(digest), F.col("keep_id").alias(keep), F.lit(True).alias(member)))
+    fewer = docs.withColumn(digest, text_digest(text)).join(hot, digest, "left").filter(F.col(member).isNull() | id_.eqNullSafe(F.col(keep))).drop(member, keep)
+    return one_of_each(fewer, F.struct(id_.alias("doc_id"), F.col(digest).alias("digest")), marks, member).select(*quoted(docs.columns))
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return group_members(document_digests(table(spark, sf_dir, "documents"))).withColumnRenamed("digest", "text_sha256")
+    members, _ = group_members(document_digests(table(spark, sf_dir, "documents")))
+    return members.drop("row").withColumnRenamed("digest", "text_sha256")
 
 
 OP7_SQL = r"""

@@ -14,10 +14,6 @@ in at most two bits exactly if such neighbourhoods meet, so the same components
 come out, from 65 rows per member whatever the group's size. Pairs are thus never
 more than PAIRED times the fingerprints.
 
-near_dedup(), for texts that are less alike than two bits of 64 can tell, uses
-longer fingerprints of sets of wider shingles and a search of its own, and
-decides by the sets; see there.
-
 Components come from rounds of smallest labels along links and over the label's
 own label. Copies share a fingerprint and never meet as pairs.
 """
@@ -26,15 +22,13 @@ from __future__ import annotations
 
 from functools import reduce
 from itertools import accumulate
-from math import acos, comb, pi, sqrt
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanspark.llm.common import free_name, quoted, sliced, table, tidy, written
+from gleanspark.llm.common import free_name, one_of_each, quoted, table, tidy, written
 
 BITS = 64
 #: Bits of the three parts.
@@ -43,10 +37,6 @@ PARTS = ((0, 22), (22, 43), (43, 64))
 PIVOTS = 12
 #: A key shared by more fingerprints than this goes by neighbourhoods.
 PAIRED = 32
-#: Bits of a band's key beyond those that count the rows.
-KEY_BITS = 5
-#: Probability that two texts just as alike as near_dedup() asks for meet on a key.
-FOUND = 0.99
 #: Shingles whose bits are summed at once.
 AT_ONCE = 100_000
 
@@ -183,186 +173,21 @@ def near_duplicates(prints: DataFrame, max_rounds: int = 60) -> DataFrame:
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def differing_share(similarity: float) -> float:
-    """Share of SimHash bits in which texts differ whose shingle sets have this Jaccard similarity: the angle over pi."""
-    return acos(2 * similarity / (1 + similarity)) / pi
-
-
-def three_deviations(similarity: float, bits: int) -> int:
-    """Bits in which all but about one in a thousand pairs of this similarity differ at most."""
-    return int(bits * differing_share(similarity) + 3 * sqrt(bits * differing_share(similarity) * (1 - differing_share(similarity))))
-
-
-def keys_needed(bits: int, share: float, size: int, found: float) -> int:
-    """Keys of `size` bits after which texts meet with probability `found`, averaged over the number of bits in which
-    pairs with this share differ."""
-    odds = np.array([comb(bits, d) * share ** d * (1 - share) ** (bits - d) for d in range(bits + 1)])
-    apart = 1 - (1 - np.arange(bits + 1) / bits) ** size
-    keys = 1
-    while odds @ apart ** keys > 1 - found:
-        keys += max(1, keys // 50)
-    return keys
-
-
-def set_prints(docs: DataFrame, width: int, views: int, id_column: str, text_column: str) -> DataFrame:
-    """id, fps and shingles: each different shingle of a text once, in order of their hashes, and the fingerprints of that set."""
-
-    def run(batches):
-        for batch in sliced(batches, 1, 1_000):
-            sets = [np.unique(shingle_hashes(t.as_py(), width)) for t in batch.column(1)]
-            fps = pa.array([[majority(_mixed(h, v)) for v in range(views)] for h in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps, pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))], names=["id", "fps", "shingles"])
-
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(tidy(run), f"id {dict(rows.dtypes)['id']}, fps array<long>, shingles array<long>")
-
-
-def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The (a, b) of `pairs` whose sets have a Jaccard similarity of at least `similarity`. sets: (id, shingles)."""
-    own = lambda side: sets.select(F.col("id").alias(side), F.col("shingles").alias(f"{side}_set"))
-    both = F.size(F.array_intersect("a_set", "b_set"))
-    return (pairs.join(own("a"), "a").join(own("b"), "b")
-            .filter(both / (F.size("a_set") + F.size("b_set") - both) >= similarity).select("a", "b"))
-
-
-def similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
-    """alike() for two sorted sets."""
-    if min(len(x), len(y)) < similarity * max(len(x), len(y)) * (1 - 1e-9):
-        return False
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both) >= similarity
+def near_dedup(docs: DataFrame, width: int = 3, id_column: str = "doc_id", text_column: str = "text", max_rounds: int = 60) -> DataFrame:
+    """`docs` with one row of each group of texts that fingerprints link: the one with the smallest id, null ids last.
 
-
-def banded_links(prints: DataFrame, rows: int, radius: int, share: float, similarity: float, found: float = FOUND, max_rounds: int = 60) -> DataFrame:
-    """(a, b): links that connect texts whose shingle sets have a Jaccard similarity of at least `similarity`.
-    prints: (id, fps, shingles), distinct in id.
-
-    Fingerprints only nominate: texts meet on keys of some of their bits, and
-    those that meet and differ in at most `radius` bits are told by their
-    sets. A key has KEY_BITS more than it takes to count the rows, so that a
-    random text seldom meets another, and there are as many keys as it takes for
-    texts that differ in about `share` of the bits to meet with probability `found`.
-
-    A key's first text is its pivot. Each text is told from the smallest of its
-    pivots first; then, from its other pivots, but only where what was
-    found so far doesn't connect them, so that near copies need one comparison.
-    Members of a key that are then still in another component than its pivot are
-    compared with each other and, if the triangle inequality leaves it open,
-    with the pivot's, in one task.
-    """
-    spark = prints.sparkSession
-    if not rows:
-        return spark.createDataFrame([], "a long, b long")
-    views = len(prints.select("fps").limit(1).collect()[0]["fps"])
-    size = min(40, max(1, rows).bit_length() + KEY_BITS)
-    keys = keys_needed(BITS * views, share, size, found)
-    rng = np.random.default_rng(5)
-    # whole nibbles, and part of one more
-    chosen = [rng.choice(views * 16, -(-size // 4), replace=False).tolist() for _ in range(int(keys))]
-
-    masks = [15] * (size // 4) + [(1 << size % 4) - 1] * (size % 4 > 0)
-
-    def band_keys(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1_000):
-                ids, fps = (c.slice(at, 1_000) for c in batch.columns)
-                fps = np.array(fps.to_pylist(), dtype=np.int64).view(np.uint64)
-                out = np.empty((len(fps), len(chosen)), dtype=np.uint64)
-                for number, places in enumerate(chosen):
-                    own = np.full(len(fps), number, dtype=np.uint64)
-                    for i, mask in zip(places, masks, strict=True):
-                        own = own << np.uint64(4) | fps[:, i // 16] >> np.uint64(4 * (i % 16)) & np.uint64(mask)
-                    out[:, number] = own
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.repeat(np.arange(len(fps)), len(chosen)))), pa.array(out.view(np.int64).ravel())], names=["id", "key"])
-
-    def differing(x: str, y: str) -> Column:
-        return sum(F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(views))
-
-    sets, prints = prints.select("id", "shingles"), prints.select("id", "fps")
-    # many keys come from a small table: dealt anew, so that no task counts too many
-    spread = prints.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
-    keyed = spread.select("id", "fps").mapInArrow(tidy(band_keys), "id long, key long")
-    sizes = written(keyed.groupBy("key").agg(F.count("*").alias("members"), F.min("id").alias("pivot")).filter("members > 1"), "bands")
-    shared = written(keyed.join(sizes, "key").join(prints, "id"), "band-members")
-    pivots_ = shared.filter("id = pivot").select("key", F.col("fps").alias("pivot_fps"))
-    told = written(shared.join(pivots_, "key").withColumn("far", differing("fps", "pivot_fps")).drop("pivot_fps"), "told")
-
-    near = told.filter((F.col("far") <= radius) & (F.col("id") != F.col("pivot"))).groupBy("id", "pivot").agg(F.min("far").alias("far"))
-    near = written(near.withColumn("least", F.min("pivot").over(Window.partitionBy("id"))), "nominated")
-
-    def labelled(edges: DataFrame) -> DataFrame:
-        """(node, label) of what the edges connect; the label is one of the nodes."""
-        nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        return components(nodes.withColumn("least", F.col("node")), edges, max_rounds).select("node", F.col("smallest").alias("label"))
-
-    def with_label(rows_: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
-        joined = rows_.join(labels.select(F.col("node").alias(column), F.col("label").alias(name)), column, "left")
-        return joined.withColumn(name, F.coalesce(name, column))
-
-    first = written(alike(near.filter("pivot = least").select(F.col("pivot").alias("a"), F.col("id").alias("b")), sets, similarity), "first-links")
-    labels = written(labelled(first), "first-labels")
-    more = with_label(with_label(near.filter("pivot != least"), labels, "id", "own"), labels, "pivot", "top").filter("own != top")
-    second = written(alike(more.select(F.col("pivot").alias("a"), F.col("id").alias("b")), sets, similarity), "second-links")
-    # links between components stand for themselves; within them the first links connect all
-    stars = first.unionByName(second)
-    labels = written(labelled(stars), "second-labels")
-    members = written(with_label(with_label(told.filter("members > 2"), labels, "id", "own"), labels, "pivot", "top")
-                      .select("key", "id", "pivot", "far", "fps", "own", (F.col("own") != F.col("top")).alias("open")), "key-members")
-    rest = members.filter("open").groupBy("key").agg(F.min("far").alias("nearest"))
-    # the pivot was compared with all
-    left = members.join(rest, "key").filter(F.col("open") | (F.col("far") >= F.col("nearest") - radius)).filter("id != pivot")
-    some = left.groupBy("key").agg(F.count("*").alias("still")).filter("still > 1").select("key")
-    left = left.join(some, "key").select("key", "id", "fps", "own", "open").join(sets, "id")
-
-    def outwards(pdf):
-        fps = np.array(pdf["fps"].tolist(), dtype=np.int64).view(np.uint64)
-        ids, own, sets_, links_ = pdf["id"].to_numpy(), pdf["own"].to_numpy(), pdf["shingles"].tolist(), []
-        # what is connected with the pivot is one component already; the others are taken up from there, and then from each other
-        todo, open_ = np.flatnonzero(~pdf["open"].to_numpy()).tolist(), np.flatnonzero(pdf["open"].to_numpy())
-        while len(open_):
-            if not todo:
-                start = own[open_] == own[open_[0]]
-                todo, open_ = open_[start].tolist(), open_[~start]
-                continue
-            at = todo.pop()
-            close = open_[np.bitwise_count(fps[open_] ^ fps[at]).sum(axis=1) <= radius]
-            joined = set()
-            for i in close:
-                if own[i] not in joined and similar(sets_[at], sets_[i], similarity):
-                    links_.append((ids[at], ids[i]))
-                    joined.add(own[i])
-            if joined:
-                moves = np.isin(own[open_], list(joined))
-                todo += open_[moves].tolist()
-                open_ = open_[~moves]
-        return pd.DataFrame(links_, columns=["a", "b"], dtype="int64")
-
-    others = left.groupBy("key").applyInPandas(outwards, "a long, b long")
-    return stars.unionByName(others).distinct()
-
-
-def near_dedup(docs: DataFrame, similarity: float = 0.8, width: int = 5, views: int = 8, id_column: str = "doc_id", text_column: str = "text",
-               max_rounds: int = 60) -> DataFrame:
-    """`docs` with one document of each group of near copies, the one with the smallest id.
-
-    Texts link whose sets of `width`-word shingles have a Jaccard similarity of at
-    least `similarity`; each shingle counts once in a text. Fingerprints of 64 `views`
-    bits nominate the pairs, the sets decide. Documents without words
-    have no shingles, and rows without an id no place in an order: they all stay.
-    Rows that share an id go or stay together.
+    Texts of one id that differ are told apart by a hash; of rows that share id and
+    text one is in the running. Texts without words have fingerprint 0 and are
+    linked like any other. Very long texts are read whole, a row at a time.
     """
-    bits, share = BITS * views, differing_share(similarity)
-    prints = set_prints(docs, width, views, id_column, text_column).filter("id is not null and size(shingles) > 0")
-    # an id may stand for several texts, so texts are numbered by a hash of their shingles
-    prints = written(prints.select(F.xxhash64("shingles").alias("node"), "id", "fps", "shingles"), "fingerprints")
-    distinct = prints.groupBy("node").agg(F.min("id").alias("first"), F.first("fps").alias("fps"), F.first("shingles").alias("shingles"))
-    named = written(distinct.select(F.col("node").alias("id"), "first", "fps", "shingles"), "distinct-sets")
-    links_ = banded_links(named.select("id", "fps", "shingles"), named.count(), three_deviations(similarity, bits), share, similarity, max_rounds=max_rounds)
-    found = components(named.select(F.col("id").alias("node"), F.col("first").alias("least")), links_, max_rounds)
-    linked = named.join(found, named["id"] == found["node"], "left").select(named["id"].alias("node"), F.coalesce("smallest", "first").alias("smallest"))
-    gone = prints.select("node", "id").join(linked, "node").filter(F.col("id") != F.col("smallest")).select("id").distinct()
-    marker = free_name(docs, "gone_id")
-    return docs.join(gone.withColumnRenamed("id", marker), docs[id_column] == F.col(marker), "left_anti").select(*quoted(docs.columns))
+    member = free_name(docs, "member")
+    id_, text = quoted([id_column, text_column])
+    name = F.struct(id_.isNull().alias("none"), id_.alias("id"), F.xxhash64(text).alias("text"))
+    prints = fingerprints(docs.withColumn(member, name), width, id_column=member, text_column=text_column)
+    prints = written(prints.select(F.col(member).alias("doc_id"), F.col("fps")[0].alias("fp")), "fingerprints")
+    groups = near_duplicates(prints, max_rounds).groupBy(F.col("doc_id").alias(member)).agg(
+        F.first("component_id").alias("stays"), F.count("*").alias("rows"))
+    return one_of_each(docs, name, groups.withColumn("stays", F.col(member).eqNullSafe(F.col("stays"))), member)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ stripes and row groups that can't hold what it looks for.
 
 Each row also holds the number of its file (`part`) and how many ids come before
 it there (`local_start`), so positions in the whole token stream follow from one
-small sum per file. Null ids come first; repeated rows stay, ordered by text.
+small sum per file. Null ids come first; rows of one id stay, ordered by a hash of
+their text. Very long texts are encoded whole, in a slice of their own.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanspark.llm.bpe import Encoder, public_pattern
-from gleanspark.llm.common import new_folder, table
+from gleanspark.llm.bpe import ROWS_AT_ONCE, Encoder, public_pattern
+from gleanspark.llm.common import new_folder, sliced, table, tidy
 
 SCHEMA = "part int, doc_id long, local_start long, n_tokens long, ids array<int>"
+#: Bytes of text in a range, which makes a file.
+RANGE_BYTES = 24 << 20
 #: Bytes of a stripe, rows of a row group, false positives of the Bloom filters.
 STRIPE_BYTES, STRIDE_ROWS, BLOOM_FPP = 16 << 20, 1_000, 0.01
 
@@ -36,7 +39,7 @@ def write_tokens(docs: DataFrame, out: str, path: str, pattern: str | None = Non
     def encode(batches):
         encoder, part, at = Encoder(path, pattern), TaskContext.get().partitionId(), 0
         tail = np.array([] if end_id is None else [end_id], dtype=np.uint32)
-        for batch in batches:
+        for batch in sliced(batches, 1, ROWS_AT_ONCE):
             first = 0
             for ids, bounds in encoder.encode(batch.column(1)):
                 n = len(bounds) - 1
@@ -48,11 +51,13 @@ def write_tokens(docs: DataFrame, out: str, path: str, pattern: str | None = Non
                 ], names=["part", "doc_id", "local_start", "n_tokens", "ids"])
                 first, at = first + n, at + int(bounds[-1])
 
-    # fewer, larger ranges than the session's partitions: the more text a task has, the more of its pieces are repeats
-    files = files or max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 2)
-    (docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-     .repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
-     .mapInArrow(encode, SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    # ranges by data: large ones, since the more text a task has, the more of its pieces are repeats
+    files = files or -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // RANGE_BYTES) or 1
+    # a hash and a row number split what null or repeated ids would send to one range
+    order = ["doc_id", F.xxhash64("text"), F.monotonically_increasing_id()]
+    (rows.repartitionByRange(files, *order).sortWithinPartitions("doc_id", F.xxhash64("text"))
+     .mapInArrow(tidy(encode), SCHEMA)
      .write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", str(BLOOM_FPP)).option("orc.create.index", "true")
      .option("orc.row.index.stride", str(STRIDE_ROWS)).option("orc.stripe.size", str(STRIPE_BYTES)).option("compression", "zstd").orc(out))
 
@@ -77,13 +82,13 @@ def ids_crc32(df: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32: unsigned crc32 of the ids as little-endian unsigned 32-bit integers."""
 
     def crc(batches):
-        for batch in batches:
+        for batch in sliced(batches, 3, ROWS_AT_ONCE):
             ids = batch.column(3)
             flat, bounds = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4"), ids.offsets.to_numpy() - ids.offsets[0].as_py()
             sums = [zlib.crc32(flat[bounds[i]:bounds[i + 1]].tobytes()) for i in range(len(ids))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return df.select("doc_id", "start", "n_tokens", "ids").mapInArrow(crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return df.select("doc_id", "start", "n_tokens", "ids").mapInArrow(tidy(crc), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import struct
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import pytest
 import public_tokenizers
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gleanspark.llm import ann, bpe, chat, exact_dedup, lm, mixing, secrets, simhash, token_files, toxicity
-from gleanspark.llm.common import new_folder
+from gleanspark.llm.common import new_folder, written
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -155,8 +156,9 @@ def test_token_files(spark, docs, none):
     out = new_folder(spark, "test-tokens")
     token_files.write_tokens(docs, out, BPE, end_id=2, files=3)
     t = Tokenizer.from_file(BPE)
+    hashes = {r[0]: r[1] for r in docs.select(F.coalesce("text", F.lit("")), F.xxhash64(F.coalesce("text", F.lit("")))).collect()}
     got = sorted(token_files.ids_crc32(token_files.with_starts(token_files.read_tokens(spark, out))).collect(), key=lambda r: r["start"])
-    stream, at = sorted(plain(docs), key=lambda x: (x[0] is not None, x[0] or 0, x[1])), 0
+    stream, at = sorted(plain(docs), key=lambda x: (x[0] is not None, x[0] or 0, hashes[x[1]])), 0
     for r, (i, text) in zip(got, stream, strict=True):
         ids = [*t.encode(text, add_special_tokens=False).ids, 2]
         assert tuple(r) == (i, at, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
@@ -279,79 +281,68 @@ def test_a_chain_too_long_fails(spark):
     assert simhash.components(nodes, edges).agg(F.max("smallest")).first()[0] == 0
 
 
-def test_near_dedup(spark, docs, none):
-    rng = random.Random(8)
-    words = [f"v{i}" for i in range(5000)]
-    rows, groups = [], 40
+def near_plain(rows):
+    """(id, text) of the rows that stay, by all pairs."""
+    distinct = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0))
+    fps = [simhash_plain(t) for _, t in distinct]
+    left, kept = set(range(len(distinct))), []
+    while left:
+        group, todo = set(), [min(left)]
+        while todo:
+            i = todo.pop()
+            if i in left:
+                left.discard(i)
+                group.add(i)
+                todo += [j for j in left if (fps[i] ^ fps[j]).bit_count() <= 2]
+        kept.append({distinct[i] for i in group if distinct[i][0] == distinct[min(group)][0]})
+    return kept
+
+
+def near_copies(seed=8, groups=12, words=300):
+    rng, out = random.Random(seed), []
     for g in range(groups):
-        base = rng.choices(words, k=300)
+        base = [f"v{rng.randrange(5000)}" for _ in range(words)]
         for k in range(30 if g == 0 else 3):
             own = list(base)
-            for _ in range(k and 4):
-                own[rng.randrange(300)] = rng.choice(words)
-            rows.append((g * 100 + k, " ".join(own), "s", None, None, None))
-    df = spark.createDataFrame(rows, SCHEMA)
-    kept = [r["doc_id"] for r in simhash.near_dedup(df).collect()]
-    # all bases stay, and copies of more than 0.8 in common go
-    assert {g * 100 for g in range(groups)} <= set(kept) and len(kept) <= groups + 2
-    out = simhash.near_dedup(docs)
-    assert out.columns == docs.columns and {r["doc_id"] for r in out.collect()} >= {0, 1, 2, 4, None}
-    assert simhash.near_dedup(none).count() == 0
-
-
-def near_kept(spark, texts):
-    rows = [(i, t, "s", None, None, None) for i, t in enumerate(texts)]
-    return {r["doc_id"] for r in simhash.near_dedup(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()}
-
-
-def test_near_dedup_counts_a_shingle_once(spark):
-    own = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
-    base, passage = own("a", 300), own("p", 60)
-    line = own("l", 20)
-    texts = [f"{base} {passage}", f"{base} {' '.join([passage] * 5)}"]  # a copy with a passage repeated
-    texts += [f"{own(x, 300)} {' '.join([line] * 30)}" for x in "bc"]  # strangers with a line repeated
-    ten = own("t", 10)
-    texts += [ten, ten.rsplit(" ", 1)[0] + " other"]  # 5 of 7 shingles
-    assert near_kept(spark, texts) == {0, 2, 3, 4, 5}
-
-
-def jaccard_pairs(rng, wanted, words=304):
-    """Text pairs whose 5-word sets of 300 have the first Jaccard similarity at or over each of `wanted`; words never repeat."""
-    pairs, fresh = [], itertools.count()
-    for j in wanted:
-        n = words - 4
-        common = -(-round(2 * n * j * 1e9) // round((1 + j) * 1e9))
-        base = [f"u{next(fresh)}" for _ in range(words)]
-        other = base[:common + 4] + [f"u{next(fresh)}" for _ in range(n - common)]
-        sets = [{tuple(w[i:i + 5]) for i in range(n)} for w in (base, other)]
-        pairs.append((" ".join(base), " ".join(other), len(sets[0] & sets[1]) / len(sets[0] | sets[1])))
-    return pairs
-
-
-def test_near_dedup_drops_nothing_under_the_limit(spark):
-    pairs = jaccard_pairs(random.Random(2), [0.7 + 0.0009 * i for i in range(105)])
-    assert max(j for *_, j in pairs) < 0.8
-    texts = [t for a, b, _ in pairs for t in (a, b)]
-    assert len(near_kept(spark, texts)) == len(texts)
-
-
-def test_near_dedup_links_past_the_pivot(spark):
-    """Neighbours in a row are alike, the first and the last are not: all go with the first."""
-    row = [[f"x{i}" for i in range(304)]]
-    for k in range(1, 12):
-        row.append(row[-1][:304 - 25 * k] + [f"x{k}_{i}" for i in range(25)] + row[-1][304 - 25 * (k - 1):])
-    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in row]
-    alike = lambda a, b: len(a & b) / len(a | b)
-    assert all(alike(a, b) >= 0.8 for a, b in itertools.pairwise(sets)) and alike(sets[0], sets[-1]) < 0.8
-    assert near_kept(spark, [" ".join(w) for w in row]) == {0}
-
-
-def test_near_dedup_finds_pairs_at_the_limit(spark):
-    pairs = jaccard_pairs(random.Random(3), [0.8 + 0.0002 * (i % 100) for i in range(300)])
-    assert min(j for *_, j in pairs) >= 0.8
-    texts = [t for a, b, _ in pairs for t in (a, b)]
-    kept = near_kept(spark, texts)
-    assert {2 * i for i in range(300)} <= kept and len(kept) <= 300 + 6
+            for _ in range(k and 1):
+                own[rng.randrange(words)] = f"v{rng.randrange(5000)}"
+            out.append((g * 100 + k, " ".join(own)))
+    return out
+
+
+def test_near_dedup(spark, docs, none):
+    df = docs.unionByName(spark.createDataFrame([(i + 1000, t, "s", None, None, None) for i, t in near_copies()], SCHEMA))
+    out = simhash.near_dedup(df)
+    assert out.columns == docs.columns and simhash.near_dedup(none).count() == 0
+    got, groups = plain(out), near_plain(plain(df))
+    assert len(got) == len(groups) and all(sum(r in g for r in got) == 1 for g in groups)
+    assert len(groups) < len(set(plain(df)))
+
+
+# the pipeline
+
+def test_pipeline_on_awkward_rows(spark, docs, tmp_path):
+    rows = near_copies(4) + [(7000 + i, f"some words stand here {i} times over") for i in range(40)]
+    df = docs.unionByName(spark.createDataFrame([(i + 1000, t, f"s{i % 3}", None, None, None) for i, t in rows], SCHEMA)).withColumn("member", F.lit(1)).withColumn("rows", F.lit("x"))
+    folder = f"file://{tmp_path}"
+    labels = spark.range(1000, 1100).selectExpr("id doc_id", "1 quality", "cast(id % 2 as int) toxic")
+    df.write.parquet(f"{folder}/documents.parquet")
+    labels.limit(0).write.parquet(f"{folder}/labels.parquet")
+    kept, before = df, df.count()
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        after = written(stage(spark, kept, folder), name)
+        assert after.columns == df.columns and after.subtract(df).isEmpty()
+        if name == "exact_dedup":
+            norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t)
+            assert Counter(norm(t) for _, t in plain(after)) == Counter({norm(t) for _, t in plain(kept)})
+        if name == "simhash_dedup":
+            groups = near_plain(plain(kept))
+            assert after.count() == len(groups) < kept.count()
+        kept, before = after, after.count()
+    assert corpus_pipeline.run(spark, folder).count() >= before // 3
+    df.limit(0).write.parquet(f"{folder}/none/documents.parquet")
+    labels.limit(0).write.parquet(f"{folder}/none/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{folder}/none").count() == 0
 
 
 # 7
@@ -359,7 +350,7 @@ def test_near_dedup_finds_pairs_at_the_limit(spark):
 def test_exact_dedup(docs, none):
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t)
     for counters in (1, 1_000):
-        got = exact_dedup.group_members(exact_dedup.document_digests(docs), counters).collect()
+        got = exact_dedup.group_members(exact_dedup.document_digests(docs), counters)[0].collect()
         groups = {}
         for i, t in plain(docs):
             groups.setdefault(sha(norm(t)), []).append(i)
@@ -369,8 +360,9 @@ def test_exact_dedup(docs, none):
             first = min((i for i in ids if i is not None), default=None)
             assert {(r["keep_id"], r["group_size"]) for r in own} == {(first, len(ids))} and sum(r["kept"] for r in own) == 1
             assert [r["doc_id"] for r in own if r["kept"]] == [first]
-    kept = exact_dedup.exact_dedup(docs)
-    assert kept.columns == docs.columns and kept.count() == len(groups) and exact_dedup.exact_dedup(none).count() == 0
+        kept = exact_dedup.exact_dedup(docs, counters=counters)
+        assert kept.columns == docs.columns and Counter(sha(norm(t)) for _, t in plain(kept)) == Counter(list(groups))
+    assert exact_dedup.exact_dedup(none).count() == 0
 
 
 def test_heavy_hitters_are_named(spark):
