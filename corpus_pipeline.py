@@ -25,7 +25,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies."""
+    """Keep one document of each group whose fingerprints of three-word shingles are linked by at most two differing bits."""
     return near_dedup(docs)
 
 

