@@ -65,9 +65,9 @@ def byte_alphabet() -> list[str]:
 
 
 class Encoder:
-    """One tokenizer file, ready to use inside a task."""
+    """One tokenizer file, ready to use inside a task. With `plain`, strings of special tokens in a text are plain text."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, plain: bool = False):
         import regex
         from tokenizers import Tokenizer
 
@@ -77,9 +77,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.tokenizer.encode_special_tokens = plain
         self.pattern = regex.compile(pattern)
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.special_cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.special_cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special and not plain else None
         self.to_char = byte_alphabet()
         self.model = self.tokenizer.model
         to_byte = {c: b for b, c in enumerate(self.to_char)}
@@ -181,7 +182,7 @@ class Encoder:
 
     # batches
 
-    def _distinct(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def distinct(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, starts, lengths): piece i has ids[starts[i]:starts[i] + lengths[i]].
 
         Pieces that may stand beside any other are encoded as one text by the
@@ -212,23 +213,8 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, offsets) for runs of `texts` in order; document i of a run has ids[offsets[i]:offsets[i + 1]]."""
-        texts = pc.fill_null(texts, "").cast(pa.large_string())
-        odd = pc.match_substring_regex(texts, _ODD)
-        if pc.any(odd).as_py():
-            # the same pieces, cut by Python's pattern
-            lists = pa.array([_CUT.split(t) for t in texts.to_pylist()], pa.large_list(pa.large_string()))
-        else:
-            marked = pc.replace_substring(texts, " ", "\x00 ")
-            for pattern, cut in _MORE_CUTS:
-                marked = pc.replace_substring_regex(marked, pattern, cut)
-            lists = pc.split_pattern(marked, "\x00").cast(pa.large_list(pa.large_string()))
-            del marked
-        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        coded = lists.flatten().dictionary_encode()
-        del lists
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        flat, start, length = self._distinct(coded.dictionary.to_pylist())
-        del coded
+        index, bounds, pieces = pieces_of(pc.fill_null(texts, "").cast(pa.large_string()), _MORE_CUTS)
+        flat, start, length = self.distinct(pieces)
         doc = 0
         while doc < len(texts):
             end = max(doc + 1, int(np.searchsorted(bounds, bounds[doc] + PIECES_AT_ONCE, side="right")) - 1)
@@ -247,6 +233,23 @@ class Encoder:
         return data.tobytes().decode("utf-8", "replace")
 
 
+def pieces_of(texts: pa.Array, more_cuts: tuple = ()) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(index, bounds, pieces): text i is the pieces index[bounds[i]:bounds[i + 1]], cut before single spaces between two
+    characters that aren't white space, and at `more_cuts`. pieces are distinct."""
+    if pc.any(pc.match_substring_regex(texts, _ODD)).as_py():
+        # the same pieces, cut by Python's pattern
+        lists = pa.array([_CUT.split(t) for t in texts.to_pylist()], pa.large_list(pa.large_string()))
+    else:
+        marked = pc.replace_substring(texts, " ", "\x00 ")
+        for pattern, cut in more_cuts:
+            marked = pc.replace_substring_regex(marked, pattern, cut)
+        lists = pc.split_pattern(marked, "\x00").cast(pa.large_list(pa.large_string()))
+        del marked
+    bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    coded = lists.flatten().dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False), bounds, coded.dictionary.to_pylist()
+
+
 def public_pattern() -> str:
     import public_tokenizers
 

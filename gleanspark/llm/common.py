@@ -112,3 +112,27 @@ def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]
         give_back()
 
     return run
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A fixed one-to-one scrambling of 64-bit integers (the finish of splitmix64)."""
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, bounds): text i has the words hashes[bounds[i]:bounds[i + 1]], 64 bits each. A-Z count as a-z; null is empty."""
+    from xxhash import xxh64_intdigest
+
+    lower = pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string()))
+    lists = pc.split_pattern_regex(lower, f"[{SPACE}]+").cast(pa.large_list(pa.large_string()))
+    flat = lists.flatten().dictionary_encode()
+    ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    index = flat.indices.to_numpy(zero_copy_only=False)
+    names = flat.dictionary.to_pylist()
+    # white space at either end of a text leaves empty strings
+    real = np.array([bool(w) for w in names], dtype=bool)[index] if names else np.zeros(0, dtype=bool)
+    before = np.concatenate([[0], np.cumsum(real)])
+    hashes = np.array([xxh64_intdigest(w) for w in names], dtype=np.uint64)
+    return hashes[index[real]], before[ends].astype(np.int64)
