@@ -69,6 +69,33 @@ def decode_entities(text: Column) -> Column:
     return F.when(text.contains("&"), decoded).otherwise(text)
 
 
+# references that XML itself knows, and what cannot be markup
+XML_REFERENCE = r"&(?=(?:amp|lt|gt|quot|apos|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});)"
+BARE_AMPERSAND = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});)"
+BARE_BRACKET = r"<(?![A-Za-z/!?])"
+NOT_XML = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"
+
+
+def repaired_xml(markup: Column) -> Column:
+    """Markup with what XML cannot read made text: characters it forbids go, named references become their characters,
+    bare ampersands and brackets are escaped. Sections marked as character data become escaped text as they are."""
+
+    def outside(part: Column) -> Column:
+        named = decode_entities(F.regexp_replace(part, XML_REFERENCE, "&amp;"))
+        return F.regexp_replace(F.regexp_replace(named, BARE_AMPERSAND, "&amp;"), BARE_BRACKET, "&lt;")
+
+    def escaped(data: Column) -> Column:
+        return F.replace(F.replace(F.replace(data, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+    def piece(part: Column, index: Column) -> Column:
+        end = F.instr(part, "]]>")
+        data = F.concat(escaped(F.substr(part, F.lit(1), end - 1)), outside(F.substr(part, end + 3)))
+        return F.when((index == 0) | (end == 0), outside(part)).otherwise(data)
+
+    parts = F.split(F.regexp_replace(markup, NOT_XML, ""), r"<!\[CDATA\[", -1)
+    return F.array_join(F.transform(parts, piece), "")
+
+
 def _text_nodes(html: Column) -> Column:
     visible = F.regexp_replace(html, HIDDEN, BREAK)
     marked = F.regexp_replace(visible, TAG, BREAK)

@@ -6,20 +6,20 @@ nor its name key belongs to a kept row, exactly as if the rows came one by one.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .. import config
 from ..functions.text import min_length, name_key, url_key
 from ..schema import ARRIVAL_ORDER
 from ..session import cut_lineage
+from .order import with_position
 from .skew import HOT_ROWS, hot_keys, is_small, salted_join
 
-MIN_ROUNDS = 3
-TAIL_ROWS = 50_000
+# rounds before chains are looked at: most data is done by then
+PLAIN_ROUNDS = 4
 
 
 def with_keys(items: DataFrame) -> DataFrame:
@@ -31,53 +31,67 @@ def _rank(order: Sequence[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
-def _sequential_tail(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    urls: set = set()
-    names: set = set()
-    for batch in batches:
-        keep = []
-        for u, n in zip(batch["u"], batch["n"]):
-            free = u not in urls and n not in names
-            keep.append(free)
-            if free:
-                urls.add(u)
-                names.add(n)
-        yield batch[keep]
-
-
-def greedy_winners(edges: DataFrame, hot_rows: int = HOT_ROWS, min_rounds: int = MIN_ROUNDS, tail_rows: int = TAIL_ROWS) -> DataFrame:
-    """Ranks kept by the greedy rule from edges (rank, u, n).
+def greedy_winners(edges: DataFrame, hot_rows: int = HOT_ROWS, plain_rounds: int = PLAIN_ROUNDS) -> DataFrame:
+    """Ranks kept by the greedy rule from edges (rank, u, n), unique in rank.
 
     Works in rounds: a row that comes first among the rows left both for its
     url and for its name is certain to be kept; all rows that share a key with
     it leave. The smallest ranks per key are combined before their shuffle and
-    meet on the rank, which is unique, so only the removal of taken rows can
-    see a hot key, and that join is salted. What a long chain of conflicts
-    leaves after `min_rounds` is finished in order in one task, but only once
-    its counted size is at most `tail_rows`; until then the rounds go on.
+    meet on the rank, which is unique, so only joins of all rows left with
+    their keys can see a hot key, and those are salted. What is left after
+    `plain_rounds` holds chains, in which each row waits for the one before it;
+    from then on a round also decides whole chains.
     """
     edges = cut_lineage(edges)
     left = edges.count()
     edges, unpack = _packed(edges)
     hot_u, hot_n = (hot_keys(edges, [k], hot_rows) if left > hot_rows else [] for k in ("u", "n"))
     kept = []
-    rounds = 0
     while left:
-        if rounds >= min_rounds and left <= tail_rows:
-            ordered = edges.repartition(1).sortWithinPartitions("rank")
-            kept.append(cut_lineage(ordered.mapInPandas(_sequential_tail, edges.schema)))
-            break
         first_u = edges.groupBy("u").agg(F.min("rank").alias("rank"))
         first_n = edges.groupBy("n").agg(F.min("rank").alias("rank"))
-        wins = cut_lineage(first_u.join(first_n, "rank").select("rank", "u", "n"))
+        if len(kept) < plain_rounds:
+            wins = cut_lineage(first_u.join(first_n, "rank").select("rank", "u", "n"))
+        else:
+            wins = _chained(edges, first_u, first_n, hot_u, hot_n)
         kept.append(wins)
         edges = salted_join(edges, wins.select("u"), ["u"], "left_anti", hot_u)
         edges = cut_lineage(salted_join(edges, wins.select("n"), ["n"], "left_anti", hot_n))
         left = edges.count()
-        rounds += 1
     return reduce(DataFrame.unionByName, kept, edges.limit(0)).select(unpack(F.col("rank")).alias("rank"), "u", "n")
 
 
+def _chained(edges: DataFrame, first_u: DataFrame, first_n: DataFrame, hot_u: list[int], hot_n: list[int]) -> DataFrame:
+    """The rows that come first for both keys, and every second row of the chains that start at them.
+
+    A row with just one earlier row among those left, which shares its url or its
+    name, is kept exactly if that one isn't. Such rows point at the row they
+    wait for; pointers are followed by doubling, so a chain of n rows takes
+    log2(n) steps, and what counts at its end is whether the distance is even.
+    Pointers that end at a row with several earlier ones stay open this round.
+    """
+    placed = salted_join(edges, first_u.withColumnRenamed("rank", "first_u"), ["u"], "inner", hot_u)
+    placed = cut_lineage(salted_join(placed, first_n.withColumnRenamed("rank", "first_n"), ["n"], "inner", hot_n).select("rank", "u", "n", "first_u", "first_n"))
+
+    def waiting(own: str, other: str, key: str) -> DataFrame:
+        """Rows that are first for the other key and second for `key`."""
+        second = placed.where(F.col("rank") > F.col(own)).groupBy(key).agg(F.min("rank").alias("rank")).select("rank")
+        return placed.where((F.col("rank") == F.col(other)) & (F.col("rank") > F.col(own))).join(second, "rank", "left_semi").select("rank", F.col(own).alias("to"))
+
+    free = placed.where((F.col("rank") == F.col("first_u")) & (F.col("rank") == F.col("first_n")))
+    pointers = cut_lineage(waiting("first_u", "first_n", "u").unionByName(waiting("first_n", "first_u", "n")).withColumn("odd", F.lit(True)))
+    moved = not pointers.isEmpty()
+    while moved:
+        step = pointers.select(F.col("rank").alias("to"), F.col("to").alias("on"), F.col("odd").alias("more"))
+        joined = pointers.join(step, "to", "left")
+        pointers = cut_lineage(joined.select(
+            "rank", F.coalesce("on", "to").alias("to"), (F.col("odd") != F.coalesce("more", F.lit(False))).alias("odd"), F.col("on").isNotNull().alias("moved")))
+        moved = not pointers.where("moved").isEmpty()
+        pointers = pointers.drop("moved")
+    even = pointers.where("not odd").join(free.select(F.col("rank").alias("to")), "to", "left_semi").select("rank")
+    return cut_lineage(free.select("rank", "u", "n").unionByName(placed.join(even, "rank", "left_semi").select("rank", "u", "n")))
+
+
 def _packed(edges: DataFrame) -> tuple[DataFrame, Callable[[Column], Column]]:
     """Edges with a rank of several whole numbers packed into one bigint, in the same order, and how to unpack it.
 
@@ -111,11 +125,14 @@ def greedy_dedup(
     url: str = "url_key",
     name: str = "name_key",
     hot_rows: int = HOT_ROWS,
-    min_rounds: int = MIN_ROUNDS,
-    tail_rows: int = TAIL_ROWS,
+    plain_rounds: int = PLAIN_ROUNDS,
+    unique: bool = True,
 ) -> DataFrame:
     """Rows kept by the greedy rule; `order` is unique per row, but for rows that landed more than once.
 
+    Where rows of several runs share their place in the order, say so with unique=False:
+    among them the smaller keys come first.
+
     Only (rank, url, name) goes through the rounds. A later row with the same
     pair of keys can never be kept, so pairs are combined before the first
     shuffle. The wide rows are read once more at the end, to pick the kept ones.
@@ -124,7 +141,14 @@ def greedy_dedup(
     rank = _rank(order)
     u, n = (F.coalesce(F.col(c), F.lit("")) for c in (url, name))
     edges = items.groupBy(u.alias("u"), n.alias("n")).agg(F.min(rank).alias("rank"))
-    winners = greedy_winners(edges.select("rank", "u", "n"), hot_rows, min_rounds, tail_rows)
+    edges = edges.select("rank", "u", "n")
+    if unique:
+        winners = greedy_winners(edges, hot_rows, plain_rounds)
+    else:
+        # a position for each pair of keys stands for its rank
+        placed = cut_lineage(with_position(cut_lineage(edges), ["rank", "u", "n"], "place"))
+        won = greedy_winners(placed.select(F.col("place").alias("rank"), "u", "n"), hot_rows, plain_rounds)
+        winners = placed.join(won.select(F.col("rank").alias("place")), "place", "left_semi").select("rank", "u", "n")
     ranks = [F.col("rank").alias(order[0])] if len(order) == 1 else [F.col(f"rank.{c}").alias(c) for c in order]
     keyed = items.withColumns({"winner_u": u, "winner_n": n})
     by = [*order, "winner_u", "winner_n"]
@@ -162,7 +186,8 @@ def cumulative_merge(fresh: DataFrame, previous: DataFrame, assume_clean: bool =
     """
     if not assume_clean:
         both = fresh.withColumn("run_age", F.lit(0)).unionByName(previous.withColumn("run_age", F.lit(1)))
-        return greedy_dedup(both, ["run_age", *order]).drop("run_age")
+        # previous rows may come from several runs that numbered theirs alike
+        return greedy_dedup(both, ["run_age", *order], unique=False).drop("run_age")
     old = previous
     for key in ("url_key", "name_key"):
         taken = fresh.select(key)

@@ -24,9 +24,15 @@ def first_author_reply(
     sends one row per task.
     """
     said = replies.where(F.coalesce(F.col("text"), F.lit("")) != "")
-    first = said.groupBy("story_id", "author").agg(F.min_by("text", F.struct(*[c for c in ("seq", "pos", "text") if c in said.columns])).alias("reply"))
+    by = F.struct(*[c for c in ("seq", "pos", "text") if c in said.columns])
+    # with `batch` on both sides, an item that a reply describes carries the later one
+    batch = [F.min_by("batch", by).alias("reply_batch")] if "batch" in said.columns and "batch" in items.columns else []
+    first = said.groupBy("story_id", "author").agg(F.min_by("text", by).alias("reply"), *batch)
     joined = balanced_join(items, first, ["story_id", "author"], "left", hot_rows)
-    filled = F.when(F.coalesce("description", F.lit("")) == "", F.coalesce(as_text(F.col("reply")), F.lit(""))).otherwise(F.col("description"))
+    blank = F.coalesce("description", F.lit("")) == ""
+    if batch:
+        joined = joined.withColumn("batch", F.when(blank, F.greatest("batch", "reply_batch")).otherwise(F.col("batch"))).drop("reply_batch")
+    filled = F.when(blank, F.coalesce(as_text(F.col("reply")), F.lit(""))).otherwise(F.col("description"))
     return joined.withColumn("description", filled).drop("reply")
 
 

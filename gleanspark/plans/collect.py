@@ -55,6 +55,11 @@ class Run:
         names = [s.name for s in specs]
         return self.landing.where((F.col("kind") == kind) & F.col("source").isin(names) & (F.col("status") == status))
 
+    def not_fetched(self, specs: Sequence[SourceSpec], kind: str) -> DataFrame:
+        """Payloads whose fetch failed or gave something that can't be read."""
+        names = [s.name for s in specs]
+        return self.landing.where((F.col("kind") == kind) & F.col("source").isin(names) & S.not_fetched(kind))
+
     def recent(self, date_iso: str) -> Column:
         return is_recent(F.col(date_iso), self.as_of)
 
@@ -68,11 +73,18 @@ class Run:
 def _raw(rows: DataFrame, name: str, url: str, description: Column, date_iso: str, pricing: Column | None = None) -> DataFrame:
     """The columns that all chains share."""
     return rows.select(
-        "source", F.col("seq").cast("bigint").alias("seq"), F.col("pos").cast("bigint").alias("pos"),
+        *([S.BATCH] if S.BATCH in rows.columns else []), "source", F.col("seq").cast("bigint").alias("seq"), F.col("pos").cast("bigint").alias("pos"),
         F.col(name).alias("name"), F.col(url).alias("url"), description.alias("description"), F.col(date_iso).alias("date_iso"),
         (F.lit(None).cast("string") if pricing is None else pricing).alias("pricing"))
 
 
+def _with_pages(run: Run, specs: Sequence[SourceSpec], rows: DataFrame, url: str) -> DataFrame:
+    """Rows that name a page of their payload, with that page."""
+    batch = [F.col(S.BATCH).alias("page_batch")] if S.BATCH in run.landing.columns else []
+    pages = run.landed(specs, "page").select("source", "seq", F.col("url").alias(url), "payload", *batch)
+    return S.latest_batch(rows.join(pages, [*S.PAYLOAD_KEY, url]), "page_batch")
+
+
 def _capped(rows: DataFrame, specs: Sequence[SourceSpec]) -> DataFrame:
     """Each payload's first rows, as many as its source's cap."""
     return cap_per_source(rows, max(s.cap for s in specs), own_cap=_per_source(specs, lambda s: s.cap))
@@ -90,7 +102,7 @@ def feed_rows(run: Run) -> DataFrame:
     payloads = run.landed(feeds, "feed")
     if posts:
         # decided per payload, so the other directories' feeds are not even parsed
-        payloads = source_fallback(payloads, run.landed(posts, "feed"), run.landed(posts, "posts", "failed"), hot_rows=None)
+        payloads = source_fallback(payloads, run.landed(posts, "feed"), run.not_fetched(posts, "posts"), hot_rows=None)
     specs = [*feeds, *posts]
     kind = _per_source(specs, lambda s: s.kind, "string")
     cap = _per_source(specs, lambda s: s.fallback_cap if s.kind == "posts" else s.cap)
@@ -161,8 +173,7 @@ def sitemap_rows(run: Run) -> DataFrame:
     specs = run.specs("sitemap")
     listed = S.sitemap_scan(run.landed(specs, "sitemap"), run.as_of, run.parity)
     listed = _capped(listed, specs)
-    pages = run.landed(specs, "page").select("source", "seq", F.col("url").alias("loc"), "payload")
-    rows = S.page_meta_scan(listed.join(pages, ["source", "seq", "loc"]), "loc")
+    rows = S.page_meta_scan(_with_pages(run, specs, listed, "loc"), "loc")
     return _raw(rows.where(~X.is_listicle(F.col("title"))), "title", "loc", F.col("description"), "date_iso")
 
 
@@ -189,12 +200,12 @@ def newsletter_rows(run: Run) -> DataFrame:
     specs = run.specs("newsletter")
     issues = S.feed_scan(run.landed(specs, "feed"), _per_source(specs, lambda s: s.cap)).withColumn("date_iso", run.date("published"))
     issues = issues.where(run.recent("date_iso") & _has("link"))
-    issues = issues.select(*S.PAYLOAD_KEY, F.col("pos").alias("issue"), F.col("link").alias("url"), "date_iso")
-    pages = run.landed(specs, "page").select("source", "seq", "url", "payload")
-    articles = issues.join(pages, ["source", "seq", "url"])
+    key = S.payload_key(issues)
+    issues = issues.select(*key, F.col("pos").alias("issue"), F.col("link").alias("url"), "date_iso")
+    articles = _with_pages(run, specs, issues, "url")
     found = H.context_anchors(F.col("payload"), config.ARTICLE_CONTAINER_CLASS)
-    links = articles.select(*S.PAYLOAD_KEY, "issue", "date_iso", F.posexplode(found).alias("place", "link"))
-    links = links.select(*S.PAYLOAD_KEY, "issue", "date_iso", "link.*",
+    links = articles.select(*key, "issue", "date_iso", F.posexplode(found).alias("place", "link"))
+    links = links.select(*key, "issue", "date_iso", "link.*",
                          (F.col("issue") * ANCHORS_PER_ENTRY + F.col("place")).alias("pos"))
     links = links.where(F.col("href").startswith("http") & X.min_length(F.col("text"), config.MIN_ANCHOR_CHARS))
     links = blocklist_anti(links, match="contains" if run.parity else "suffix")
@@ -210,7 +221,11 @@ CHAINS = {
 
 
 def collect(landing: DataFrame, as_of: datetime, sources: Sequence[SourceSpec] | None = None, parity: bool = True) -> DataFrame:
-    """All items of a run: the record fields and the arrival order (source_rank, seq, pos)."""
+    """All items of a run: the record fields and the arrival order (source_rank, seq, pos).
+
+    Where payloads tell the batch they landed in, an item carries the latest batch
+    among the payloads it was made of.
+    """
     run = Run(landing, as_of, tuple(default_sources() if sources is None else sources), parity)
     unknown = {s.kind for s in run.sources} - {kind for kinds in CHAINS.values() for kind in kinds}
     if unknown:
@@ -219,4 +234,4 @@ def collect(landing: DataFrame, as_of: datetime, sources: Sequence[SourceSpec] |
     col = F.col
     return rows.select(
         *item_columns(col("name"), col("url"), col("description"), col("source"), col("date_iso"), as_of.isoformat(), col("pricing")),
-        _per_source(run.sources, lambda s: s.rank).alias("source_rank"), "seq", "pos")
+        _per_source(run.sources, lambda s: s.rank).alias("source_rank"), "seq", "pos", *([S.BATCH] if S.BATCH in rows.columns else []))

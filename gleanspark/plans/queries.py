@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import config
 from ..functions import dates as D, html as H, text as X
@@ -14,7 +14,7 @@ from ..sources import payloads as S
 from ..sources.combine import source_fallback, union_sources
 from . import oracle as O, samples
 from ..session import cut_lineage, shared_folder
-from ..sources.snapshot import snapshot_scan, write_run_stats, write_snapshot
+from ..sources.snapshot import snapshot_scan, write_files, write_run_stats, write_snapshot
 from ..streaming.increment import collect_increment, read_landing
 from .collect import collect
 from .nightly import merge_run
@@ -127,10 +127,10 @@ def _listicle(spark, sf):
 
 
 @query("topic_filter", f"""WITH {O.DOCS} SELECT rank, name FROM docs
-    WHERE {O.any_of("lower(name || ' ' || description)", config.TOPIC_TERMS)} AND {O.any_of("lower(name)", config.PRODUCT_TOPIC_TERMS)}""")
+    WHERE {O.any_of("lower(name || ' ' || description)", config.TOPIC_TERMS)} AND {O.any_of("lower(name || ' ' || description)", config.PRODUCT_TOPIC_TERMS)}""")
 def _topic_filter(spark, sf):
-    return _docs(spark, sf).where(
-        X.topic_filter(F.concat_ws(" ", "name", "description")) & X.topic_filter(F.col("name"), config.PRODUCT_TOPIC_TERMS)).select("rank", "name")
+    text = F.concat_ws(" ", "name", "description")
+    return _docs(spark, sf).where(X.topic_filter(text) & X.topic_filter(text, config.PRODUCT_TOPIC_TERMS)).select("rank", "name")
 
 
 SHOW_URL = "(tool_url || CASE lang WHEN 'de' THEN '/wiki/' WHEN 'es' THEN 'x.md' WHEN 'fr' THEN '?u=news.ycombinator.com' ELSE '' END)"
@@ -354,16 +354,29 @@ def _greedy_docs(spark, sf):
     return dedup.greedy_dedup(dedup.with_keys(_docs(spark, sf)), RANK).select("rank", "name", "tool_url", "description")
 
 
+CHAIN = """t AS (SELECT rank AS r, source || '-' || ((k + 1) // 2) AS u, source || '-' || (k // 2) AS n
+    FROM (SELECT rank, source, row_number() OVER (PARTITION BY source ORDER BY rank) AS k FROM docs))"""
+
+
+@query("greedy_dedup_chains", f"WITH RECURSIVE {O.DOCS}, {CHAIN}, {O.greedy('g', 't')} SELECT rank, u AS url_key, n AS name_key FROM t JOIN docs ON rank = r JOIN g USING (r)")
+def _greedy_chains(spark, sf):
+    """Each source's documents as one chain, in which a row's fate hangs on the row before it."""
+    number = F.row_number().over(Window.partitionBy("source").orderBy("rank"))
+    rows = _docs(spark, sf).select("rank", "source", number.alias("k"))
+    key = lambda k: F.concat("source", F.lit("-"), F.expr(f"cast(({k}) div 2 as string)"))
+    return dedup.greedy_dedup(rows.select("rank", key("k + 1").alias("url_key"), key("k").alias("name_key")), RANK).select("rank", "url_key", "name_key")
+
+
 # Fresh rows are the English documents, previous ones all others.
 
-SPLIT = f"{O.keyed('tf', 'docs', 'lang = ' + O.lit('en'))}, {O.greedy('gf', 'tf')}, {O.keyed('tp', 'docs', 'lang <> ' + O.lit('en'))}, {O.greedy('gp', 'tp')}"
+SPLIT = f"{O.keyed('tf', 'docs', 'lang = ' + O.lit('en'))}, {O.greedy('gf', 'tf')}, {O.keyed('tp', 'docs', 'lang IS DISTINCT FROM ' + O.lit('en'))}, {O.greedy('gp', 'tp')}"
 MERGED = f"""{SPLIT}, fr AS (SELECT * FROM tf WHERE r IN (SELECT r FROM gf)), pv AS (SELECT * FROM tp WHERE r IN (SELECT r FROM gp)),
     merged AS (SELECT r FROM fr UNION ALL SELECT r FROM pv WHERE u NOT IN (SELECT u FROM fr) AND n NOT IN (SELECT n FROM fr))"""
 
 
 def _fresh_and_previous(spark, sf) -> tuple[DataFrame, DataFrame]:
     docs = dedup.with_keys(_docs(spark, sf))
-    return dedup.greedy_dedup(docs.where("lang = 'en'"), RANK), dedup.greedy_dedup(docs.where("lang <> 'en'"), RANK)
+    return dedup.greedy_dedup(docs.where("lang = 'en'"), RANK), dedup.greedy_dedup(docs.where("not lang <=> 'en'"), RANK)
 
 
 @query("merge", f"WITH RECURSIVE {O.DOCS}, {MERGED} SELECT rank, name, tool_url, source FROM docs WHERE rank IN (SELECT r FROM merged) AND length({O.strip('name')}) >= 3")
@@ -401,9 +414,9 @@ def _newest_first(spark, sf):
 
 
 @query("cap_per_source", f"""WITH {O.DOCS} SELECT rank, source, name FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY rank) AS k FROM docs
-    WHERE NOT {O.listicle('name')} AND n_chars >= 100) WHERE k <= 20""")
+    WHERE NOT {O.listicle('name')}) WHERE k <= 20""")
 def _cap(spark, sf):
-    rows = _docs(spark, sf).where(~X.is_listicle(F.col("name")) & (F.col("n_chars") >= 100))
+    rows = _docs(spark, sf).where(~X.is_listicle(F.col("name")))
     return I.cap_per_source(rows, 20, ["source"], RANK).select("rank", "source", "name")
 
 
@@ -454,14 +467,14 @@ def _lookup(spark, sf):
 FAILED = "failed AS (SELECT source FROM documents GROUP BY source HAVING min(n_chars) < 12)"
 
 
-@query("source_fallback", f"""WITH {FAILED} SELECT doc_id, source, text FROM documents WHERE source NOT IN (SELECT source FROM failed)
-    UNION ALL SELECT doc_id, source, regexp_extract(text, '^[^\\n.]*') AS text FROM documents WHERE source IN (SELECT source FROM failed)""")
+@query("source_fallback", f"""WITH {FAILED} SELECT doc_id, source, text, 'answer' AS via FROM documents WHERE source IS NULL OR source NOT IN (SELECT source FROM failed WHERE source IS NOT NULL)
+    UNION ALL SELECT doc_id, source, text, 'feed' AS via FROM documents WHERE source IN (SELECT source FROM failed)""")
 def _fallback(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "source", "text", "n_chars")
     failed = docs.groupBy("source").agg(F.min("n_chars").alias("least")).where("least < 12").select("source")
-    answered = docs.join(failed, "source", "left_anti")
-    feed = docs.withColumn("text", F.regexp_extract("text", r"^[^\n.]*", 0)).select("doc_id", "source", "text")
-    return source_fallback(answered.select("doc_id", "source", "text"), feed, failed, ["source"])
+    answered = docs.join(failed, "source", "left_anti").select("doc_id", "source", "text", F.lit("answer").alias("via"))
+    feed = docs.select("doc_id", "source", "text", F.lit("feed").alias("via"))
+    return source_fallback(answered, feed, failed, ["source"])
 
 
 @query("union_sources", f"""WITH {O.DOCS}, {O.PAGES} SELECT rank, name, tool_url, source, lang FROM docs UNION ALL
@@ -593,6 +606,45 @@ for _format in ("rss", "atom"):
         return entries.select("source", "seq", "pos", "title", "link", H.html_to_text(F.col("summary")).alias("text"), "published")
 
 
+# what is wrong with a payload, and which of its entries are past repair
+DEFECT = f"(seq + source_rank) % {samples.DEFECTS}"
+LOST = f"({DEFECT} = 3 AND pos = 1 OR {DEFECT} = 4 AND pos = entries - 1)"
+COUNTED = "(SELECT *, count(*) OVER (PARTITION BY source, seq) AS entries FROM d)"
+
+
+def _dirty_sql(fields: str) -> str:
+    return f"{ENTRY} SELECT source, seq, pos, {fields} FROM {COUNTED} WHERE NOT {LOST}"
+
+
+@query("feed_scan_dirty", _dirty_sql(f"""{O.strip(f"title || CASE {DEFECT} WHEN 2 THEN ' R&D été & AT&T; a < b é' ELSE '' END")} AS title, tool_url AS link,
+    '<p>' || replace(replace(replace(description, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || ' R&D &eacute; &amp;</p>' AS summary,
+    strftime(day, '%a, %d %b %Y') || ' 10:00:00 +0000' AS published"""))
+def _dirty_feed(spark, sf):
+    """Feeds that aren't well-formed: whatever entry can be read is there."""
+    entries = S.feed_scan(samples.land_dirty_feed(table(spark, sf, "documents")), None)
+    return entries.select("source", "seq", "pos", "title", "link", "summary", "published")
+
+
+@query("sitemap_dirty", _dirty_sql(f"'https://' || source || '.example.com/tool?id=' || doc_id || CASE {DEFECT} WHEN 2 THEN '&x=1' ELSE '' END AS loc, iso || '+00:00' AS date_iso") + f" AND {O.RECENT}")
+def _dirty_sitemap(spark, sf):
+    landed = samples.land_dirty_sitemap(table(spark, sf, "documents"))
+    return S.sitemap_scan(landed, AS_OF).select("source", "seq", "pos", "loc", "date_iso")
+
+
+@query("payload_outcomes", f"""{ENTRY}, p AS (SELECT source, source_rank, seq, count(*) AS n, count(*) FILTER (NOT {LOST}) AS good FROM {COUNTED} GROUP BY source, source_rank, seq),
+    told AS (SELECT *, CASE WHEN {DEFECT} = 0 THEN 'ok' WHEN good = 0 THEN 'unreadable' WHEN {DEFECT} = 3 AND n = 1 THEN 'ok' ELSE 'mended' END AS outcome FROM p),
+    answers AS (SELECT *, (seq + source_rank) % 5 = 0 AS bad FROM p)
+    SELECT 'feed' AS kind, source, seq, outcome, CASE WHEN outcome = 'unreadable' THEN 0 ELSE good END AS entries FROM told
+    UNION ALL SELECT 'sitemap', source, seq, outcome, CASE WHEN outcome = 'unreadable' THEN 0 ELSE good END FROM told
+    UNION ALL SELECT 'posts', source, seq, CASE WHEN bad THEN 'unreadable' ELSE 'ok' END, CASE WHEN NOT bad THEN n END FROM answers""")
+def _outcomes(spark, sf):
+    """What became of dirty feeds, dirty sitemaps and answers some of which aren't lists of posts."""
+    docs = table(spark, sf, "documents")
+    posts = samples.land_posts(docs, garbled=True).where("kind = 'posts'")
+    landed = samples.land_dirty_feed(docs).unionByName(samples.land_dirty_sitemap(docs)).unionByName(posts)
+    return S.payload_outcomes(landed).select("kind", "source", "seq", "outcome", "entries")
+
+
 @query("search_hits", _scan_sql(O.strip("'Show HN: ' || name") + " AS title, CAST(epoch(day) AS BIGINT) + 36000 AS created_at_i, CAST(doc_id AS VARCHAR) AS story_id, 'user_' || source AS author, "
                                 "CASE WHEN lang <> 'fr' THEN body ELSE '' END AS text", "pos < 50"))
 def _hits(spark, sf):
@@ -649,8 +701,17 @@ def _html_rows(spark, sf):
 for _kind in O.CHAINS:
     @query(f"collect_{_kind}", O.chain_query(_kind))
     def _run_chain(spark, sf, kind=_kind):
-        landed = cut_lineage(samples.LANDERS[kind](table(spark, sf, "documents")))
-        return _flat(collect(landed, AS_OF, samples.sources(kind), parity=kind not in ("posts", "newsletter")))
+        docs = table(spark, sf, "documents")
+        landed = cut_lineage(samples.LANDERS[kind](docs))
+        return _flat(collect(landed, AS_OF, samples.sources(samples.source_names(docs), kind), parity=kind not in ("posts", "newsletter")))
+
+
+@query("fallback_unreadable", O.chain_query("posts"))
+def _unreadable(spark, sf):
+    """Answers that are no lists of posts, though marked as fetched, give way to the feeds of their sites."""
+    docs = table(spark, sf, "documents")
+    landed = cut_lineage(samples.land_posts(docs, garbled=True))
+    return _flat(collect(landed, AS_OF, samples.sources(samples.source_names(docs), "posts"), parity=False))
 
 
 def _new_folder(spark: SparkSession) -> str:
@@ -661,10 +722,35 @@ def _new_folder(spark: SparkSession) -> str:
 def _roundtrip(spark, sf):
     """A snapshot written as run 0 and read back as the latest one."""
     path = _new_folder(spark)
+    _stored(_docs(spark, sf), path, 0)
+    return _flat(snapshot_scan(spark, path)).drop("source_rank", "seq")
+
+
+def _stored(rows: DataFrame, path: str, run_id: int) -> None:
     fields = I.item_columns(F.col("name"), F.col("tool_url"), F.col("description"), F.col("source"), F.lit("2024-01-02"), AS_OF.isoformat())
-    rows = _docs(spark, sf).select(*fields, F.lit(0).alias("source_rank"), F.lit(0).cast("bigint").alias("seq"), F.col("rank").alias("pos"))
-    written = dedup.with_keys(write_snapshot(rows, path, 0))
-    write_run_stats(I.run_stats(written, written, written.where("false"), AS_OF.isoformat()), path, 0)
+    written = write_snapshot(rows.select(*fields, F.lit(0).alias("source_rank"), F.lit(0).cast("bigint").alias("seq"), F.col("rank").alias("pos")), path, run_id)
+    write_files(rows.sparkSession, path, run_id)
+    keyed = dedup.with_keys(written)
+    write_run_stats(I.run_stats(keyed, keyed, keyed.where("false"), AS_OF.isoformat()), path, run_id)
+
+
+def _damage(spark: SparkSession, folder: str) -> None:
+    """Cut one data file of a folder off."""
+    one = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder).select("path").orderBy("path").first()["path"]
+    path = spark._jvm.org.apache.hadoop.fs.Path(one)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(b"PAR1"))
+    out.close()
+
+
+@query("snapshot_corrupt", f"WITH {O.DOCS} SELECT rank AS pos, {O.item('name', 'tool_url', 'description', 'source', O.lit('2024-01-02'))} FROM docs WHERE lang IS DISTINCT FROM 'en'")
+def _corrupt(spark, sf):
+    """Three runs: one that is whole, one with a file cut off, one that never got its record. The first is read."""
+    path, docs = _new_folder(spark), _docs(spark, sf)
+    _stored(docs.where("not lang <=> 'en'"), path, 0)
+    _stored(docs, path, 1)
+    _damage(spark, f"{path}/items/run_id=1")
+    write_snapshot(snapshot_scan(spark, path, before=1), path, 2)
     return _flat(snapshot_scan(spark, path)).drop("source_rank", "seq")
 
 
@@ -679,7 +765,7 @@ def _batch(number: int, where: str) -> str:
     return f"{dated}, {_found(number)}, {O.keyed(f't{number}', f'i{number}')}, {O.greedy(f'g{number}', f't{number}')}"
 
 
-@query("increment_stream", f"""WITH RECURSIVE {O.DOCS}, {_batch(1, "lang <> 'en'")}, {_batch(2, "lang = 'en'")},
+@query("increment_stream", f"""WITH RECURSIVE {O.DOCS}, {_batch(1, "lang IS DISTINCT FROM 'en'")}, {_batch(2, "lang = 'en'")},
     fr AS (SELECT i2.* EXCLUDE (rank) FROM i2 JOIN g2 ON r = rank), pv AS (SELECT i1.* EXCLUDE (rank) FROM i1 JOIN g1 ON r = rank WHERE length({O.strip('name')}) >= 3),
     merged AS (SELECT * FROM fr UNION ALL SELECT * FROM pv WHERE {O.url_key('tool_url')} NOT IN (SELECT {O.url_key('tool_url')} FROM fr)
       AND {O.name_key('name')} NOT IN (SELECT {O.name_key('name')} FROM fr))
@@ -688,10 +774,51 @@ def _increment(spark, sf):
     """Two landings, each taken up by the stream as one run: first all but the English documents, then the English ones."""
     path = _new_folder(spark)
     docs = table(spark, sf, "documents")
-    for part in (docs.where("lang <> 'en'"), docs.where("lang = 'en'")):
+    specs = samples.sources(samples.source_names(docs), "feed")
+    for part in (docs.where("not lang <=> 'en'"), docs.where("lang = 'en'")):
         samples.land_feed(part).write.mode("append").parquet(f"{path}/landing")
         landing = read_landing(spark, f"{path}/landing")
-        collect_increment(landing, f"{path}/snapshot", f"{path}/stream", lambda _: AS_OF, samples.sources("feed")).awaitTermination()
+        collect_increment(landing, f"{path}/snapshot", f"{path}/stream", lambda _: AS_OF, specs).awaitTermination()
+    return _flat(snapshot_scan(spark, f"{path}/snapshot"))
+
+
+# pages in these languages land with the issues, the others after the feed that replaces their items
+EARLY = "coalesce(lang, '') IN ('de', 'es')"
+
+
+def _merge_step(number: int, chain: str) -> str:
+    """m<n>: the snapshot after the items of `chain` were merged into m<n-1>."""
+    kept = f"length({O.strip('name')}) >= 3"
+    older = "" if not number else f""" UNION ALL SELECT * FROM m{number - 1} WHERE {O.url_key('tool_url')} NOT IN (SELECT {O.url_key('tool_url')} FROM fr{number})
+      AND {O.name_key('name')} NOT IN (SELECT {O.name_key('name')} FROM fr{number})"""
+    return f"""i{number} AS (SELECT *, row_number() OVER (ORDER BY source_rank, seq, pos) AS rank FROM ({chain})),
+    {O.keyed(f't{number}', f'i{number}')}, {O.greedy(f'g{number}', f't{number}')}, fr{number} AS (SELECT i{number}.* EXCLUDE (rank) FROM i{number} JOIN g{number} ON r = rank),
+    m{number} AS (SELECT * FROM (SELECT * FROM fr{number}{older}) WHERE {kept})"""
+
+
+OTHER_FEED = f"""x AS (SELECT * REPLACE ({O.strip("name || ' tool'")} AS title, 'https://feed-' || substr(tool_url, 9) AS tool_url, 'feed-' || source AS source,
+    source_rank + (SELECT count(DISTINCT source) FROM docs) AS source_rank) FROM d)"""
+
+
+@query("increment_stream_split", f"""WITH RECURSIVE {O.DOCS}, {O.DATED}, {OTHER_FEED}, {_merge_step(0, O.newsletter(EARLY, parity=True))},
+    {_merge_step(1, O.feed(topic_filtered="false").replace(" FROM d ", " FROM x "))}, {_merge_step(2, O.newsletter(f"NOT {EARLY}", parity=True))} SELECT * FROM m2""")
+def _increment_split(spark, sf):
+    """Three landings: issues with some of their articles, feeds that list the same items elsewhere, and the other articles.
+
+    Items of the first landing stay replaced, though the third one brings their issues up again.
+    """
+    path = _new_folder(spark)
+    docs = table(spark, sf, "documents")
+    names = samples.source_names(docs)
+    feeds = [config.SourceSpec(f"feed-{s.name}", len(names) + s.rank, "feed", s.cap) for s in samples.sources(names, "feed")]
+    specs = [*samples.sources(names, "newsletter"), *feeds]
+    pages = lambda where: samples.land_newsletter(docs.where(where)).where("kind = 'page'")
+    issues = samples.land_newsletter(docs).where("kind = 'feed'")
+    other = docs.withColumn("source", F.concat(F.lit("feed-"), samples.named_source()))
+    for part in (issues.unionByName(pages(EARLY)), samples.land_feed(other, title=F.concat("name", F.lit(" tool"))), pages(f"not {EARLY}")):
+        part.write.mode("append").parquet(f"{path}/landing")
+        landing = read_landing(spark, f"{path}/landing")
+        collect_increment(landing, f"{path}/snapshot", f"{path}/stream", lambda _: AS_OF, specs).awaitTermination()
     return _flat(snapshot_scan(spark, f"{path}/snapshot"))
 
 
@@ -707,8 +834,9 @@ PREVIOUS = f"""{O.PAGES}, {O.keyed('tp', 'pgs')}, {O.greedy('gp', 'tp')}, pv AS
       AND {O.name_key('name')} NOT IN (SELECT {O.name_key('name')} FROM fr))
     SELECT * FROM merged WHERE length({O.strip('name')}) >= 3""")
 def _nightly(spark, sf):
-    landed = cut_lineage(samples.land_mixed(table(spark, sf, "documents")))
-    collected = cut_lineage(collect(landed, AS_OF, samples.sources()))
+    docs = table(spark, sf, "documents")
+    landed = cut_lineage(samples.land_mixed(docs))
+    collected = cut_lineage(collect(landed, AS_OF, samples.sources(samples.source_names(docs))))
     pages = _pages(spark, sf)
     fields = I.item_columns(F.col("name"), F.col("tool_url"), F.lit(""), F.col("source"), F.lit("2024-01-02"), AS_OF.isoformat())
     order = [F.lit(1000).alias("source_rank"), F.lit(0).cast("bigint").alias("seq"), F.col("rank").alias("pos")]

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import spread_small
 from ..config import ARTICLE_CONTAINER_CLASS, SCRIPT_CHUNK_PREFIX, SourceSpec
+from ..functions.text import constant
 
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 BLOCK = 500
-SOURCES = 20
+NO_SOURCE = "none"
 CLOCK = "10:00:00"
 
 # kind of payload per source number, for the run over mixed sources
@@ -26,8 +27,18 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spread_small(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+def named_source() -> Column:
+    return F.coalesce("source", F.lit(NO_SOURCE))
+
+
+def source_names(docs: DataFrame) -> list[str]:
+    """The sources of the documents in order; the number of a source is its place. A registry lists each once."""
+    return sorted(r[0] for r in docs.select(named_source()).distinct().collect())
+
+
 def item_docs(docs: DataFrame) -> DataFrame:
     """Documents as items: the first sentence is the name, five neighbours of a source share a url."""
+    docs = docs.withColumn("source", named_source())
     slash = F.when(F.col("n_chars") % 3 == 0, "/").otherwise("")
     return docs.select(
         F.col("doc_id").alias("rank"),
@@ -45,13 +56,13 @@ def item_pages(pages: DataFrame) -> DataFrame:
         F.lower(F.regexp_extract("url", "^[a-z]+://([^/?#:]+)", 1)).alias("source"), "html")
 
 
-def sources(kind: str | None = None, cap: int = 20) -> list[SourceSpec]:
-    """The twenty document sources as a registry: all of one kind, or of mixed kinds."""
+def sources(names: list[str], kind: str | None = None, cap: int = 20) -> list[SourceSpec]:
+    """The documents' sources as a registry: all of one kind, or of mixed kinds."""
     specs = []
-    for n in range(SOURCES):
+    for n, name in enumerate(names):
         k = kind or KINDS[n % len(KINDS)]
         specs.append(SourceSpec(
-            f"src{n}", n, k, cap={"newsletter": 5}.get(k, cap), topic_filter=k == "feed" and n % 4 == 2,
+            name, n, k, cap={"newsletter": 5}.get(k, cap), topic_filter=k == "feed" and n % 4 == 2,
             fallback_cap=15 if k == "posts" else None))
     return specs
 
@@ -144,13 +155,17 @@ def land_hits(docs: DataFrame) -> DataFrame:
     return _land(blocks, "hits", hits).unionByName(replies)
 
 
-def failed_fetch() -> Column:
-    return (F.col("seq") + F.substring("source", 4, 9).cast("bigint")) % 5 == 0
+def place_in(names: list[str]) -> Column:
+    """The number of a row's source."""
+    return F.try_element_at(constant({name: n for n, name in enumerate(names)}, "map<string,int>"), F.col("source"))
+
 
+def land_posts(docs: DataFrame, failing: bool = True, garbled: bool = False, names: list[str] | None = None) -> DataFrame:
+    """WordPress posts, some of whose fetches failed unless `failing` is off, and the feeds of the same sites.
 
-def land_posts(docs: DataFrame, failing: bool = True) -> DataFrame:
-    """WordPress posts, some of whose fetches failed unless `failing` is off, and the feeds of the same sites."""
-    failed = failed_fetch() if failing else F.lit(False)
+    With `garbled` those fetches are marked as answered, with something that isn't a list of posts.
+    """
+    failed = (F.col("seq") + place_in(names or source_names(docs))) % 5 == 0 if failing else F.lit(False)
     rows = dated(docs)
     rendered = lambda c: F.struct(c.alias("rendered"))
     post = F.struct(
@@ -162,7 +177,12 @@ def land_posts(docs: DataFrame, failing: bool = True) -> DataFrame:
         F.col("iso").alias("date"))
     blocks = _blocks(rows, post.alias("post"))
     answer = F.to_json(F.transform("entries", lambda e: e["post"]))
-    posts = _land(blocks, "posts", F.when(~failed, answer), F.when(failed, "failed").otherwise("ok"))
+    if garbled:
+        page = F.lit("<html><body>Too many requests</body></html>")
+        bad = F.when(F.col("seq") % 3 == 0, page).when(F.col("seq") % 3 == 1, F.substring(answer, 1, 60)).otherwise('{"code": "rest_forbidden", "data": {"status": 401}}')
+        posts = _land(blocks, "posts", F.when(failed, bad).otherwise(answer))
+    else:
+        posts = _land(blocks, "posts", F.when(~failed, answer), F.when(failed, "failed").otherwise("ok"))
     return posts.unionByName(land_feed(docs))
 
 
@@ -228,9 +248,60 @@ LANDERS = {
 
 def land_mixed(docs: DataFrame) -> DataFrame:
     """All documents landed, every source as the kind that `sources()` gives it."""
-    landed = None
+    names = source_names(docs)
+    specs, landed = sources(names), None
     for kind, lander in LANDERS.items():
-        names = [s.name for s in sources() if s.kind == kind]
-        part = lander(docs.where(F.col("source").isin(names)))
+        own = docs.where(named_source().isin([s.name for s in specs if s.kind == kind]))
+        part = lander(own, names=names) if kind == "posts" else lander(own)
         landed = part if landed is None else landed.unionByName(part)
     return landed
+
+
+DEFECTS = 5
+
+
+def defect(names: list[str]) -> Column:
+    """What is wrong with a dirty payload: 0 nothing, 1 blank lines before the declaration, 2 bare ampersands and references
+    that XML doesn't know, 3 one entry whose tags don't match, 4 the end cut off within the last entry."""
+    return (F.col("seq") + place_in(names)) % DEFECTS
+
+
+def _dirty(blocks: DataFrame, names: list[str], head: str, entry, tail: str, title: str) -> Column:
+    """`entry` gives an entry's markup between its tags."""
+    kind = defect(names)
+
+    def one(e: Column, i: Column) -> Column:
+        whole = F.concat(F.lit(f"<{title}>"), entry(e, kind), F.lit(f"</{title}>"))
+        broken = F.concat(F.lit(f"<{title}><b>"), entry(e, kind), F.lit(f"</{title}>"))
+        cut = F.concat(F.lit(f"<{title}>"), F.substring(entry(e, kind), 1, 20))
+        return F.when((kind == 3) & (i == 1), broken).when((kind == 4) & (i == F.size("entries") - 1), cut).otherwise(whole)
+
+    body = F.array_join(F.transform("entries", one), "\n")
+    declared = F.concat(F.when(kind == 1, "\n \n").otherwise(""), F.lit('<?xml version="1.0" encoding="UTF-8"?>'), F.lit(head), body)
+    return F.concat(declared, F.when(kind == 4, "").otherwise(tail))
+
+
+def land_dirty_feed(docs: DataFrame) -> DataFrame:
+    """Feeds, four of five with a defect. The text is in a CDATA section, ampersands and all."""
+    names = source_names(docs)
+    rows = dated(docs)
+    blocks = _blocks(rows, F.col("title_html").alias("title"), F.col("tool_url").alias("link"), F.col("text_html").alias("text"), F.col("rfc"))
+
+    def entry(e: Column, kind: Column) -> Column:
+        title = F.concat(e["title"], F.when(kind == 2, " R&D &eacute;t&eacute; &amp; AT&T; a < b &#233;").otherwise(""))
+        return F.concat(F.lit("<title>"), title, F.lit("</title><link>"), e["link"], F.lit("</link><description><![CDATA[<p>"), e["text"],
+                        F.lit(" R&D &eacute; &amp;</p>]]></description><pubDate>"), e["rfc"], F.lit("</pubDate>"))
+
+    return _land(blocks, "feed", _dirty(blocks, names, '<rss version="2.0"><channel><title>feed</title>', entry, "</channel></rss>", "item"))
+
+
+def land_dirty_sitemap(docs: DataFrame) -> DataFrame:
+    """Sitemaps, four of five with a defect."""
+    names = source_names(docs)
+    rows = dated(docs).withColumn("page_url", F.concat(F.lit("https://"), "source", F.lit(".example.com/tool?id="), "doc_id"))
+    blocks = _blocks(rows, F.col("page_url").alias("loc"), F.concat("iso", F.lit("Z")).alias("lastmod"))
+
+    def entry(e: Column, kind: Column) -> Column:
+        return F.concat(F.lit("<loc>"), e["loc"], F.when(kind == 2, "&x=1").otherwise(""), F.lit("</loc><lastmod>"), e["lastmod"], F.lit("</lastmod>"))
+
+    return _land(blocks, "sitemap", _dirty(blocks, names, '<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">', entry, "</urlset>", "url"))

@@ -30,12 +30,11 @@ LANDING_SCHEMA = T.StructType([
 RUN_STATS_SCHEMA = "run_id bigint, generated_at string, count bigint, new_today bigint"
 TRIAGE_SCHEMA = "tool_url string, state string, ts bigint"
 
-FEED_SCHEMA = """
-    channel struct<item: array<struct<title: string, link: string, description: string, pubDate: string>>>,
-    item array<struct<title: string, link: string, description: string, `dc:date`: string>>,
-    entry array<struct<title: string, link: array<struct<_href: string, _rel: string>>,
-                       summary: string, content: string, published: string, updated: string>>
-"""
+# entries of RSS and RDF feeds, and of Atom feeds
+FEED_ITEM = """title: string, link: string, guid: struct<_VALUE: string, _isPermaLink: string>, description: string, `content:encoded`: string,
+    pubDate: string, `dc:date`: string, updated: string"""
+FEED_ENTRY = "title: string, link: array<struct<_href: string, _rel: string>>, summary: string, content: string, published: string, updated: string"
+FEED_SCHEMA = f"channel struct<item: array<struct<{FEED_ITEM}>>>, item array<struct<{FEED_ITEM}>>, entry array<struct<{FEED_ENTRY}>>"
 HITS_SCHEMA = """
     hits array<struct<title: string, url: string, created_at_i: bigint, story_text: string,
                       objectID: string, author: string>>
@@ -45,7 +44,8 @@ POSTS_SCHEMA = """
     array<struct<title: struct<rendered: string>, link: string, content: struct<rendered: string>,
                  excerpt: struct<rendered: string>, date: string>>
 """
-SITEMAP_SCHEMA = "url array<struct<loc: string, lastmod: string>>"
+SITEMAP_ENTRY = "loc: string, lastmod: string"
+SITEMAP_SCHEMA = f"url array<struct<{SITEMAP_ENTRY}>>"
 
 
 def as_items(df: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators.skew import HOT_ROWS, balanced_join
+from .payloads import BATCH, latest_batch
 
 
 def source_fallback(primary: DataFrame, secondary: DataFrame, failed: DataFrame,
@@ -17,8 +18,13 @@ def source_fallback(primary: DataFrame, secondary: DataFrame, failed: DataFrame,
     `failed` holds the keys of failed fetches. A primary that answered with no
     rows is not failed, so it has no fallback.
     """
-    wanted = failed.select(*keys).distinct()
-    return primary.unionByName(balanced_join(secondary, wanted, keys, "left_semi", hot_rows).select(*primary.columns))
+    if BATCH not in failed.columns:
+        wanted = failed.select(*keys).distinct()
+        return primary.unionByName(balanced_join(secondary, wanted, keys, "left_semi", hot_rows).select(*primary.columns))
+    # a feed is wanted from the first failure on
+    wanted = failed.groupBy(*keys).agg(F.min(BATCH).alias("failed_batch"))
+    found = latest_batch(balanced_join(secondary, wanted, keys, "inner", hot_rows), "failed_batch")
+    return primary.unionByName(found.select(*primary.columns))
 
 
 def union_sources(sources: Sequence[DataFrame]) -> DataFrame:

@@ -4,19 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
 
 from ..config import SourceSpec
 from ..plans.nightly import run_once
 from ..schema import LANDING_SCHEMA
-from ..sources.payloads import PAYLOAD_KEY, search_hits_scan
-
-# kinds whose entries become items, and the kinds that complete them
-PARTNERS = {"feed": ["page", "posts"], "sitemap": ["page"], "hits": ["replies"]}
+from ..session import cut_lineage
+from ..sources.partners import keep, with_partners
 
 
 def read_landing(spark: SparkSession, path: str, files_per_run: int | None = None) -> DataFrame:
@@ -27,32 +23,6 @@ def read_landing(spark: SparkSession, path: str, files_per_run: int | None = Non
     return reader.parquet(path)
 
 
-def with_partners(batch: DataFrame, landed: DataFrame) -> DataFrame:
-    """The payloads of a batch, and those landed earlier that new ones complete or are completed by.
-
-    Pages, failed posts and their feeds or sitemaps belong together by payload
-    key, replies and hits by story. An earlier payload that none of the new
-    ones touches isn't read again as items.
-    """
-    key = [F.col(c) for c in PAYLOAD_KEY]
-    again = []
-    for kind, partners in PARTNERS.items():
-        old = landed.where(F.col("kind") == kind)
-        if kind == "hits":
-            # a story may be fetched under another number than its replies
-            stories = batch.where("kind = 'replies'").select(F.col("url").alias("story_id")).distinct()
-            told = search_hits_scan(old.where("status = 'ok'")).join(stories, "story_id", "left_semi").select(*key)
-        else:
-            told = batch.where(F.col("kind").isin(partners)).select(*key)
-        again.append(old.join(told.distinct(), PAYLOAD_KEY, "left_semi"))
-    first = reduce(DataFrame.unionByName, [df.select(batch.columns) for df in again], batch)
-    # what only completes others makes no items alone
-    keys = first.where(F.col("kind").isin(*PARTNERS)).select(*key).distinct()
-    late = landed.where((F.col("kind") == "page") | (F.col("kind") == "posts") & (F.col("status") == "failed")).join(keys, PAYLOAD_KEY, "left_semi")
-    replies = landed.where("kind = 'replies'")
-    return first.unionByName(late.select(batch.columns)).unionByName(replies.select(batch.columns))
-
-
 def collect_increment(
     landing: DataFrame,
     snapshot_path: str,
@@ -64,9 +34,10 @@ def collect_increment(
 ) -> StreamingQuery:
     """Every batch of landed payloads is one run, merged into the snapshot.
 
-    Each batch is kept under `landed_path` (beside the snapshot by default), in
-    the folder that driver and executors share, so that a payload meets its
-    partners whichever batch they come in.
+    Payloads that may have partners are kept under `landed_path` (beside the
+    snapshot by default), in a folder that driver and executors share, so that
+    they meet whichever batch they come in. Only items with a payload of the batch
+    are fresh, so an item never comes back over one that replaced it.
 
     All past keys live in the snapshot and not in stream state, which would
     grow without end. The batch number is the run number, and `as_of` gives the
@@ -77,12 +48,11 @@ def collect_increment(
     kept = landed_path or f"{snapshot_path.rstrip('/')}-landed"
 
     def one_run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # a batch that is repeated writes its own folder again
-        batch.write.mode("overwrite").parquet(f"{kept}/batch={batch_id}")
-        landed = spark.read.schema(StructType([*LANDING_SCHEMA, StructField("batch", LongType())])).parquet(kept)
-        new, old = (landed.where(where).drop("batch") for where in (f"batch = {batch_id}", f"batch < {batch_id}"))
-        run_once(with_partners(new, old), snapshot_path, batch_id, as_of(batch_id), sources, parity)
+        new = cut_lineage(batch)
+        keep(new, kept, batch_id)
+        # every chain reads it
+        landed = cut_lineage(with_partners(new, kept, batch_id))
+        run_once(landed, snapshot_path, batch_id, as_of(batch_id), sources, parity)
 
     return (
         landing.writeStream.foreachBatch(one_run)

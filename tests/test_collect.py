@@ -13,7 +13,8 @@ from gleanspark.plans.nightly import run_once
 from gleanspark.schema import LANDING_SCHEMA
 from gleanspark.sources import payloads as S
 from gleanspark.sources.combine import source_fallback
-from gleanspark.sources.snapshot import export_json, latest_run, read_runs, snapshot_scan
+from gleanspark.sources.partners import kept, with_partners
+from gleanspark.sources.snapshot import expire_runs, export_json, is_whole, latest_run, read_files, read_runs, snapshot_scan
 from gleanspark.streaming.increment import collect_increment, read_landing
 
 AS_OF = datetime(2026, 4, 29, 18, tzinfo=timezone.utc)
@@ -250,3 +251,100 @@ def test_partners_meet_whichever_batch_they_land_in(spark, tmp_path):
             query.awaitTermination(300)
             assert query.exception() is None
         assert items(snapshot) == want
+
+
+def feed_of(spark, *payloads):
+    df = spark.createDataFrame([(f"s{i}", 0, p) for i, p in enumerate(payloads)], "source string, seq bigint, payload string")
+    return [[tuple(r)[2:] for r in sorted(S.feed_scan(df).where(F.col("source") == f"s{i}").collect(), key=lambda r: r["pos"])] for i in range(len(payloads))]
+
+
+def test_feeds_that_are_not_well_formed(spark):
+    item = lambda t, u, d="": f"<item><title>{t}</title><link>{u}</link><description>{d}</description></item>"
+    good = item("Good", "http://g")
+    wrap = lambda *items: "<rss><channel>" + "".join(items) + "</channel></rss>"
+    blank, ampersand, unknown, cut, wrong, control, page, nothing = feed_of(
+        spark, '\n <?xml version="1.0"?>' + wrap(good), wrap(item("R&D", "http://a?x=1&y=2"), good), wrap(item("caf&eacute;&nbsp;&amp;eacute; &#65;", "http://e", "a < b"), good),
+        wrap(good, item("Cut", "http://c"))[:-40], wrap(item("<b>Wrong", "http://w"), good), wrap(item("a\x0cb", "http://k", "<![CDATA[<p>x & y</p> ]] > &eacute;]]> &amp; z"), good), "<html><body>no</body></html>", "")
+    good = ("Good", "http://g", "", None)
+    assert blank == [(0, *good)]
+    assert ampersand == [(0, "R&D", "http://a?x=1&y=2", "", None), (1, *good)]
+    assert unknown == [(0, "café\xa0&eacute; A", "http://e", "a < b", None), (1, *good)]
+    assert cut == [(0, *good)] and wrong == [(1, *good)]
+    assert control == [(0, "ab", "http://k", "<p>x & y</p> ]] > &eacute; & z", None), (1, *good)]
+    assert page == [] and nothing == []
+
+
+def test_feed_entries_fall_back_to_other_elements(spark):
+    body = "".join([
+        '<item><title>a</title><guid>http://guid</guid><content:encoded>&lt;p&gt;body&lt;/p&gt;</content:encoded><dc:date>2026-04-27</dc:date></item>',
+        '<item><title>b</title><guid isPermaLink="false">http://no</guid><description>d</description><updated>2026-04-26</updated></item>',
+        '<item><title>c</title><link>http://link</link><guid isPermaLink="true">http://guid</guid><pubDate>2026-04-25</pubDate><dc:date>x</dc:date></item>'])
+    for payload in (f"<rss><channel>{body}</channel></rss>", f"<rss><channel>{body}<item><title>cut"):
+        assert feed_of(spark, payload)[0] == [(0, "a", "http://guid", "<p>body</p>", "2026-04-27"), (1, "b", None, "d", "2026-04-26"), (2, "c", "http://link", "", "2026-04-25")]
+
+
+def test_outcomes_of_reading(spark):
+    entry = "<url><loc>http://l</loc><lastmod>2026-04-28</lastmod></url>"
+    rows = {
+        ("feed", "ok", rss(("t", "http://t", "", NEW))): ("ok", 1), ("feed", "ok", "<rss><channel></channel></rss>"): ("empty", None),
+        ("feed", "ok", rss(("t & t", "http://t", "", NEW))): ("mended", 1), ("feed", "ok", "<html>no</html>"): ("unreadable", None), ("feed", "failed", None): ("failed", None),
+        ("sitemap", "ok", f"<urlset>{entry}</urlset>"): ("ok", 1), ("sitemap", "ok", f"<urlset>{entry}{entry}<url>"): ("mended", 2), ("sitemap", "ok", "nothing"): ("unreadable", None),
+        ("posts", "ok", "[]"): ("empty", 0), ("posts", "ok", "{}"): ("empty", 0), ("posts", "ok", '[{"link": "x"}]'): ("ok", 1), ("posts", "ok", '{"code": 1}'): ("unreadable", None),
+        ("posts", "ok", "[1, 2]"): ("unreadable", None), ("posts", "ok", "[null]"): ("unreadable", None), ("posts", "ok", '[{"link": '): ("unreadable", None), ("posts", "ok", "<p>"): ("unreadable", None),
+        ("hits", "ok", '{"hits": []}'): ("empty", 0), ("hits", "ok", '{"error": 1}'): ("unreadable", None), ("page", "ok", "anything"): ("ok", None), ("page", "ok", None): ("failed", None),
+    }
+    landing = spark.createDataFrame([("s", kind, i, None, status, payload) for i, (kind, status, payload) in enumerate(rows)], LANDING_SCHEMA)
+    told = {r["seq"]: (r["outcome"], r["entries"] or None) for r in S.payload_outcomes(landing).collect()}
+    assert [told[i] for i in range(len(rows))] == [(o, n or None) for o, n in rows.values()]
+
+
+def test_a_late_page_brings_nothing_old_back(spark, tmp_path):
+    """Batch 0: an issue and its first page; batch 1: a feed that lists its item elsewhere; batch 2: a second page alone."""
+    page = lambda name, url: f'<div class="gh-content"><p>A tool: <a href="{url}">{name}</a> is here</p></div>'
+    issues = rss(("Issue 1", "https://n.io/1", "", NEW), ("Issue 2", "https://n.io/2", "", NEW))
+    batches = [
+        [("n", "feed", 0, None, "ok", issues), ("n", "page", 0, "https://n.io/1", "ok", page("Alpha", "https://u1.io"))],
+        [("f", "feed", 0, None, "ok", rss(("Alpha", "https://u9.io", "", NEW)))],
+        [("n", "page", 0, "https://n.io/2", "ok", page("Gamma", "https://u3.io"))],
+    ]
+    specs = [config.SourceSpec("n", 0, "newsletter", 5), config.SourceSpec("f", 1, "feed", 5)]
+    landing, snapshot = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in batches:
+        spark.createDataFrame(part, LANDING_SCHEMA).coalesce(1).write.mode("append").parquet(landing)
+        query = collect_increment(read_landing(spark, landing), snapshot, str(tmp_path / "check"), lambda _: AS_OF, specs)
+        query.awaitTermination(300)
+        assert query.exception() is None
+    assert {(r["name"], r["tool_url"]) for r in snapshot_scan(spark, snapshot).collect()} == {("Alpha", "https://u9.io"), ("Gamma", "https://u3.io")}
+    # the second page met its issue, and nothing else of what had landed
+    store = f"{snapshot}-landed"
+    new = spark.createDataFrame(batches[2], LANDING_SCHEMA)
+    assert sorted((r["kind"], r["batch"]) for r in with_partners(new, store, 2).collect()) == [("feed", 0), ("page", 2)]
+    assert {(r["kind"], r["batch"]) for r in kept(new, store, 9).collect()} == {("feed", 0), ("page", 0), ("feed", 1), ("page", 2)}
+
+
+def test_damaged_runs_are_passed_over_and_old_ones_expire(spark, landing, tmp_path):
+    path = str(tmp_path / "snap")
+    for run in range(4):
+        more = spark.createDataFrame([("TLDR AI", "feed", run, None, "ok", rss((f"Item {run}", f"https://i{run}.io", "", NEW)))], LANDING_SCHEMA)
+        run_once(more, path, run, AS_OF)
+    assert latest_run(spark, path) == 3 and snapshot_scan(spark, path).count() == 4
+    assert read_files(spark, path).where("run_id = 3").agg(F.sum("rows")).first()[0] == 4
+    part = max((tmp_path / "snap" / "items" / "run_id=3").glob("part-*"), key=lambda p: p.stat().st_size)
+    whole = part.read_bytes()
+    # the same size and other content: only a look at the rows tells
+    part.write_bytes(whole[:60] + bytes(b ^ 255 for b in whole[60:90]) + whole[90:])
+    (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    assert is_whole(spark, path, 3) and not is_whole(spark, path, 3, contents=True)
+    assert latest_run(spark, path, contents=True) == 2
+    part.write_bytes(whole[:40])
+    assert latest_run(spark, path) == 2 and snapshot_scan(spark, path).count() == 3
+    part.unlink()
+    assert latest_run(spark, path) == 2
+    # a damaged record is no record
+    record = next((tmp_path / "snap" / "runs" / "run_id=2").glob("part-*"))
+    record.write_bytes(b"PAR1")
+    (record.parent / f".{record.name}.crc").unlink(missing_ok=True)
+    assert latest_run(spark, path) == 1
+    run_once(more, path, 4, AS_OF)
+    assert {r["name"] for r in snapshot_scan(spark, path).collect()} == {"Item 0", "Item 1", "Item 3"}
+    assert expire_runs(spark, path, keep=2) == [0] and latest_run(spark, path, before=4) == 1 and not (tmp_path / "snap" / "items" / "run_id=0").exists()

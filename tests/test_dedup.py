@@ -38,22 +38,48 @@ def test_small_cases(spark, rows, kept):
 def test_equals_the_row_by_row_rule(spark, seed, keys):
     rng = random.Random(seed)
     rows = [(rank, rng.randrange(keys), rng.randrange(keys)) for rank in range(600)]
-    # rounds only, rounds then tail, tail only, and with hot keys spread
-    for options in ({"tail_rows": 0}, {"min_rounds": 1}, {"min_rounds": 0}, {"hot_rows": 3, "tail_rows": 0}):
+    # rounds only, rounds then chains, chains only, and with hot keys spread
+    for options in ({"plain_rounds": 99}, {"plain_rounds": 1}, {"plain_rounds": 0}, {"hot_rows": 3, "plain_rounds": 0}):
         assert greedy(spark, rows, **options) == one_by_one(rows), options
 
 
 def test_one_key_with_a_third_of_the_rows(spark):
     rng = random.Random(7)
     rows = [(rank, rank, 0 if rank % 3 == 0 else rng.randrange(300)) for rank in range(900)]
-    assert greedy(spark, rows, hot_rows=50, tail_rows=0) == one_by_one(rows)
+    assert greedy(spark, rows, hot_rows=50, plain_rounds=0) == one_by_one(rows)
 
 
 def test_long_chain_of_conflicts(spark):
-    rows = [(i, (i + 1) // 2, i // 2) for i in range(400)]
+    rows = [(i, (i + 1) // 2, i // 2) for i in range(20_000)]
     assert greedy(spark, rows) == one_by_one(rows)
 
 
+def test_chains_that_meet(spark):
+    """Chains in which some rows wait for two, or share a key with many."""
+    rng = random.Random(11)
+    rows = [(i, (i + 1) // 2, i // 2) for i in range(300)]
+    rows += [(300 + k, rng.randrange(150), rng.randrange(150)) for k in range(60)]
+    ranks = rng.sample(range(len(rows)), len(rows))
+    for mixed in (rows, [(r, u, n) for r, (_, u, n) in zip(ranks, rows, strict=True)]):
+        assert greedy(spark, mixed, plain_rounds=0) == one_by_one(mixed)
+
+
+def test_more_hot_keys_than_are_spread(spark):
+    rng = random.Random(12)
+    rows = [(rank, rng.randrange(300), rank) for rank in range(3000)]
+    assert greedy(spark, rows, hot_rows=5) == one_by_one(rows)
+
+
+def test_unclean_runs_may_share_their_places(spark):
+    """Rows of two earlier runs with one and the same place: each keeps its own keys."""
+    schema = "source_rank int, seq bigint, pos bigint, name string, tool_url string"
+    fresh = dedup.with_keys(spark.createDataFrame([(0, 0, 0, "new", "http://new")], schema))
+    old = dedup.with_keys(spark.createDataFrame([
+        (0, 0, 0, "a1", "http://one"), (0, 0, 0, "b1", "http://two"), (0, 0, 0, "c1", "http://new"), (0, 0, 1, "b1", "http://three"), (0, 0, 1, "d1", "http://one/")], schema))
+    merged = dedup.cumulative_merge(fresh, old, assume_clean=False)
+    assert sorted((r["name"], r["tool_url"]) for r in merged.collect()) == [("a1", "http://one"), ("b1", "http://two"), ("new", "http://new")]
+
+
 def test_dedup_is_idempotent_and_unique(spark):
     rng = random.Random(3)
     rows = [(rank, rng.randrange(50), rng.randrange(50)) for rank in range(400)]
