@@ -76,9 +76,12 @@ def _zone(part: Column) -> Column:
 
 def _instant(parts: Column) -> Column:
     """Timestamp of the parts; a missing zone means UTC, and an offset of a day or more none at all."""
-    zone = F.when(parts[7] == "", "+00:00").otherwise(_zone(parts[7]))
+    return let(_zone(parts[7]), lambda zone: _instant_in(parts, zone))
+
+
+def _instant_in(parts: Column, zone: Column) -> Column:
     # Spark's own zones end at 18 hours and fail beyond, so the offset is taken off by arithmetic
-    hours, minutes = (F.regexp_extract(zone, r"^[+-](\d{2}):(\d{2})", i).try_cast("int") for i in (1, 2))
+    hours, minutes = (F.substring(zone, at, 2).try_cast("int") for at in (2, 5))
     offset = F.when((hours < 24) & (minutes < 60), (hours * 60 + minutes) * F.when(zone.startswith("-"), -1).otherwise(1))
     seconds = F.concat(_digits(parts[5]), F.lit("."), F.rpad(parts[6], 6, "0"))
     return F.when(
@@ -87,7 +90,7 @@ def _instant(parts: Column) -> Column:
             _number(parts[0]), _month(parts[1]), _number(parts[2]), _number(parts[3]), _number(parts[4]),
             seconds.cast("decimal(16,6)"),
             F.lit("+00:00"),
-        )) - offset * F.lit(60_000_000).cast("bigint")),
+        )) - F.when(zone == "", 0).otherwise(offset) * F.lit(60_000_000).cast("bigint")),
     )
 
 
@@ -106,12 +109,16 @@ def parse_date(text: Column, parity: bool = False) -> Column:
 
 
 def _iso_string(parts: Column) -> Column:
+    return let(_zone(parts[7]), lambda zone: _iso_in(parts, zone))
+
+
+def _iso_in(parts: Column, zone: Column) -> Column:
     fraction = F.when(~parts[6].rlike("^0*$"), F.concat(F.lit("."), F.rpad(parts[6], 6, "0"))).otherwise("")
     iso = F.concat(
         F.lpad(parts[0], 4, "0"), F.lit("-"), _two(_month(parts[1])), F.lit("-"), _two(parts[2]), F.lit("T"),
-        _two(parts[3]), F.lit(":"), _two(parts[4]), F.lit(":"), _two(parts[5]), fraction, _zone(parts[7]),
+        _two(parts[3]), F.lit(":"), _two(parts[4]), F.lit(":"), _two(parts[5]), fraction, zone,
     )
-    return F.when(_instant(parts).isNotNull(), iso)
+    return F.when(_instant_in(parts, zone).isNotNull(), iso)
 
 
 def iso_timestamp(text: Column) -> Column:

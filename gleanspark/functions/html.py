@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Mapping
 from html.entities import html5
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
@@ -154,27 +156,42 @@ def meta_content(html: Column, prop: str) -> Column:
 
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+BLOCKS = {"p", "li"}
 HIDDEN_TAGS = {"script", "style", "template", "rt", "rp"}
 
 
 class _Tree(HTMLParser):
-    """Elements in document order, each with its attributes, parent and range of text nodes.
+    """Elements in document order, read in one pass, each with its attributes and range of text nodes.
 
     An end tag closes everything up to the nearest open element of its name and
-    is ignored when there is none; unclosed elements run to the end.
+    is ignored when there is none; unclosed elements run to the end. What a
+    caller asks of ancestors is carried along: how many elements of a name are
+    open, the nearest paragraph or list item, whether the container is open,
+    and which open rows still lack a child.
     """
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, container: str | None = None, row_class: str | None = None, children: Mapping[str, str] | None = None):
         super().__init__(convert_charrefs=True)
+        self.container, self.row_class, self.children = container, row_class, children or {}
         self.elements: list[dict] = []
         self.texts: list[str] = []
         self.open: list[int] = []
+        self.counts: Counter = Counter()
         self.buffer: list[str] = []
+        self.root: int | None = None
+        self.rows: list[dict] = []
+        # per child: open rows that have none yet, innermost last
+        self.lacking: dict[str, list[dict]] = {out: [] for out in self.children}
         self.feed(html)
         self.close()
         self._flush()
         for index in self.open:
             self.elements[index]["end"] = len(self.texts)
+        shown = [bool(t) for t in self.texts]
+        # how many text nodes that show come before each, and where they stand in all text joined
+        self.before = list(accumulate(shown, initial=0))
+        self.shown = [t for t in self.texts if t]
+        self.joined: dict[str, tuple[str, list[int]]] = {}
 
     def _flush(self):
         if self.buffer:
@@ -190,13 +207,33 @@ class _Tree(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self._flush()
-        parent = self.open[-1] if self.open else None
         values: dict = {}
         for name, value in attrs:
             values[name] = value or ""
-        self.elements.append({"tag": tag, "attrs": values, "parent": parent, "start": len(self.texts), "end": len(self.texts)})
+        index = len(self.elements)
+        element = {"tag": tag, "attrs": values, "start": len(self.texts), "end": len(self.texts), "block": None, "inside": False}
+        if self.open:
+            parent = self.elements[self.open[-1]]
+            element["block"] = parent if parent["tag"] in BLOCKS else parent["block"]
+            element["inside"] = parent["inside"] or self.open[-1] == self.root
+        self.elements.append(element)
+        classes = values.get("class", "").split()
+        if self.root is None and self.container in classes:
+            self.root = index
+        for out, rows in self.lacking.items():
+            if rows and self.children[out] in classes:
+                for row in rows:
+                    row["children"][out] = element
+                rows.clear()
+        if self.row_class in classes:
+            element["children"] = {}
+            self.rows.append(element)
+            if tag not in VOID:
+                for rows in self.lacking.values():
+                    rows.append(element)
         if tag not in VOID:
-            self.open.append(len(self.elements) - 1)
+            self.open.append(index)
+            self.counts[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -205,45 +242,42 @@ class _Tree(HTMLParser):
 
     def handle_endtag(self, tag):
         self._flush()
-        if any(self.elements[i]["tag"] == tag for i in self.open):
-            while True:
-                index = self.open.pop()
-                self.elements[index]["end"] = len(self.texts)
-                if self.elements[index]["tag"] == tag:
-                    break
+        while self.counts[tag]:
+            element = self.elements[self.open.pop()]
+            element["end"] = len(self.texts)
+            self.counts[element["tag"]] -= 1
+            if "children" in element:
+                for rows in self.lacking.values():
+                    if rows and rows[-1] is element:
+                        rows.pop()
+            if element["tag"] == tag:
+                break
 
     def text(self, element: dict, separator: str) -> str:
-        return separator.join(t for t in self.texts[element["start"]:element["end"]] if t)
-
-    def ancestors(self, element: dict) -> Iterator[dict]:
-        while element["parent"] is not None:
-            element = self.elements[element["parent"]]
-            yield element
-
-    def with_class(self, name: str) -> list[dict]:
-        return [e for e in self.elements if name in e["attrs"].get("class", "").split()]
+        """Text nodes of an element that show, joined: a stretch of all of them joined once."""
+        if separator not in self.joined:
+            starts = list(accumulate((len(t) + len(separator) for t in self.shown), initial=0))
+            self.joined[separator] = separator.join(self.shown), starts
+        whole, starts = self.joined[separator]
+        first, last = self.before[element["start"]], self.before[element["end"]]
+        return whole[starts[first]:starts[last] - len(separator)] if last > first else ""
 
 
 def _context_anchors(html: str, container: str | None) -> list[dict]:
-    tree = _Tree(html)
-    root = None
-    if container is not None:
-        roots = tree.with_class(container)
-        if not roots:
-            return []
-        root = roots[0]
-    out = []
+    tree = _Tree(html, container)
+    if container is not None and tree.root is None:
+        return []
+    out, contexts = [], {}
     for element in tree.elements:
-        if element["tag"] != "a" or "href" not in element["attrs"]:
-            continue
-        above = list(tree.ancestors(element))
-        if root is not None and not any(a is root for a in above):
+        if element["tag"] != "a" or "href" not in element["attrs"] or container is not None and not element["inside"]:
             continue
-        block = next((a for a in above if a["tag"] in ("p", "li")), None)
+        block = element["block"]
+        if block is not None and id(block) not in contexts:
+            contexts[id(block)] = tree.text(block, " ")
         out.append({
             "href": element["attrs"]["href"].strip(),
             "text": tree.text(element, ""),
-            "context": tree.text(block, " ") if block else "",
+            "context": contexts[id(block)] if block is not None else "",
         })
     return out
 
@@ -273,15 +307,12 @@ def classed_rows(html: Column, row_class: str, attributes: dict[str, str], child
     @F.pandas_udf(f"array<struct<{', '.join(f'{n}: string' for n in names)}>>")
     def extract(pages: pd.Series) -> pd.Series:
         def rows(page: str) -> list[dict]:
-            tree = _Tree(page or "")
-            below: dict[str, list[tuple[dict, dict]]] = {
-                out: [(e, a) for e in tree.with_class(cls) for a in tree.ancestors(e)] for out, cls in children.items()
-            }
+            tree = _Tree(page or "", row_class=row_class, children=children)
             found = []
-            for row in tree.with_class(row_class):
+            for row in tree.rows:
                 record = {out: row["attrs"].get(attr) for out, attr in attributes.items()}
-                for out, pairs in below.items():
-                    child = next((e for e, a in pairs if a is row), None)
+                for out in children:
+                    child = row["children"].get(out)
                     record[out] = tree.text(child, "") if child else ""
                 found.append(record)
             return found

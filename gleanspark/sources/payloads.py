@@ -68,9 +68,12 @@ def _entry(title: Column, link: Column, summary: Column, published: Column) -> C
 def _mended(payload: Column, tag: str, fields: str, entry) -> Column:
     """Entries of a feed or sitemap that isn't well-formed: each `tag` element is cut out, repaired and read by itself.
 
-    An element that can't be read even so is null and costs no other.
+    An element that can't be read even so, or isn't closed, is null and costs no other.
     """
-    cut = F.regexp_extract_all(payload, F.lit(rf"(?s)<{tag}(?=[\s>]).*?</{tag}\s*>"), F.lit(0))
+    # from one start tag to the next; one that isn't closed before then has no end
+    pieces = F.slice(F.split(payload, rf"(?=<{tag}[\s>])", -1), 2, 2_000_000_000)
+    end = lambda piece: F.instr(piece, f"</{tag}")
+    cut = F.transform(pieces, lambda piece: F.when(end(piece) > 0, F.concat(F.substr(piece, F.lit(1), end(piece) - 1), F.lit(f"</{tag}>"))))
     # a wrapping element makes a missing entry tell from an empty one
     read = lambda e: F.from_xml(F.concat(F.lit("<r>"), H.repaired_xml(e), F.lit("</r>")), f"{tag} struct<{fields}>", XML_OPTIONS)[tag]
     return F.transform(cut, lambda e: let(read(e), lambda r: F.when(r.isNotNull(), entry(r))))

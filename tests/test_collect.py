@@ -272,6 +272,8 @@ def test_feeds_that_are_not_well_formed(spark):
     assert cut == [(0, *good)] and wrong == [(1, *good)]
     assert control == [(0, "ab", "http://k", "<p>x & y</p> ]] > &eacute; & z", None), (1, *good)]
     assert page == [] and nothing == []
+    # an entry that isn't closed takes none with it
+    assert feed_of(spark, "<rss><item><title>Open" + wrap(item("a", "http://a")))[0] == [(1, "a", "http://a", "", None)]
 
 
 def test_feed_entries_fall_back_to_other_elements(spark):
@@ -322,11 +324,11 @@ def test_a_late_page_brings_nothing_old_back(spark, tmp_path):
     assert {(r["kind"], r["batch"]) for r in kept(new, store, 9).collect()} == {("feed", 0), ("page", 0), ("feed", 1), ("page", 2)}
 
 
-def test_damaged_runs_are_passed_over_and_old_ones_expire(spark, landing, tmp_path):
-    path = str(tmp_path / "snap")
+def test_damaged_runs_are_passed_over_and_old_ones_expire(spark, tmp_path):
+    path, specs = str(tmp_path / "snap"), [config.SourceSpec("TLDR AI", 0, "feed", 20)]
     for run in range(4):
         more = spark.createDataFrame([("TLDR AI", "feed", run, None, "ok", rss((f"Item {run}", f"https://i{run}.io", "", NEW)))], LANDING_SCHEMA)
-        run_once(more, path, run, AS_OF)
+        run_once(more, path, run, AS_OF, specs)
     assert latest_run(spark, path) == 3 and snapshot_scan(spark, path).count() == 4
     assert read_files(spark, path).where("run_id = 3").agg(F.sum("rows")).first()[0] == 4
     part = max((tmp_path / "snap" / "items" / "run_id=3").glob("part-*"), key=lambda p: p.stat().st_size)
@@ -345,6 +347,6 @@ def test_damaged_runs_are_passed_over_and_old_ones_expire(spark, landing, tmp_pa
     record.write_bytes(b"PAR1")
     (record.parent / f".{record.name}.crc").unlink(missing_ok=True)
     assert latest_run(spark, path) == 1
-    run_once(more, path, 4, AS_OF)
+    run_once(more, path, 4, AS_OF, specs)
     assert {r["name"] for r in snapshot_scan(spark, path).collect()} == {"Item 0", "Item 1", "Item 3"}
     assert expire_runs(spark, path, keep=2) == [0] and latest_run(spark, path, before=4) == 1 and not (tmp_path / "snap" / "items" / "run_id=0").exists()

@@ -57,3 +57,28 @@ def test_unclosed_anchor_and_markup_in_attributes(values):
     page = """<a title="a > b" href="/1">one<a class="x""  href = /2 >two</a><a data-x='href="no"' href=/3>three"""
     assert values(H.hrefs(S), [page]) == [["/1", "/2", "/3"]]
     assert [tuple(a) for a in values(H.anchors(S), [page])[0]] == [("/1", "one"), ("/2", "two"), ("/3", "three")]
+
+
+def test_pages_of_unclosed_elements_take_proportional_time():
+    from time import process_time
+
+    from gleanspark.functions.html import _Tree
+
+    def seconds(n):
+        start = process_time()
+        _Tree("<div class='x'>" + "<p>some text <b>more</p>" * n + "<p>" * n + "</q>" * n, "x")
+        tree = _Tree("<div class='row'><span class='name'>a" * n, row_class="row", children={"name": "name", "tag": "tag"})
+        assert len(tree.rows) == n and tree.rows[0]["children"]["name"]["start"] == 0
+        return process_time() - start
+
+    seconds(100)
+    assert seconds(20_000) < 40 * seconds(2_000)
+
+
+def test_rows_inside_rows():
+    from gleanspark.functions.html import _Tree
+
+    tree = _Tree('<div class="row"><i class="n">a</i><div class="row n">b<i class="n">c</i></div><i class="t">d</i></div><i class="n">e</i><div class="row">',
+                 row_class="row", children={"n": "n", "t": "t"})
+    told = [{out: tree.text(child, "") for out, child in row["children"].items()} for row in tree.rows]
+    assert told == [{"n": "a", "t": "d"}, {"n": "c"}, {}]
