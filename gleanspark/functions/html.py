@@ -25,6 +25,8 @@ HREF = rf"""(?is)<a(?=[\s/])(?:{GAP}(?!href[\s=]){ATTRIBUTE})*+{GAP}href\s*+=\s*
 ANCHOR = rf"""(?is)<a(?=[\s/])(?:{GAP}{ATTRIBUTE})*+{GAP}>.*?(?:</a\s*>|(?=<a[\s/>])|$)"""
 META = r"""(?is)<meta(?=[\s"'/])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+# in page text a reference may also end before any other character
+BARE_ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31})(?=[^A-Za-z0-9])"
 
 # The five most common entities are tried before the full table.
 COMMON_ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "nbsp": " "}
@@ -44,8 +46,8 @@ def _character(code: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
 
 
-def decode_entities(text: Column) -> Column:
-    """Character references replaced by their characters; unknown ones stay."""
+def decode_entities(text: Column, bare: bool = False) -> Column:
+    """Character references replaced by their characters; unknown ones stay. With `bare` they need no semicolon."""
     table = _entity_table()
 
     def character(name: Column) -> Column:
@@ -62,10 +64,10 @@ def decode_entities(text: Column) -> Column:
 
     def piece(part: Column, index: Column) -> Column:
         def replaced(name: Column) -> Column:
-            tail = F.substr(part, F.length(name) + 2)
+            tail = F.substr(part, F.length(name) + (F.when(F.substr(part, F.length(name) + 1, F.lit(1)) == ";", 2).otherwise(1) if bare else 2))
             return F.coalesce(F.concat(F.when(name != "", character(name)), tail), F.concat(F.lit("&"), part))
 
-        return F.when(index == 0, part).otherwise(let(F.regexp_extract(part, ENTITY, 1), replaced))
+        return F.when(index == 0, part).otherwise(let(F.regexp_extract(part, BARE_ENTITY if bare else ENTITY, 1), replaced))
 
     decoded = F.array_join(F.transform(F.split(text, "&", -1), piece), "")
     return F.when(text.contains("&"), decoded).otherwise(text)
@@ -101,7 +103,7 @@ def repaired_xml(markup: Column) -> Column:
 def _text_nodes(html: Column) -> Column:
     visible = F.regexp_replace(html, HIDDEN, BREAK)
     marked = F.regexp_replace(visible, TAG, BREAK)
-    return F.split(decode_entities(marked), BREAK, -1)
+    return F.split(decode_entities(marked, bare=True), BREAK, -1)
 
 
 def html_to_text(html: Column) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import config
 from ..config import SourceSpec, default_sources
@@ -20,7 +20,7 @@ from ..functions import html as H, text as X
 from ..functions.dates import as_instant, epoch_to_iso, is_recent, parse_date
 from ..operators.dedup import distinct_first, distinct_links_per_article
 from ..operators.items import cap_per_source, item_columns
-from ..operators.joins import blocklist_anti, first_author_reply, last_by_slug, lookup_by_slug
+from ..operators.joins import blocklist_anti, first_author_reply
 from ..sources import payloads as S
 from ..sources.combine import source_fallback, union_sources
 
@@ -180,10 +180,11 @@ def sitemap_rows(run: Run) -> DataFrame:
 def embedded_rows(run: Run) -> DataFrame:
     """Tools in a page's script data; tiers and dates are looked up by slug."""
     objects = S.embedded_payload_scan(run.landed(run.specs("embedded"), "embedded"))
-    key = [*S.PAYLOAD_KEY, "slug"]
-    facts = last_by_slug(objects, ["tier", "date"], key)
-    tools = objects.where(F.col("name").isNotNull()).drop("tier", "date")
-    rows = lookup_by_slug(tools, facts, {"tier": config.UNKNOWN_PRICING, "date": ""}, key, hot_rows=None)
+    # slugs repeat within a payload only, so its objects tell each other in one window
+    same = Window.partitionBy(*S.PAYLOAD_KEY, "slug")
+    last = lambda value: F.max_by(value, F.when(F.col(value).isNotNull(), F.col("pos"))).over(same)
+    facts = {"tier": F.coalesce(last("tier"), F.lit(config.UNKNOWN_PRICING)), "date": F.coalesce(last("date"), F.lit(""))}
+    rows = objects.withColumns(facts).where(F.col("name").isNotNull())
     return _raw(rows.where(run.recent("date")), "name", "website_url", F.col("description"), "date", X.map_pricing_tier(F.col("tier")))
 
 

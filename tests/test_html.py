@@ -82,3 +82,8 @@ def test_rows_inside_rows():
                  row_class="row", children={"n": "n", "t": "t"})
     told = [{out: tree.text(child, "") for out, child in row["children"].items()} for row in tree.rows]
     assert told == [{"n": "a", "t": "d"}, {"n": "c"}, {}]
+
+
+def test_references_without_a_semicolon(values):
+    assert values(H.html_to_text(F.col("s")), ["&copy 2024 &amp b", "caf&eacute<b>x</b>", "&#233 &#xe9, &bogus x &copyx;", "a&copy", "R&D &notit;"]) == [
+        "© 2024 & b", "café x", "é é, &bogus x &copyx;", "a&copy", "R&D &notit;"]
