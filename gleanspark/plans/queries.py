@@ -11,6 +11,7 @@ from .. import config
 from ..functions import dates as D, html as H, text as X
 from ..operators import dedup, items as I, joins as J, triage as T
 from ..sources import payloads as S
+from ..sources.bucketed import bucketed_scan, bucketed_stats, merge_into_buckets
 from ..sources.combine import source_fallback, union_sources
 from . import oracle as O, samples
 from ..session import cut_lineage, shared_folder
@@ -407,6 +408,28 @@ def _run_stats(spark, sf):
     return I.run_stats(snapshot, fresh, previous, AS_OF.isoformat())
 
 
+def _merged_in_buckets(spark, sf) -> tuple[DataFrame, str]:
+    """The previous rows as run 0 and the fresh ones as run 1 of a store in buckets; what its rows look like, and its path."""
+    path = _new_folder(spark)
+    fresh, previous = _fresh_and_previous(spark, sf)
+    merge_into_buckets(previous, path, 0, AS_OF.isoformat())
+    merge_into_buckets(fresh, path, 1, AS_OF.isoformat())
+    return fresh, path
+
+
+@query("merge_buckets", f"WITH RECURSIVE {O.DOCS}, {MERGED} SELECT rank, name, tool_url, source FROM docs WHERE rank IN (SELECT r FROM merged) AND length({O.strip('name')}) >= 3")
+def _merge_buckets(spark, sf):
+    like, path = _merged_in_buckets(spark, sf)
+    return bucketed_scan(like, path).select("rank", "name", "tool_url", "source")
+
+
+@query("run_stats_buckets", f"""WITH RECURSIVE {O.DOCS}, {MERGED} SELECT {O.lit(O.AS_OF_ISO)} AS generated_at,
+    (SELECT count(*) FROM merged JOIN docs ON rank = r WHERE length({O.strip('name')}) >= 3) AS count,
+    (SELECT count(*) FROM fr WHERE u NOT IN (SELECT u FROM pv JOIN docs ON rank = r WHERE length({O.strip('name')}) >= 3)) AS new_today""")
+def _stats_buckets(spark, sf):
+    return bucketed_stats(spark, _merged_in_buckets(spark, sf)[1]).where("run_id = 1").drop("run_id")
+
+
 @query("newest_first", f"SELECT event_id, {LENIENT} AS date_iso FROM events ORDER BY date_iso DESC, event_id")
 def _newest_first(spark, sf):
     rows = _written(spark, sf).select("event_id", D.parse_date(F.col("written")).alias("date_iso"))

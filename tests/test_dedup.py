@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanspark.operators import dedup, items as I, joins as J
 from gleanspark.operators.skew import balanced_join, hot_keys
+from gleanspark.sources.bucketed import bucketed_scan, bucketed_stats, expire_buckets, merge_into_buckets
 
 
 def one_by_one(rows):
@@ -201,3 +202,24 @@ def test_lookup_takes_the_last_value_that_is_there(spark):
     tools = spark.createDataFrame([("a",), ("b",)], "slug string")
     rows = J.lookup_by_slug(tools, facts, {"tier": "unknown", "date": ""}).collect()
     assert sorted(tuple(r) for r in rows) == [("a", "paid", "d"), ("b", "unknown", "")]
+
+
+def test_runs_in_buckets_equal_whole_merges(spark, tmp_path):
+    """Runs of any size, repeated ones, and ones that leave buckets empty; the store is what cumulative_merge makes of the same rows."""
+    rng, path, whole = random.Random(4), str(tmp_path / "store"), {}
+    for run, size in enumerate((60, 8, 0, 1, 40)):
+        rows = [(run * 100 + k, f"u{rng.randrange(90)}", f"n{rng.randrange(90)}", rng.choice(["a name", "x"])) for k in range(size)]
+        fresh = dedup.greedy_dedup(spark.createDataFrame(rows, "pos bigint, url_key string, name_key string, name string"), ["pos"])
+        for _ in range(2 if run == 1 else 1):
+            stats = merge_into_buckets(fresh, path, run, "now", buckets=7)
+        fresh = {(r["pos"], r["url_key"], r["name_key"], r["name"]) for r in fresh.collect()}
+        urls, names = {r[1] for r in fresh}, {r[2] for r in fresh}
+        assert stats["new_today"] == len(urls - {r[1] for r in whole.get(run - 1, ())})
+        whole[run] = {r for r in whole.get(run - 1, set()) if r[1] not in urls and r[2] not in names} | {r for r in fresh if len(r[3]) >= 3}
+        like = spark.createDataFrame([], "pos bigint, url_key string, name_key string, name string")
+        assert {tuple(r) for r in bucketed_scan(like, path).collect()} == whole[run] and stats["count"] == len(whole[run])
+    assert {tuple(r) for r in bucketed_scan(like, path, before=2).collect()} == whole[1]
+    assert [r["count"] for r in bucketed_stats(spark, path).orderBy("run_id").collect()] == [len(whole[r]) for r in range(5)]
+    # the run of one row wrote one bucket, or two if it replaced a row elsewhere
+    assert len(list((tmp_path / "store" / "items" / "run_id=3").glob("bucket=*"))) <= 3
+    assert expire_buckets(spark, path, 1) > 4 and {tuple(r) for r in bucketed_scan(like, path).collect()} == whole[4]
