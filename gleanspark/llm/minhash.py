@@ -10,13 +10,15 @@ coordinate with a probability equal to their Jaccard similarity, concentrated
 as if the coordinates were drawn without replacement, and large sets need a
 round or two where plain MinHash hashes them once per coordinate.
 
-Sets that agree in all coordinates of a band meet. Copies meet as one. Of those
-that meet in a band, each is first compared, on the full sets, with the smallest;
-members that are then not yet connected are compared with each other: band by
-band where few share it, and in blocks of bounded size where many do, by
-their sketches first. No pair within a component need be compared, so large
-groups of near copies cost one comparison a member; no pair that could join two
-components is left out, whatever the size of a band's group.
+Sets that agree in all coordinates of a band meet. Copies meet as one. In a few
+rounds one member of each band is compared, on the full sets, with all members
+that aren't yet connected with it. What is then still apart is compared with each
+other: band by band where few share it, and in blocks of bounded size where many
+do, by their sketches first and then by halves of the sets' hashes, so that what
+leaves a block is linked up to chance. No pair within a component need be
+compared, so large groups of near copies cost a few comparisons a member; no
+pair that could join two components is left out, whatever the size of a band's
+group.
 
 A pair just as alike as asked for is missed with a probability of at most
 1 - FOUND. Sets and elements are told apart by 64-bit hashes, up to chance
@@ -47,6 +49,8 @@ ROWS = 5
 FOUND = 1 - 4e-6
 #: A band shared by more sets than this is compared in blocks.
 PAIRED = 32
+#: Rounds in which one member of each band is compared with all others.
+STARS = 4
 #: Sets in a block; pairs of a set with one other in a task.
 BLOCK, PER_TASK = 1_024, 2_000
 ROWS_AT_ONCE = 4_000
@@ -142,18 +146,20 @@ def named(id_column: str, text_column: str) -> list[Column]:
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, width: int, id_column: str, text_column: str) -> DataFrame:
-    """(node, elements): the sets of the written `nodes` (node, text_key), taken from the texts once more."""
+    """(node, elements, short: the upper half of each): the sets of the written `nodes` (node, text_key), taken from the texts once more."""
 
     def run(batches):
         for batch in sliced(batches, 0, ROWS_AT_ONCE):
             elements, bounds = shingle_sets(batch.column(0), width)
             lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(elements.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(set_hashes(elements, bounds).view(np.int64)), lists], names=["node", "elements"])
+            halves = (elements >> np.uint64(32)).astype("<u4")
+            short = pa.array([halves[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(set_hashes(elements, bounds).view(np.int64)), lists, short], names=["node", "elements", "short"])
 
     keys = nodes.select("text_key")
     keys = F.broadcast(keys) if small(keys, 24) else keys
     texts = docs.select(*named(id_column, text_column)[1:]).join(keys, "text_key", "left_semi").select("text")
-    return texts.mapInArrow(tidy(run), "node long, elements array<long>").dropDuplicates(["node"])
+    return texts.mapInArrow(tidy(run), "node long, elements array<long>, short binary").dropDuplicates(["node"])
 
 
 def alike(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -175,54 +181,69 @@ def links(reps: DataFrame, sets_of, num: int, den: int, bands: int, rows: int) -
     """
     # den * min >= num * max is needed of the sizes
     sizes = lambda x, y: den * F.least(x, y) >= num * F.greatest(x, y)
+    ends = lambda pairs: pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     keyed = reps.select("node", "n", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("pivot"), F.count("*").alias("members")).filter("members > 1")
-    members = written(keyed.join(shared, "key").select("key", "node", "n", "members", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n")), "members")
-    stars = members.filter((F.col("node") != F.col("pivot")) & sizes(F.col("n"), F.col("pivot_n"))).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    stars = written(stars.distinct(), "stars")
-    sets = sets_of(stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct())
-    first = written(alike(stars, sets, num, den), "first-links")
-
-    nodes = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    labels = components(nodes.withColumn("least", F.col("node")), first).select("node", "label")
-    told = written(members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
-    # bands that hold several components still
-    open_ = told.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.when(F.col("node") == F.col("pivot"), F.col("label"))).alias("home"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    told = written(keyed.join(shared, "key").withColumn("label", F.col("node")), "members")
+    edges = found = None
+    for step in range(STARS):
+        # a member of each band that holds several components is compared with those outside its own
+        order = F.xxhash64("node", F.lit(step)) if step else F.col("node")
+        first = F.min(F.struct(order.alias("order"), "node", "n", "label")).alias("p")
+        centre = told.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), first).filter("low != high").select("key", "p.*")
+        centre = centre.select("key", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("label").alias("home"))
+        rays = told.join(centre, "key").filter((F.col("label") != F.col("home")) & sizes(F.col("n"), F.col("a_n"))).select("a", F.col("node").alias("b"))
+        rays = written(rays.distinct(), "stars")
+        found = written(alike(rays, sets_of(ends(rays)), num, den), "star-links")
+        edges = found if edges is None else edges.union(found)
+        if found.isEmpty():
+            break
+        labels = components(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("least", F.col("node")), edges).select("node", "label")
+        told = written(told.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+    # bands that hold several components still; every pair left has a member outside the largest label
+    open_ = told.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.mode("label", True).alias("home"))
     rest = written(told.join(open_.filter("low != high").select("key", "home"), "key"), "open-bands")
-    few = rest.filter((F.col("members") <= PAIRED) & (F.col("node") != F.col("pivot")))
+    few = rest.filter(F.col("members") <= PAIRED)
     a, b = few.alias("a"), few.alias("b")
     pairs = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & sizes(F.col("a.n"), F.col("b.n")))
              .select(F.col("a.node").alias("a"), F.col("b.node").alias("b")))
-    # every pair left in a crowded band has a member outside the smallest member's component: those against all, in blocks
     crowd = rest.filter(F.col("members") > PAIRED)
-    crowd = crowd.join(reps.select("node", "marks"), "node")
     out = crowd.filter("label != home").groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("down"))
     across = F.ceil(F.col("members") / BLOCK).cast("int")
     crowd = written(crowd.join(out, "key").withColumn("across", across), "crowded-bands")
     of = lambda column: F.pmod(F.xxhash64("node"), F.col(column)).cast("int")
     every = lambda column: F.explode(F.sequence(F.lit(0), F.col(column) - 1))
-    fields = ["key", "i", "j", "node", "n", "label", "marks"]
-    left = crowd.filter("label != home").withColumn("i", of("down")).withColumn("j", every("across")).select(fields)
-    right = crowd.withColumn("j", of("across")).withColumn("i", every("down")).select(fields)
+    fields = ["key", "i", "j", "node", "n", "label", "marks", "keys", "short"]
+    known = reps.select("node", "marks", "keys").join(sets_of(crowd.select("node").distinct()).select("node", "short"), "node")
+    left = crowd.filter("label != home").withColumn("i", of("down")).withColumn("j", every("across")).join(known, "node").select(fields)
+    right = crowd.withColumn("j", of("across")).withColumn("i", every("down")).join(known, "node").select(*[F.col(c).alias(f"{c}_") for c in fields])
     size = bands * rows
     needed = size * num / den - 6 * sqrt(size * num / den * (1 - num / den))
 
-    def compare(_, x, y):
-        marks = np.frombuffer(b"".join(y["marks"]), "<u2").reshape(len(y), -1) if len(y) else None
-        ids, n, label, found = y["node"].to_numpy(), y["n"].to_numpy(), y["label"].to_numpy(), []
-        for node, size_, own, mark in zip(x["node"], x["n"], x["label"], x["marks"], strict=True):
+    def compare(key, x, y):
+        y.columns = fields
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        marks, keys_ = np.frombuffer(b"".join(y["marks"]), "<u2").reshape(len(y), -1), np.array(y["keys"].tolist())
+        ids, n, label, out = y["node"].to_numpy(), y["n"].to_numpy(), y["label"].to_numpy(), []
+        for node, size_, own, mark, bands_, short in zip(x["node"], x["n"], x["label"], x["marks"], x["keys"], x["short"], strict=True):
             fits = np.flatnonzero((label != own) & (den * np.minimum(n, size_) >= num * np.maximum(n, size_)))
-            same = (marks[fits] == np.frombuffer(mark, "<u2")).sum(axis=1)
-            found += [(min(node, o), max(node, o)) for o in ids[fits[same >= needed]].tolist()]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    keys = ["key", "i", "j"]
-    blocks = left.groupBy(keys).cogroup(right.groupBy(keys)).applyInPandas(compare, "a long, b long")
+            # a pair belongs to the first band that it shares
+            same = keys_[fits] == np.array(bands_)
+            fits = fits[np.array(bands_)[same.argmax(axis=1)] == key[0]]
+            fits = fits[(marks[fits] == np.frombuffer(mark, "<u2")).sum(axis=1) >= needed]
+            mine = np.frombuffer(short, "<u4")
+            for i in fits.tolist():
+                # halves of the hashes: never fewer in common than the sets have
+                both = len(np.intersect1d(mine, np.frombuffer(y["short"].iloc[i], "<u4"), assume_unique=True))
+                if den * both >= num * (size_ + n[i] - both):
+                    out.append((min(node, ids[i]), max(node, ids[i])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    block = ["key", "i", "j"]
+    blocks = left.groupBy(block).cogroup(right.groupBy([f"{c}_" for c in block])).applyInPandas(compare, "a long, b long")
     pairs = written(pairs.union(blocks).distinct(), "open-pairs")
-    if pairs.isEmpty():
-        return first
-    sets = sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-    return first.union(alike(pairs, sets, num, den)).distinct()
+    return edges if pairs.isEmpty() else edges.union(alike(pairs, sets_of(ends(pairs)), num, den)).distinct()
 
 
 def near_copies(docs: DataFrame, num: int = 80, den: int = 100, width: int = 2, rows: int = ROWS, id_column: str = "doc_id", text_column: str = "text",
