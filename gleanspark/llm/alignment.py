@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ from gleanspark.llm.common import mixed, sliced, table, tidy, written
 
 #: Bytes of text and rows in a block.
 BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 20_000
-#: Windows and words that a task remembers before it starts anew.
-REMEMBERED = 300_000
+#: Windows that a task remembers before it starts anew.
+REMEMBERED = 100_000
 _MARK = "▁"
 
 
@@ -53,17 +54,28 @@ class Pieces:
             raise ValueError("pieces that go on past a space can't be told apart word by word")
         self.token_bytes = [bytes([int(n[3:5], 16)]) if self.model.is_byte(i) else n.replace(_MARK, " ").encode() for i, n in enumerate(names)]
         self.token_length = np.array([len(b) for b in self.token_bytes], dtype=np.int64)
+        self.token_start = np.cumsum(self.token_length) - self.token_length
+        self.flat = np.frombuffer(b"".join(self.token_bytes), dtype=np.uint8)
         self.space = self.model.piece_to_id(_MARK)
 
     def distinct(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids, starts, lengths, fine): piece i, which starts with a space, has ids[starts[i]:starts[i] + lengths[i]];
         fine[i]: their bytes are the piece's. The model adds the first space itself."""
         found = self.model.encode([p[1:] for p in pieces], num_threads=1)
-        # of nothing the model makes nothing, not even the space
-        found = [[self.space] if p == " " else ids for p, ids in zip(pieces, found, strict=True)]
-        fine = np.array([b"".join([self.token_bytes[i] for i in ids]) == p.encode() for p, ids in zip(pieces, found, strict=True)], dtype=bool)
-        lengths = np.array([len(ids) for ids in found], dtype=np.int64)
-        return np.array([i for ids in found for i in ids], dtype=np.uint32), np.cumsum(lengths) - lengths, lengths, fine
+        if " " in pieces:
+            # of nothing the model makes nothing, not even the space
+            found[pieces.index(" ")] = [self.space]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
+        whole = [p.encode() for p in pieces]
+        size = np.fromiter(map(len, whole), np.int64, len(whole))
+        there, starts = np.concatenate([[0], np.cumsum(self.token_length[ids])]), np.cumsum(lengths) - lengths
+        fine = there[starts + lengths] - there[starts] == size
+        flat = gathered(self.flat, self.token_start[ids], self.token_length[ids]).tobytes()
+        if not fine.all() or flat != b"".join(whole):
+            at = there[starts].tolist()
+            fine &= np.array([flat[i:i + n] == w for i, n, w in zip(at, size.tolist(), whole, strict=True)], dtype=bool)
+        return ids, starts, lengths, fine
 
 
 def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -72,23 +84,9 @@ def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return flat[np.repeat(starts - done + lengths, lengths) + np.arange(done[-1] if len(done) else 0)]
 
 
-def aligned(a: tuple, b: tuple, length_a: np.ndarray, length_b: np.ndarray) -> tuple[str, int, list[tuple[int, int]]]:
-    """(groups as text, their number, links) of one window: cut wherever tokens of both sides end, linked where bytes overlap."""
-    groups, links, i, j, from_a, from_b = [], [], 0, 0, 0, 0
-    end_a, end_b = int(length_a[a[0]]), int(length_b[b[0]])
-    while True:
-        links.append((a[i], b[j]))
-        next_a, next_b = end_a <= end_b, end_b <= end_a
-        i, j = i + next_a, j + next_b
-        if next_a and next_b:
-            groups.append(",".join(map(str, a[from_a:i])) + "|" + ",".join(map(str, b[from_b:j])))
-            from_a, from_b = i, j
-            if i == len(a):
-                return ";".join(groups), len(groups), links
-        if next_a:
-            end_a += int(length_a[a[i]])
-        if next_b:
-            end_b += int(length_b[b[j]])
+def named(tokens: int, mark: str) -> np.ndarray:
+    """Each id as text, with a mark after it."""
+    return np.array([f"{i}{mark}" for i in range(tokens)], dtype=object)
 
 
 class Aligner:
@@ -99,6 +97,7 @@ class Aligner:
         self.length = self.a.token_length, self.b.token_length
         self.spaced = tuple(np.array([t.startswith(b" ") for t in side.token_bytes]) for side in (self.a, self.b))
         self.known: dict = {}
+        self.with_mark = {mark: named(max(map(len, self.length)), mark) for mark in ",|;"}
 
     def tokens(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids_a, bounds_a, ids_b, bounds_b) of a space and each text; none where the text is null or empty, or bytes differ."""
@@ -135,14 +134,52 @@ class Aligner:
         anchor |= np.isin(at_a, bounds_a)
         return np.concatenate([[0], at_a[anchor]]).astype(np.int64), np.concatenate([[0], at_b[anchor]]).astype(np.int64)
 
-    def one(self, a: np.ndarray, b: np.ndarray) -> tuple[str, int, np.ndarray]:
-        key = tuple(a.tolist()), tuple(b.tolist())
-        found = self.known.get(key)
-        if found is None:
-            if len(self.known) >= REMEMBERED:
+    def aligned(self, ids_a: np.ndarray, sizes_a: np.ndarray, ids_b: np.ndarray, sizes_b: np.ndarray) -> list[tuple[str, int, bytes]]:
+        """(groups as text, their number, links as 64-bit a << 32 | b) of each window; window i has the next sizes_a[i] and sizes_b[i] ids.
+
+        All windows lie end to end, and both sides of a window have the same bytes, so
+        every end of a token, shared or not, ends the overlap of one pair of tokens,
+        and shared ends end groups.
+        """
+        ends_a, ends_b = np.cumsum(self.length[0][ids_a]), np.cumsum(self.length[1][ids_b])
+        ends = np.union1d(ends_a, ends_b)
+        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        links = (ids_a[at_a].astype(np.int64) << 32 | ids_b[at_b]).tobytes()
+        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        last_a, last_b = shared[group_a] == ends_a, shared[group_b] == ends_b
+        # group by group, first the ids of a, then those of b
+        order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
+        mark = self.with_mark
+        names = np.concatenate([np.where(last_a, mark["|"][ids_a], mark[","][ids_a]), np.where(last_b, mark[";"][ids_b], mark[","][ids_b])])[order].tolist()
+        window = np.repeat(np.arange(len(sizes_a)), sizes_a)
+        bounds = lambda n: np.concatenate([[0], np.cumsum(n)]).tolist()
+        n_groups = np.bincount(window[last_a], minlength=len(sizes_a)).tolist()
+        to_name, to_link = bounds(sizes_a + sizes_b), bounds(8 * np.bincount(window[at_a], minlength=len(sizes_a)))
+        return [("".join(names[to_name[i]:to_name[i + 1]]), n_groups[i], links[to_link[i]:to_link[i + 1]]) for i in range(len(sizes_a))]
+
+    def remembered(self, ids_a: np.ndarray, from_a: np.ndarray, ids_b: np.ndarray, from_b: np.ndarray, some: np.ndarray) -> list[tuple[str, int, bytes]]:
+        """aligned() of the windows `some`; those met before are looked up by their ids, a mark between the two sides."""
+        size_a, size_b = np.diff(from_a)[some], np.diff(from_b)[some]
+        own_a, own_b = gathered(ids_a, from_a[some], size_a), gathered(ids_b, from_b[some], size_b)
+        ends = np.cumsum(size_a + size_b + 1)
+        place = ends - size_b - 1
+        ids = np.full(int(ends[-1]) if len(ends) else 0, 0xFFFFFFFF, dtype=np.uint32)
+        # a's ids, the mark, b's ids
+        ids[np.arange(len(own_a)) + np.repeat(ends - size_a - size_b - 1 - (np.cumsum(size_a) - size_a), size_a)] = own_a
+        ids[np.arange(len(own_b)) + np.repeat(place + 1 - (np.cumsum(size_b) - size_b), size_b)] = own_b
+        data, cut = ids.tobytes(), [0, *(4 * ends).tolist()]
+        keys = [data[i:j] for i, j in zip(cut, cut[1:])]
+        found = [self.known.get(k) for k in keys]
+        new = np.array([i for i, f in enumerate(found) if f is None], dtype=np.int64)
+        if len(new):
+            if len(self.known) + len(new) > REMEMBERED:
                 self.known.clear()
-            text, n, links = aligned(*key, *self.length)
-            found = self.known[key] = text, n, np.array([x << 32 | y for x, y in links], dtype=np.int64)
+            fresh = np.zeros(len(some), dtype=bool)
+            fresh[new] = True
+            results = self.aligned(own_a[np.repeat(fresh, size_a)], size_a[new], own_b[np.repeat(fresh, size_b)], size_b[new])
+            for i, result in zip(new.tolist(), results, strict=True):
+                found[i] = self.known[keys[i]] = result
         return found
 
     def block(self, texts: pa.Array) -> Block:
@@ -158,17 +195,17 @@ class Aligner:
         else:
             hashes = np.zeros(0, dtype=np.uint64)
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        found = [self.one(ids_a[from_a[i]:from_a[i + 1]], ids_b[from_b[i]:from_b[i + 1]]) for i in first]
+        found = self.remembered(ids_a, from_a, ids_b, from_b, first)
         names = np.array([f[0] for f in found], dtype=object)
-        n_groups, n_links = np.array([f[1] for f in found], dtype=np.int64), np.array([len(f[2]) for f in found], dtype=np.int64)
-        pairs, pair_of = np.unique(np.concatenate([np.zeros(0, np.int64), *[f[2] for f in found]]), return_inverse=True)
+        n_groups, n_links = np.array([f[1] for f in found], dtype=np.int64), np.array([len(f[2]) // 8 for f in found], dtype=np.int64)
+        pairs, pair_of = np.unique(np.frombuffer(b"".join([f[2] for f in found]), np.int64), return_inverse=True)
         # of each document: its distinct pairs and how many links each has
         cells = np.repeat(doc, n_links[which]) * max(1, len(pairs)) + gathered(pair_of, (np.cumsum(n_links) - n_links)[which], n_links[which])
         cells, times = np.unique(cells, return_counts=True)
         docs_of = np.bincount(cells % max(1, len(pairs)), minlength=len(pairs))
         starts = np.searchsorted(doc, np.arange(len(texts) + 1))
         own = which.ravel()
-        sha = ["" if a == b else hashlib.sha256(";".join(names[own[a:b]]).encode()).hexdigest() for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        sha = ["" if a == b else hashlib.sha256("".join(names[own[a:b]])[:-1].encode()).hexdigest() for a, b in zip(starts[:-1], starts[1:], strict=True)]
         per_doc = lambda x: np.bincount(doc, x[which], minlength=len(texts)).astype(np.int64)
         return Block(np.diff(bounds_a), np.diff(bounds_b), per_doc(n_groups), per_doc(n_links), sha, pairs, docs_of,
                      np.searchsorted(cells, np.arange(len(texts) + 1) * max(1, len(pairs))), (cells % max(1, len(pairs))).astype("<i4"), times.astype("<i4"))
