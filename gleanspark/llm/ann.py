@@ -165,6 +165,13 @@ class Plan:
         self.cells = 0
         self._split(self.project(sample), cells)
 
+    @classmethod
+    def of(cls, state: dict) -> Plan:
+        """A plan from its plain parts: an object of this class could be read only where the package is installed."""
+        plan = cls.__new__(cls)
+        vars(plan).update(state)
+        return plan
+
     def _split(self, points: np.ndarray, cells: int) -> int:
         node = len(self.splits)
         self.splits.append(None)
@@ -238,7 +245,10 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
     if not about["n"]:
         return spark.createDataFrame([], result)
     sample = rows.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("v").toPandas()["v"]
-    plan = spark.sparkContext.broadcast(Plan(_array(sample), float(about["norm2"]), about["n"], projected, confidence))
+    plan = spark.sparkContext.broadcast(vars(Plan(_array(sample), float(about["norm2"]), about["n"], projected, confidence)))
+
+    def at_hand() -> Plan:
+        return Plan.of(plan.value)
 
     def place(batches):
         for pdf in batches:
@@ -246,8 +256,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
                 continue
             x = _array(pdf["v"])
             # a query looks from where it stands with 0 in the added component
-            yield pd.DataFrame({"id": pdf["id"], "v": [r.tobytes() for r in x], "cell": plan.value.cell(plan.value.project(x)),
-                                "asks": pdf["asks"].fillna(False).astype(bool), "home": plan.value.cell(plan.value.project(x, lifted=False))})
+            yield pd.DataFrame({"id": pdf["id"], "v": [r.tobytes() for r in x], "cell": at_hand().cell(at_hand().project(x)),
+                                "asks": pdf["asks"].fillna(False).astype(bool), "home": at_hand().cell(at_hand().project(x, lifted=False))})
 
     placed = written(rows.mapInPandas(place, "id long, v binary, cell int, asks boolean, home int"), "placed")
     counts = placed.groupBy("cell").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
@@ -260,8 +270,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
         if not len(own) or not len(asked):
             return pd.DataFrame({"query_id": [], "vec": [], "score": []}).astype({"query_id": "int64", "vec": "int64"})
         x, q = (np.frombuffer(b"".join(d["v"]), dtype=np.float64).reshape(len(d), -1) for d in (own, asked))
-        found = search_block(own["id"].to_numpy(), x, plan.value.project(x), asked["id"].to_numpy(), q, plan.value.project(q, lifted=False),
-                             asked["bound"].to_numpy(dtype=np.float64), k, plan.value.stop, plan.value.norm2)
+        found = search_block(own["id"].to_numpy(), x, at_hand().project(x), asked["id"].to_numpy(), q, at_hand().project(q, lifted=False),
+                             asked["bound"].to_numpy(dtype=np.float64), k, at_hand().stop, at_hand().norm2)
         return pd.DataFrame(dict(zip(["query_id", "vec", "score"], found, strict=True)))
 
     def searched(asked: DataFrame) -> DataFrame:
@@ -284,7 +294,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
             if not len(pdf):
                 continue
             q = np.frombuffer(b"".join(pdf["v"]), dtype=np.float64).reshape(len(pdf), -1)
-            points, p = plan.value.project(q, lifted=False), plan.value
+            points, p = at_hand().project(q, lifted=False), at_hand()
             left = p.norm2 + (q * q).sum(axis=1) - 2 * pdf["bound"].to_numpy(dtype=np.float64)
             cells = [[c for c in p.near(points[i], np.inf if np.isinf(left[i]) else p.stop * max(0.0, left[i]) + 1e-9) if c != h] for i, h in enumerate(pdf["home"])]
             yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "bound": pdf["bound"], "cells": cells})
