@@ -22,12 +22,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanspark.llm.bpe import ROWS_AT_ONCE, Encoder, public_pattern
+from gleanspark.llm.bpe import Encoder, public_pattern
 from gleanspark.llm.common import new_folder, sliced, table, tidy
 
 SCHEMA = "part int, doc_id long, local_start long, n_tokens long, ids array<int>"
 #: Bytes of text in a range, which makes a file.
 RANGE_BYTES = 24 << 20
+#: Rows and bytes of text that are encoded at once: the more, the more of their pieces are repeats.
+BATCH_ROWS, BATCH_BYTES = 10_000, 16 << 20
 #: Bytes of a stripe, rows of a row group, false positives of the Bloom filters.
 STRIPE_BYTES, STRIDE_ROWS, BLOOM_FPP = 16 << 20, 1_000, 0.01
 
@@ -39,7 +41,7 @@ def write_tokens(docs: DataFrame, out: str, path: str, pattern: str | None = Non
     def encode(batches):
         encoder, part, at = Encoder(path, pattern), TaskContext.get().partitionId(), 0
         tail = np.array([] if end_id is None else [end_id], dtype=np.uint32)
-        for batch in sliced(batches, 1, ROWS_AT_ONCE):
+        for batch in sliced(batches, 1, BATCH_ROWS, BATCH_BYTES):
             first = 0
             for ids, bounds in encoder.encode(batch.column(1)):
                 n = len(bounds) - 1
@@ -82,7 +84,7 @@ def ids_crc32(df: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32: unsigned crc32 of the ids as little-endian unsigned 32-bit integers."""
 
     def crc(batches):
-        for batch in sliced(batches, 3, ROWS_AT_ONCE):
+        for batch in sliced(batches, 3, BATCH_ROWS):
             ids = batch.column(3)
             flat, bounds = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4"), ids.offsets.to_numpy() - ids.offsets[0].as_py()
             sums = [zlib.crc32(flat[bounds[i]:bounds[i + 1]].tobytes()) for i in range(len(ids))]
