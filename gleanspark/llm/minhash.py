@@ -50,7 +50,7 @@ FOUND = 1 - 4e-6
 #: A band shared by more sets than this is compared in blocks.
 PAIRED = 32
 #: Rounds in which one member of each band is compared with all others.
-STARS = 4
+STARS = 2
 #: Sets in a block; pairs of a set with one other in a task.
 BLOCK, PER_TASK = 1_024, 2_000
 ROWS_AT_ONCE = 4_000
@@ -145,21 +145,24 @@ def named(id_column: str, text_column: str) -> list[Column]:
     return [id_.alias("id"), F.xxhash64(id_.cast("string"), text).alias("text_key"), text.alias("text")]
 
 
-def full_sets(docs: DataFrame, nodes: DataFrame, width: int, id_column: str, text_column: str) -> DataFrame:
-    """(node, elements, short: the upper half of each): the sets of the written `nodes` (node, text_key), taken from the texts once more."""
+def full_sets(docs: DataFrame, nodes: DataFrame, width: int, id_column: str, text_column: str, short: bool = False) -> DataFrame:
+    """(node, elements), or with `short` (node, short: the upper half of each element): the sets of the written `nodes` (node, text_key), taken from the texts once more."""
 
     def run(batches):
         for batch in sliced(batches, 0, ROWS_AT_ONCE):
             elements, bounds = shingle_sets(batch.column(0), width)
-            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(elements.view(np.int64)))
-            halves = (elements >> np.uint64(32)).astype("<u4")
-            short = pa.array([halves[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(set_hashes(elements, bounds).view(np.int64)), lists, short], names=["node", "elements", "short"])
-
+            if short:
+                halves = (elements >> np.uint64(32)).astype("<u4")
+                sets = pa.array([halves[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
+            else:
+                sets = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(elements.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(set_hashes(elements, bounds).view(np.int64)), sets], names=["node", field.split()[0]])
+
+    field = "short binary" if short else "elements array<long>"
     keys = nodes.select("text_key")
     keys = F.broadcast(keys) if small(keys, 24) else keys
     texts = docs.select(*named(id_column, text_column)[1:]).join(keys, "text_key", "left_semi").select("text")
-    return texts.mapInArrow(tidy(run), "node long, elements array<long>, short binary").dropDuplicates(["node"])
+    return texts.mapInArrow(tidy(run), f"node long, {field}").dropDuplicates(["node"])
 
 
 def alike(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -214,7 +217,7 @@ def links(reps: DataFrame, sets_of, num: int, den: int, bands: int, rows: int) -
     of = lambda column: F.pmod(F.xxhash64("node"), F.col(column)).cast("int")
     every = lambda column: F.explode(F.sequence(F.lit(0), F.col(column) - 1))
     fields = ["key", "i", "j", "node", "n", "label", "marks", "keys", "short"]
-    known = reps.select("node", "marks", "keys").join(sets_of(crowd.select("node").distinct()).select("node", "short"), "node")
+    known = reps.select("node", "marks", "keys").join(sets_of(crowd.select("node").distinct(), short=True), "node")
     left = crowd.filter("label != home").withColumn("i", of("down")).withColumn("j", every("across")).join(known, "node").select(fields)
     right = crowd.withColumn("j", of("across")).withColumn("i", every("down")).join(known, "node").select(*[F.col(c).alias(f"{c}_") for c in fields])
     size = bands * rows
@@ -258,7 +261,7 @@ def near_copies(docs: DataFrame, num: int = 80, den: int = 100, width: int = 2,
     # copies are one set from here on; any of their texts gives it
     reps = written(full.groupBy("node").agg(F.min("id").alias("least"), F.min("text_key").alias("text_key"), *[F.first(c).alias(c) for c in ("n", "keys", "marks")]), "sets")
     nodes = reps.select("node", "least")
-    sets_of = lambda some: written(full_sets(docs, written(reps.select("node", "text_key").join(some, "node", "left_semi"), "wanted"), width, id_column, text_column), "full-sets")
+    sets_of = lambda some, **kw: written(full_sets(docs, written(reps.select("node", "text_key").join(some, "node", "left_semi"), "wanted"), width, id_column, text_column, **kw), "full-sets")
     found = components(nodes, links(reps, sets_of, num, den, bands, rows), max_rounds)
     names = nodes.join(found.select("node", "smallest", F.lit(True).alias("linked")), "node", "left").select(
         "node", F.when(F.col("linked"), F.col("smallest")).otherwise(F.col("least")).alias("component_id"))
