@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import config
 from ..functions import dates as D, html as H, text as X
-from ..operators import dedup, items as I, joins as J, triage as T
+from ..operators import dedup, items as I, joins as J, terms as M, triage as T
 from ..sources import payloads as S
 from ..sources.bucketed import bucketed_scan, bucketed_stats, merge_into_buckets
 from ..sources.combine import source_fallback, union_sources
@@ -316,6 +316,29 @@ def _blocklist_table(spark, sf):
     return J.blocklist_anti_table(_links(spark, sf), listed).select("page_id", "pos", "href")
 
 
+@query("blocklist_contains_table", rf"""WITH {ANCHORS}, {RESOLVED},
+    listed AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{{7,}}')) AS domain FROM benchmark)
+    SELECT page_id, pos, href FROM r WHERE NOT EXISTS (SELECT 1 FROM listed WHERE contains(lower(href), domain))""")
+def _blocklist_contains_table(spark, sf):
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{7,}"), F.lit(0))
+    listed = table(spark, sf, "benchmark").select(F.explode(words).alias("domain"))
+    return M.blocklist_contains_table(_links(spark, sf), listed).select("page_id", "pos", "href")
+
+
+@query("categories_table", rf"""WITH terms AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{{5,}}|[a-z]+ [a-z]+')) AS term FROM benchmark),
+    parts AS (SELECT doc_id, string_split(unnest(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}_ ]+|  +')), ' ') AS w FROM documents),
+    runs AS (SELECT DISTINCT doc_id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS term FROM parts),
+    hits AS (SELECT doc_id, left(term, 2) AS label, ascii(term) AS rank FROM runs JOIN terms USING (term)),
+    labels AS (SELECT doc_id, list(DISTINCT {{'rank': rank, 'label': label}}) AS found FROM hits GROUP BY doc_id)
+    SELECT doc_id, coalesce(array_to_string([f.label FOR f IN list_slice(list_sort(found), 1, 3)], ','), '') AS categories
+    FROM documents LEFT JOIN labels USING (doc_id)""")
+def _categories_table(spark, sf):
+    """The first three of the categories whose words, or pairs of words, a document holds; a category is a beginning of two letters."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}|[a-z]+ [a-z]+"), F.lit(0))
+    terms = table(spark, sf, "benchmark").select(F.explode(words).alias("term")).select("term", F.ascii("term").alias("rank"), F.left("term", F.lit(2)).alias("label"))
+    return M.guess_categories_table(table(spark, sf, "documents"), F.col("text"), terms, limit=3).select("doc_id", _line())
+
+
 # --- Items and deduplication ---
 
 @query("make_item", f"WITH {O.PAGES} SELECT rank, {O.item('name', 'tool_url', 'html', 'source', O.lit(O.AS_OF_ISO))} FROM pgs")
