@@ -10,9 +10,10 @@ A kd-tree on a bounded sample splits the projected space into cells; every vecto
 goes to its cell, and cells with many vectors are dealt over several blocks, so
 that a vector that is repeated very often fills no task alone. Each block builds
 its own kd-tree. A query visits the leaves of a tree in order of projected
-distance and verifies their vectors exactly. It stops when the chi-square test
-says that a vector beyond the current leaf is nearer than the k-th found with
-probability at most 1 - CONFIDENCE.
+distance and verifies exactly the vectors in them that the chi-square test leaves
+open: a vector nearer than the k-th found has a smaller projected distance than
+the test's limit with probability CONFIDENCE. It stops where leaves begin that lie
+beyond the limit.
 
 The search has two rounds. A query first looks into its home cell; the distance
 of its k-th there bounds the second round, in which it visits just the cells that
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from gleanspark.llm.common import table, written
 
-PROJECTED = 16
+PROJECTED = 48
 CONFIDENCE = 0.9
 #: Vectors that the top-level tree is fitted on, vectors it aims at per cell, and most vectors in one block.
 SAMPLE_ROWS, CELL_ROWS, BLOCK_ROWS = 20_000, 8_192, 16_384
@@ -102,14 +103,16 @@ def best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.nd
 
 
 def search_block(ids, vectors, points, q_ids, q_vectors, q_points, bounds, k: int, stop: float, norm2: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, vec_id, score) of the best k in a block for each query.
+    """(place of the query, vec_id, score) of the best k in a block for each query.
 
     bounds: inner product known to be reached by k candidates elsewhere, -inf if none.
     All queries go through their leaves in order of projected distance, some more
-    leaves each step; those at one leaf are verified together.
+    leaves each step. Of a leaf, only neighbours whose own projected distance passes
+    the test are verified; the k-th found so far tightens it from step to step.
     """
     order, starts, lows, highs = build(points)
-    ids, vectors = ids[order], vectors[order]
+    ids, vectors, points = ids[order], vectors[order], points[order]
+    length_x, length_p = (points * points).sum(axis=1), (q_points * q_points).sum(axis=1)
     ends = np.append(starts[1:], len(ids))
     to_leaf = box_distances(q_points, lows, highs)
     by_distance = np.argsort(to_leaf, axis=1, kind="stable")
@@ -129,8 +132,9 @@ def search_block(ids, vectors, points, q_ids, q_vectors, q_points, bounds, k: in
         new_q, new_row = [], []
         for i in np.flatnonzero(np.diff(cut)):
             asked = query[by_leaf[cut[i]:cut[i + 1]]]
-            near = q_vectors[asked] @ vectors[starts[i]:ends[i]].T >= kth[asked, None] - 1e-9
-            a, b = np.nonzero(near)
+            # a neighbour is verified only if its own projected distance passes the test
+            gap = length_p[asked, None] + length_x[starts[i]:ends[i]] - 2 * (q_points[asked] @ points[starts[i]:ends[i]].T)
+            a, b = np.nonzero(gap <= limit[asked, None])
             new_q.append(asked[a])
             new_row.append(starts[i] + b)
         new_q, new_row = np.concatenate(new_q), np.concatenate(new_row)
@@ -144,7 +148,7 @@ def search_block(ids, vectors, points, q_ids, q_vectors, q_points, bounds, k: in
         last = np.searchsorted(found[0], full, side="right") - 1
         kth[full] = np.maximum(kth[full], found[2][last])
         at, step = at + step, step * 2
-    return q_ids[found[0]], found[1], found[2]
+    return tuple(found)
 
 
 def usable(vector: Column, dimensions: int) -> Column:
@@ -203,23 +207,24 @@ class Plan:
             todo += [(what[2], rows[left]), (what[3], rows[~left])]
         return out
 
-    def near(self, p: np.ndarray, limit: float) -> list[int]:
-        """Cells within the squared projected distance `limit` of p."""
-        out, todo = [], [(0, np.zeros(len(p)))]
+    def near(self, p: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row of p, cell): cells within the squared projected distance limits[i] of p[i]; all rows go down the tree together."""
+        rows, cells, todo = [], [], [(0, np.arange(len(p)), np.zeros(p.shape))]
         while todo:
-            node, gap = todo.pop()
+            node, at, gap = todo.pop()
             what = self.splits[node]
             if isinstance(what, int):
-                out.append(what)
+                rows.append(at)
+                cells.append(np.full(len(at), what))
                 continue
             side, value, left, right = what
-            far = gap.copy()
-            far[side] = max(far[side], abs(p[side] - value))
-            first, second = (left, right) if p[side] <= value else (right, left)
-            todo.append((first, gap))
-            if (far * far).sum() <= limit:
-                todo.append((second, far))
-        return out
+            for child, beyond in ((left, p[at, side] > value), (right, p[at, side] <= value)):
+                far = gap.copy()
+                far[beyond, side] = np.maximum(far[beyond, side], np.abs(p[at[beyond], side] - value))
+                within = (far * far).sum(axis=1) <= limits[at]
+                if within.any():
+                    todo.append((child, at[within], far[within]))
+        return np.concatenate(rows or [np.zeros(0, np.int64)]), np.concatenate(cells or [np.zeros(0, np.int64)])
 
 
 def _array(column) -> np.ndarray:
@@ -231,7 +236,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
     """query_id, rank, id_column, score: for each row that `queries` picks, its k nearest of all other rows found.
 
     Ties go to the smaller id. Rows that share an id are one candidate each and
-    never answer a query of that id. Null ids take no part.
+    never answer a query of that id; if they ask, each of their distinct vectors
+    gets ranks of its own, and equal ones ask once. Null ids take no part.
     """
     spark = vectors.sparkSession
     raw = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("v"), queries.alias("asks")).filter("id is not null and v is not null")
@@ -264,15 +270,16 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
     counts = written(counts, "cells")
     data = placed.join(F.broadcast(counts), "cell").select("cell", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int").alias("block"), "id", "v")
     data = written(data, "blocks")
-    asking = placed.filter("asks").select("id", "v", "home").distinct()
+    # an id with several vectors asks once with each
+    asking = placed.filter("asks").select("id", F.xxhash64("v").alias("which"), "v", "home").distinct()
 
     def visit(key, own, asked):
         if not len(own) or not len(asked):
-            return pd.DataFrame({"query_id": [], "vec": [], "score": []}).astype({"query_id": "int64", "vec": "int64"})
+            return pd.DataFrame({"query_id": [], "which": [], "vec": [], "score": []}).astype({"query_id": "int64", "which": "int64", "vec": "int64"})
         x, q = (np.frombuffer(b"".join(d["v"]), dtype=np.float64).reshape(len(d), -1) for d in (own, asked))
-        found = search_block(own["id"].to_numpy(), x, at_hand().project(x), asked["id"].to_numpy(), q, at_hand().project(q, lifted=False),
+        place, *found = search_block(own["id"].to_numpy(), x, at_hand().project(x), asked["id"].to_numpy(), q, at_hand().project(q, lifted=False),
                              asked["bound"].to_numpy(dtype=np.float64), k, at_hand().stop, at_hand().norm2)
-        return pd.DataFrame(dict(zip(["query_id", "vec", "score"], found, strict=True)))
+        return pd.DataFrame({"query_id": asked["id"].to_numpy()[place], "which": asked["which"].to_numpy()[place], "vec": found[0], "score": found[1]})
 
     def searched(asked: DataFrame) -> DataFrame:
         """asked: (id, v, bound, cell). Each query meets all blocks of its cells; many queries of a cell are dealt over tasks."""
@@ -281,13 +288,13 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
         plan_rows = written(parts.join(counts.select("cell", "blocks"), "cell"), "visits")
         left = (data.join(F.broadcast(plan_rows), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("cell", "block", "part", "id", "v"))
         right = (groups.join(F.broadcast(plan_rows), "cell").withColumn("part", (F.col("part") % F.col("parts")).cast("int"))
-                 .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("cell", "block", "part", "id", "v", "bound"))
+                 .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("cell", "block", "part", "id", "which", "v", "bound"))
         keys = ["cell", "block", "part"]
-        return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInPandas(visit, "query_id long, vec long, score double")
+        return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInPandas(visit, "query_id long, which long, vec long, score double")
 
-    first = written(searched(asking.select("id", "v", F.lit(float("-inf")).alias("bound"), F.col("home").alias("cell"))), "first-round")
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec")
-    bound = (first.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("bound")))
+    first = written(searched(asking.select("id", "which", "v", F.lit(float("-inf")).alias("bound"), F.col("home").alias("cell"))), "first-round")
+    ranked = Window.partitionBy("query_id", "which").orderBy(F.desc("score"), "vec")
+    bound = (first.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), "which", F.col("score").alias("bound")))
 
     def others(batches):
         for pdf in batches:
@@ -296,11 +303,12 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
             q = np.frombuffer(b"".join(pdf["v"]), dtype=np.float64).reshape(len(pdf), -1)
             points, p = at_hand().project(q, lifted=False), at_hand()
             left = p.norm2 + (q * q).sum(axis=1) - 2 * pdf["bound"].to_numpy(dtype=np.float64)
-            cells = [[c for c in p.near(points[i], np.inf if np.isinf(left[i]) else p.stop * max(0.0, left[i]) + 1e-9) if c != h] for i, h in enumerate(pdf["home"])]
-            yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "bound": pdf["bound"], "cells": cells})
+            row, cell = p.near(points, np.where(np.isinf(left), np.inf, p.stop * np.maximum(0.0, left) + 1e-9))
+            away = cell != pdf["home"].to_numpy()[row]
+            yield pdf[["id", "which", "v", "bound"]].iloc[row[away]].assign(cell=cell[away].astype(np.int32))
 
-    more = asking.join(bound, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf")))).select("id", "v", "bound", "home")
-    more = more.mapInPandas(others, "id long, v binary, bound double, cells array<int>").select("id", "v", "bound", F.explode("cells").alias("cell"))
+    more = asking.join(bound, ["id", "which"], "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf")))).select("id", "which", "v", "bound", "home")
+    more = more.mapInPandas(others, "id long, which long, v binary, bound double, cell int")
     every = first.unionByName(searched(more))
     return every.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select("query_id", "rank", F.col("vec").alias(id_column), "score")
 
