@@ -141,7 +141,9 @@ def search_block(ids, vectors, points, q_ids, q_vectors, q_points, bounds, k: in
         other = ids[new_row] != q_ids[new_q]
         new_q, new_row = new_q[other], new_row[other]
         exact = np.concatenate([np.zeros(0), *[scores(vectors[new_row[i:i + 100_000]], q_vectors[new_q[i:i + 100_000]]) for i in range(0, len(new_q), 100_000)]])
-        found = [np.concatenate(x) for x in zip(found, (new_q, ids[new_row], exact), strict=True)]
+        # what is below the k-th found can't be among the best
+        reach = exact >= kth[new_q]
+        found = [np.concatenate(x) for x in zip(found, (new_q[reach], ids[new_row[reach]], exact[reach]), strict=True)]
         keep = best(*found, k)
         found = [x[keep] for x in found]
         full = np.flatnonzero(np.bincount(found[0], minlength=len(q_ids)) == k)
