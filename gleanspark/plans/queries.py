@@ -16,7 +16,7 @@ from ..sources.combine import source_fallback, union_sources
 from . import oracle as O, samples
 from ..session import cut_lineage, shared_folder
 from ..sources.snapshot import snapshot_scan, write_files, write_run_stats, write_snapshot
-from ..streaming.increment import collect_increment, read_landing
+from ..streaming.increment import TRIAGE_EVENT_SCHEMA, collect_increment, fold_triage, keep_triage, read_landing, read_triage
 from .collect import collect
 from .nightly import merge_run
 from .samples import AS_OF, item_docs, item_pages, table
@@ -576,6 +576,23 @@ def _reset(spark, sf):
     return T.latest_triage_state(T.reset_triage(changes, resets.select("ts")))
 
 
+@query("triage_stream", SQL["triage_reset"])
+def _triage_stream(spark, sf):
+    """All events as a stream of changes with resets among them, later ones landed first, folded half way."""
+    events = table(spark, sf, "events")
+    changes = _changes(spark, sf).withColumn("reset", F.lit(False))
+    resets = changes.join(events.where("value > 120").select(F.col("event_id").alias("seq")), "seq", "left_semi").select(
+        F.lit(None).cast("string").alias("tool_url"), F.lit(None).cast("string").alias("state"), "ts", "seq", F.lit(True).alias("reset"))
+    folder = f"{shared_folder(spark)}/triage-stream-{uuid.uuid4().hex}"
+    for half in (1, 0):
+        changes.unionByName(resets).where(F.pmod("seq", F.lit(2)) == half).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(TRIAGE_EVENT_SCHEMA).option("maxFilesPerTrigger", 16).parquet(f"{folder}/in")
+        keep_triage(stream, f"{folder}/kept", f"{folder}/checkpoint").awaitTermination()
+        if half:
+            fold_triage(spark, f"{folder}/kept")
+    return read_triage(spark, f"{folder}/kept")
+
+
 @query("with_triage", f"WITH {TRIAGED} SELECT rank, tool_url, pricing, state FROM triaged")
 def _with_triage(spark, sf):
     return _triaged(spark, sf).select("rank", "tool_url", "pricing", "state")

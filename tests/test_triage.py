@@ -96,3 +96,36 @@ def test_state_stream_equals_batch(spark, tmp_path):
     query = triage_state_stream(stream).writeStream.format("memory").queryName("states").outputMode("complete").trigger(availableNow=True).start()
     query.awaitTermination(120)
     assert sorted(spark.table("states").collect()) == sorted(T.latest_triage_state(changes).collect())
+
+
+def test_resets_in_a_stream_equal_batch(spark, tmp_path):
+    from gleanspark.streaming import increment as N
+
+    changes = spark.createDataFrame([(f"u{i % 7}" if i % 11 else None, "pub" if i % 2 else "done", (i * 37) % 60, i, None if i % 3 else False) for i in range(60)], N.TRIAGE_EVENT_SCHEMA)
+    resets = spark.createDataFrame([(None, None, 20, 100, True), (None, None, 55, 101, True), (None, None, 3, 102, True)], N.TRIAGE_EVENT_SCHEMA)
+    into, kept = str(tmp_path / "in"), str(tmp_path / "kept")
+
+    def expected(upto):
+        return sorted(T.latest_triage_state(T.reset_triage(changes.where("seq % 100 < 60"), resets.where(f"seq < {upto}").select("ts"))).collect(), key=repr)
+
+    def run(checkpoint="checkpoint"):
+        stream = spark.readStream.schema(N.TRIAGE_EVENT_SCHEMA).option("maxFilesPerTrigger", 2).parquet(into)
+        query = N.keep_triage(stream, kept, str(tmp_path / checkpoint))
+        query.awaitTermination(120)
+        return sorted(N.read_triage(spark, kept).collect(), key=repr)
+
+    assert N.fold_triage(spark, kept) is None and N.read_triage(spark, kept).count() == 0
+    changes.unionByName(resets.where("seq = 100")).repartition(5).write.parquet(into)
+    assert run() == expected(101)
+    # every batch once more, as after a lost checkpoint
+    assert run("again") == expected(101)
+    assert N.fold_triage(spark, kept) == N.fold_triage(spark, kept) == 2
+    assert sorted(N.read_triage(spark, kept).collect(), key=repr) == expected(101)
+    # an early change that comes late, a later reset and an older one
+    resets.where("seq > 100").coalesce(1).write.mode("append").parquet(into)
+    assert run() == expected(200)
+    late = spark.createDataFrame([("u1", "ign", 19, 200, False), ("u2", "ign", 99, 201, False)], N.TRIAGE_EVENT_SCHEMA)
+    late.coalesce(1).write.mode("append").parquet(into)
+    N.fold_triage(spark, kept)
+    found = {r["tool_url"]: r["state"] for r in run()}
+    assert found == {**{r["tool_url"]: r["state"] for r in expected(200)}, "u2": "ign"}
