@@ -87,3 +87,20 @@ def test_rows_inside_rows():
 def test_references_without_a_semicolon(values):
     assert values(H.html_to_text(F.col("s")), ["&copy 2024 &amp b", "caf&eacute<b>x</b>", "&#233 &#xe9, &bogus x &copyx;", "a&copy", "R&D &notit;"]) == [
         "© 2024 & b", "café x", "é é, &bogus x &copyx;", "a&copy", "R&D &notit;"]
+
+
+def test_pages_are_read_in_slices(spark):
+    import pyarrow as pa
+
+    from gleanspark.functions.html import _slices
+
+    pages = pa.array(["a" * 10, None, "", "b" * 95, "c" * 30, "d" * 30, "e" * 30, "f"])
+    parts = [p.to_pylist() for p in _slices(pages, 91)]
+    assert [x for p in parts for x in p] == pages.to_pylist()
+    assert [len(p) for p in parts] == [3, 1, 4] and list(_slices(pages.slice(0, 0))) == []
+    # a batch of many slices gives each page its own links, in a column beside others
+    page = F.concat(F.lit("<p>"), F.repeat(F.lit("x"), 2000), F.lit('<a href="u'), "id", F.lit('">t</a></p>'))
+    rows = spark.range(0, 3000, 1, 1).select("id", F.when(F.col("id") % 7 > 0, page).alias("page"))
+    found = rows.select("id", H.context_anchors(F.col("page")).alias("links")).collect()
+    assert len(found) == 3000
+    assert all([x["href"] for x in r["links"]] == ([f"u{r['id']}"] if r["id"] % 7 else []) for r in found)
