@@ -350,3 +350,10 @@ def test_damaged_runs_are_passed_over_and_old_ones_expire(spark, tmp_path):
     run_once(more, path, 4, AS_OF, specs)
     assert {r["name"] for r in snapshot_scan(spark, path).collect()} == {"Item 0", "Item 1", "Item 3"}
     assert expire_runs(spark, path, keep=2) == [0] and latest_run(spark, path, before=4) == 1 and not (tmp_path / "snap" / "items" / "run_id=0").exists()
+
+
+def test_feed_texts_are_worked_out_once(spark, landing):
+    specs = [config.SourceSpec("TLDR AI", 0, "feed", 20, topic_filter=True), config.SourceSpec("The Rundown AI", 1, "feed", 20)]
+    plan = collect(landing, AS_OF, specs)._jdf.queryExecution().optimizedPlan().toString()
+    # the pattern of what isn't page text
+    assert plan.count("script|style|template|rt|rp") == 1
