@@ -31,6 +31,7 @@ in it has an id. Very long texts are read whole, in a slice of their own.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from math import ceil, log, sqrt
 
 import numpy as np
@@ -110,29 +111,31 @@ def sketches(elements: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:
     return cells.reshape(-1, size)
 
 
+def band_keys(values: np.ndarray, bands: int, rows: int, empty: np.ndarray) -> pa.Array:
+    """A list of keys, one per band, for each sketch; null where `empty`."""
+    keys = np.zeros((len(values), bands), dtype=np.uint64)
+    for i in range(rows):
+        keys = mixed(keys + values[:, i::rows] + np.uint64(_STEP))
+    keys = mixed(keys + np.arange(bands, dtype=np.uint64))
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * bands), pa.array(keys.view(np.int64).ravel()), mask=pa.array(empty))
+
+
 def sketch_rows(docs: DataFrame, width: int, bands: int, rows: int, id_column: str, text_column: str) -> DataFrame:
-    """id, text_key (tells texts of one id apart), n (size of the set), node (hash of the set), keys of the bands, and marks:
-    16 bits of each coordinate. The last three are null for an empty set."""
+    """id, text_key (tells texts of one id apart), n (size of the set), node (hash of the set) and keys of the bands.
+    The last two are null for an empty set."""
 
     def run(batches):
         for batch in sliced(batches, 2, ROWS_AT_ONCE):
             elements, bounds = shingle_sets(batch.column(2), width)
             n = np.diff(bounds)
-            values = sketches(elements, bounds, bands * rows)
-            keys = np.zeros((len(n), bands), dtype=np.uint64)
-            for i in range(rows):
-                keys = mixed(keys + values[:, i::rows] + np.uint64(_STEP))
-            keys = mixed(keys + np.arange(bands, dtype=np.uint64))
             empty = n == 0
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * bands), pa.array(keys.view(np.int64).ravel()), mask=pa.array(empty))
-            marks = (mixed(values) >> np.uint64(48)).astype("<u2")
             yield pa.RecordBatch.from_arrays([
-                *batch.columns[:2], pa.array(n), pa.array(set_hashes(elements, bounds).view(np.int64), mask=empty), lists,
-                pa.array([None if e else m.tobytes() for e, m in zip(empty, marks, strict=True)], pa.binary()),
-            ], names=["id", "text_key", "n", "node", "keys", "marks"])
+                *batch.columns[:2], pa.array(n), pa.array(set_hashes(elements, bounds).view(np.int64), mask=empty),
+                band_keys(sketches(elements, bounds, bands * rows), bands, rows, empty),
+            ], names=["id", "text_key", "n", "node", "keys"])
 
     rows_ = docs.select(*named(id_column, text_column))
-    return rows_.mapInArrow(tidy(run), f"id {dict(rows_.dtypes)['id']}, text_key long, n long, node long, keys array<long>, marks binary")
+    return rows_.mapInArrow(tidy(run), f"id {dict(rows_.dtypes)['id']}, text_key long, n long, node long, keys array<long>")
 
 
 def set_hashes(elements: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -145,47 +148,86 @@ def named(id_column: str, text_column: str) -> list[Column]:
     return [id_.alias("id"), F.xxhash64(id_.cast("string"), text).alias("text_key"), text.alias("text")]
 
 
-def full_sets(docs: DataFrame, nodes: DataFrame, width: int, id_column: str, text_column: str, short: bool = False) -> DataFrame:
-    """(node, elements), or with `short` (node, short: the upper half of each element): the sets of the written `nodes` (node, text_key), taken from the texts once more."""
+@dataclass(frozen=True)
+class Texts:
+    """Where the sets of nodes are taken from once more. `names`: one written row (node, text_key) per node, and others beside it."""
+
+    docs: DataFrame
+    names: DataFrame
+    width: int
+    id_column: str
+    text_column: str
+
+    def asking(self, wanted: DataFrame, row_bytes: int) -> DataFrame:
+        """The text of each row of the written `wanted` (text_key and others), which are sent to the tasks if they are proven few."""
+        wanted = F.broadcast(wanted) if small(wanted, row_bytes) else wanted
+        return self.docs.select(*named(self.id_column, self.text_column)[1:]).join(wanted, "text_key").drop("text_key")
+
+    def sets(self, calls: DataFrame) -> DataFrame:
+        """(a, part, node, elements) for each of `calls` (a, part, node).
+
+        A set is made once for all its calls (for each PER_TASK of them) and goes at once where the calls say.
+        """
+        width = self.width
+        many = calls.groupBy("node").agg(F.ceil(F.count("*") / PER_TASK).alias("lists"))
+        dealt = calls.join(many, "node").join(self.names.select("node", "text_key"), "node")
+        lists = dealt.groupBy("text_key", "node", F.expr("pmod(xxhash64(a, part), lists)").alias("list")).agg(F.collect_list(F.struct("a", "part")).alias("calls"))
+        # a call is 16 bytes, and each list has one at least
+        lists = written(lists.select("text_key", "node", "calls", F.size("calls").alias("n")), "calls")
+        row_bytes = 24 + 16 * ceil((lists.agg(F.avg("n")).first()[0] or 0) + 1)
+
+        def run(batches):
+            for batch in sliced(batches, 0, ROWS_AT_ONCE):
+                elements, bounds = shingle_sets(batch.column(0), width)
+                sets = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(elements.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], sets], names=["node", "calls", "elements"])
+
+        found = self.asking(lists.drop("n"), row_bytes).select("text", "node", "calls").mapInArrow(tidy(run), "node long, calls array<struct<a: long, part: int>>, elements array<long>")
+        return found.select("node", "elements", F.explode("calls").alias("call")).select("call.*", "node", "elements")
 
-    def run(batches):
-        for batch in sliced(batches, 0, ROWS_AT_ONCE):
-            elements, bounds = shingle_sets(batch.column(0), width)
-            if short:
+    def halves(self, nodes: DataFrame, bands: int, rows: int) -> DataFrame:
+        """(node, keys, marks, short) of `nodes`: the keys of the bands, 16 bits of each coordinate, the upper half of each element."""
+        width = self.width
+
+        def run(batches):
+            for batch in sliced(batches, 0, ROWS_AT_ONCE):
+                elements, bounds = shingle_sets(batch.column(0), width)
+                values = sketches(elements, bounds, bands * rows)
+                marks = (mixed(values) >> np.uint64(48)).astype("<u2")
                 halves = (elements >> np.uint64(32)).astype("<u4")
-                sets = pa.array([halves[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
-            else:
-                sets = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(elements.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(set_hashes(elements, bounds).view(np.int64)), sets], names=["node", field.split()[0]])
-
-    field = "short binary" if short else "elements array<long>"
-    keys = nodes.select("text_key")
-    keys = F.broadcast(keys) if small(keys, 24) else keys
-    texts = docs.select(*named(id_column, text_column)[1:]).join(keys, "text_key", "left_semi").select("text")
-    return texts.mapInArrow(tidy(run), f"node long, {field}").dropDuplicates(["node"])
-
-
-def alike(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The (a, b) of `pairs` with den * intersection >= num * union. Pairs of a set that has many are dealt over tasks."""
-    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_TASK).cast("int").alias("parts"))
-    dealt = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
-    left = (parts.join(sets, parts["a"] == sets["node"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select("a", "part", F.col("elements").alias("x")))
-    right = dealt.drop("parts").join(sets.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b")
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(1), band_keys(values, bands, rows, np.diff(bounds) == 0), pa.array([m.tobytes() for m in marks], pa.binary()),
+                    pa.array([halves[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
+                ], names=["node", "keys", "marks", "short"])
+
+        wanted = written(self.names.select("node", "text_key").join(nodes, "node", "left_semi"), "wanted")
+        found = self.asking(wanted, 24).select("text", "node").mapInArrow(tidy(run), "node long, keys array<long>, marks binary, short binary")
+        return written(found.dropDuplicates(["node"]), "halves")
+
+
+def alike(pairs: DataFrame, texts: Texts, num: int, den: int) -> DataFrame:
+    """The (a, b) of the written `pairs` with den * intersection >= num * union. Pairs of a set that has many are dealt over tasks.
+
+    Each set is shuffled once, to the task where it meets the others.
+    """
+    parts = written(pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_TASK).cast("int").alias("parts")), "parts")
+    ones = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("node"))
+    others = pairs.join(parts, "a").select("a", F.expr("cast(pmod(xxhash64(b), parts) as int)").alias("part"), F.col("b").alias("node"))
+    # rows that share id and text give their set more than once
+    left = texts.sets(ones).select("a", "part", F.col("elements").alias("x")).dropDuplicates(["a", "part"])
+    right = texts.sets(others).select("a", "part", F.col("node").alias("b"), F.col("elements").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
-    return right.join(left, ["a", "part"]).filter(den * both >= num * (F.size("x") + F.size("y") - both)).select("a", "b")
+    return right.join(left, ["a", "part"]).filter(den * both >= num * (F.size("x") + F.size("y") - both)).select("a", "b").distinct()
 
 
-def links(reps: DataFrame, sets_of, num: int, den: int, bands: int, rows: int) -> DataFrame:
+def links(texts: Texts, num: int, den: int, bands: int, rows: int) -> DataFrame:
     """(a, b): links that connect what chains of pairs with den * intersection >= num * union connect.
 
-    reps: one written row per set: node, n, keys, marks. sets_of: from (node) to
-    the written (node, elements) of these.
+    The names of `texts` have n and keys beside node and text_key.
     """
     # den * min >= num * max is needed of the sizes
     sizes = lambda x, y: den * F.least(x, y) >= num * F.greatest(x, y)
-    ends = lambda pairs: pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    keyed = reps.select("node", "n", F.explode("keys").alias("key"))
+    keyed = texts.names.select("node", "n", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
     told = written(keyed.join(shared, "key").withColumn("label", F.col("node")), "members")
     edges = found = None
@@ -197,7 +239,7 @@ def links(reps: DataFrame, sets_of, num: int, den: int, bands: int, rows: int) -
         centre = centre.select("key", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("label").alias("home"))
         rays = told.join(centre, "key").filter((F.col("label") != F.col("home")) & sizes(F.col("n"), F.col("a_n"))).select("a", F.col("node").alias("b"))
         rays = written(rays.distinct(), "stars")
-        found = written(alike(rays, sets_of(ends(rays)), num, den), "star-links")
+        found = written(alike(rays, texts, num, den), "star-links")
         edges = found if edges is None else edges.union(found)
         if found.isEmpty():
             break
@@ -217,7 +259,7 @@ def links(reps: DataFrame, sets_of, num: int, den: int, bands: int, rows: int) -
     of = lambda column: F.pmod(F.xxhash64("node"), F.col(column)).cast("int")
     every = lambda column: F.explode(F.sequence(F.lit(0), F.col(column) - 1))
     fields = ["key", "i", "j", "node", "n", "label", "marks", "keys", "short"]
-    known = reps.select("node", "marks", "keys").join(sets_of(crowd.select("node").distinct(), short=True), "node")
+    known = texts.halves(crowd.select("node").distinct(), bands, rows)
     left = crowd.filter("label != home").withColumn("i", of("down")).withColumn("j", every("across")).join(known, "node").select(fields)
     right = crowd.withColumn("j", of("across")).withColumn("i", every("down")).join(known, "node").select(*[F.col(c).alias(f"{c}_") for c in fields])
     size = bands * rows
@@ -246,7 +288,7 @@ def links(reps: DataFrame, sets_of, num: int, den: int, bands: int, rows: int) -
     block = ["key", "i", "j"]
     blocks = left.groupBy(block).cogroup(right.groupBy([f"{c}_" for c in block])).applyInPandas(compare, "a long, b long")
     pairs = written(pairs.union(blocks).distinct(), "open-pairs")
-    return edges if pairs.isEmpty() else edges.union(alike(pairs, sets_of(ends(pairs)), num, den)).distinct()
+    return edges if pairs.isEmpty() else edges.union(alike(pairs, texts, num, den)).distinct()
 
 
 def near_copies(docs: DataFrame, num: int = 80, den: int = 100, width: int = 2, rows: int = ROWS, id_column: str = "doc_id", text_column: str = "text",
@@ -259,10 +301,10 @@ def near_copies(docs: DataFrame, num: int = 80, den: int = 100, width: int = 2,
     told = written(sketch_rows(docs, width, bands, rows, id_column, text_column), "sketches")
     full = told.filter("node is not null")
     # copies are one set from here on; any of their texts gives it
-    reps = written(full.groupBy("node").agg(F.min("id").alias("least"), F.min("text_key").alias("text_key"), *[F.first(c).alias(c) for c in ("n", "keys", "marks")]), "sets")
+    reps = written(full.groupBy("node").agg(F.min("id").alias("least"), F.min("text_key").alias("text_key"), *[F.first(c).alias(c) for c in ("n", "keys")]), "sets")
     nodes = reps.select("node", "least")
-    sets_of = lambda some, **kw: written(full_sets(docs, written(reps.select("node", "text_key").join(some, "node", "left_semi"), "wanted"), width, id_column, text_column, **kw), "full-sets")
-    found = components(nodes, links(reps, sets_of, num, den, bands, rows), max_rounds)
+    texts = Texts(docs, reps.drop("least"), width, id_column, text_column)
+    found = components(nodes, links(texts, num, den, bands, rows), max_rounds)
     names = nodes.join(found.select("node", "smallest", F.lit(True).alias("linked")), "node", "left").select(
         "node", F.when(F.col("linked"), F.col("smallest")).otherwise(F.col("least")).alias("component_id"))
     linked = balanced_join(full.select("id", "n", "node"), written(names, "names"), ["node"], "inner").select("id", "n", "component_id")

@@ -234,3 +234,22 @@ def test_resampling(spark, docs, none, longest, percent):  # noqa: F811
 def test_long_text_is_one_document():
     words, doc, bucket = importance.batch_features(["a b", "b " * 50_000, None, "c"], 2, 97)
     assert words.tolist() == [2, 50_000, 0, 1] and np.bincount(doc).tolist() == [3, 99_999, 0, 1]
+
+
+def test_sets_move_once(spark, monkeypatch):
+    """Sets go from the text to where they are compared: none is written, and one exchange each brings the two sides together."""
+    labels, plans, plain_written = [], [], minhash.written
+
+    def told(df, label):
+        labels.append(label)
+        plans.append((label, df._jdf.queryExecution().optimizedPlan().toString()))
+        return plain_written(df, label)
+
+    monkeypatch.setattr(minhash, "written", told)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[: 60 - i % 4] + [f"x{i}"])) for i in range(30)] + [(1, " ".join(words)), (1, " ".join(words)), (None, " ".join(words)), (None, " ".join(words))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(map(tuple, minhash.near_copies(df).collect())) == linked_plain(rows)
+    assert "star-links" in labels and not any("elements" in p for label, p in plans if label != "star-links")
+    # aggregates over sets: the one that drops repeated left sides
+    assert all(p.count("first(elements") + p.count("first(x") <= 1 for label, p in plans if label == "star-links")
